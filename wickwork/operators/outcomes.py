@@ -56,7 +56,7 @@ def next_row_outcomes(labelled: DataFrame, score: Column) -> DataFrame:
 
 
 def asof_outcomes(
-    candles: DataFrame, made: DataFrame, chunk: str = series.DEFAULT_CHUNK
+    candles: DataFrame, made: DataFrame, chunk: str | None = series.DEFAULT_CHUNK
 ) -> DataFrame:
     """Each candle against the symbol's latest earlier prediction.
 

@@ -53,21 +53,31 @@ def _spill(rows: DataFrame, by: list[str], order: list[str], rows_needed: int, f
     edge = rows.withColumn("_rank", F.row_number().over(nearest)).where(
         F.col("_rank") <= rows_needed
     )
-    # Rows per chunk, capped at rows_needed: a capped chunk already fills a halo.
-    sizes = edge.groupBy(*keys).agg(F.max("_rank").alias("_n"))
+    payload = [c for c in rows.columns if c not in (*keys, OWN)]
+    # One line per chunk, holding at most rows_needed rows. Their number stands
+    # for the chunk's: a chunk with rows_needed rows already fills a halo.
+    chunks = edge.groupBy(*keys).agg(
+        F.collect_list(F.struct("_rank", *payload)).alias("_rows"), F.max("_rank").alias("_n")
+    )
     chunk_order = F.col(CHUNK).asc() if forward else F.col(CHUNK).desc()
     along = Window.partitionBy(*by).orderBy(chunk_order)
-    passed = F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.withColumn("_passed", passed.cast("bigint"))
+    passed = F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    chunks = chunks.withColumn("_passed", F.coalesce(passed, F.lit(0)))
     ahead = F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_passed").alias("p")))
-    sizes = sizes.withColumn("_ahead", ahead.over(along.rowsBetween(1, rows_needed)))
-    sizes = sizes.select(*keys, (F.col("_passed") + F.col("_n")).alias("_end"), "_ahead")
-    joined = _attach(edge, sizes, keys)
+    lines = chunks.withColumn("_ahead", ahead.over(along.rowsBetween(1, rows_needed))).select(
+        *by,
+        (F.col("_passed") + F.col("_n")).alias("_end"),
+        "_ahead",
+        F.explode("_rows").alias("_row"),
+    )
     # Distance to a later chunk: own rank plus the rows in the chunks between.
-    wanted = F.filter("_ahead", lambda x: F.col("_rank") + x["p"] - F.col("_end") <= rows_needed)
+    wanted = F.filter(
+        "_ahead", lambda x: F.col("_row._rank") + x["p"] - F.col("_end") <= rows_needed
+    )
     target = F.explode(F.transform(wanted, lambda x: x["c"]))
-    return joined.select(
-        *[c for c in rows.columns if c not in (CHUNK, OWN)],
+    return lines.select(
+        *by,
+        *[F.col(f"_row.{c}").alias(c) for c in payload],
         target.alias(CHUNK),
         F.lit(False).alias(OWN),
     )
@@ -180,13 +190,13 @@ def last_before(
     row_time: str,
     mark_time: str,
     name: str,
-    unit: str = DEFAULT_CHUNK,
+    unit: str | None = DEFAULT_CHUNK,
 ) -> DataFrame:
     """Adds struct column ``name``: the latest mark strictly before each row.
 
     An as-of join as a union and a running ``last``. Rows and marks are ordered
     inside ``(key, chunk)``; what a chunk inherits from earlier ones is one row,
-    taken from per-chunk aggregates.
+    taken from per-chunk aggregates. With no ``unit`` a key is one window.
     """
     row_cols = [c for c in rows.columns if c not in by]
     mark_cols = [c for c in marks.columns if c not in by]
@@ -202,7 +212,19 @@ def last_before(
         F.lit(1).alias("_kind"),
         F.struct(*mark_cols).alias("_mark"),
     )
-    both = left.unionByName(right, allowMissingColumns=True).withColumn(CHUNK, chunk_of("_t", unit))
+    both = left.unionByName(right, allowMissingColumns=True)
+    picked = [*by, *[F.col(f"_row.{c}").alias(c) for c in row_cols], F.col("_seen").alias(name)]
+
+    def seen(rows: DataFrame, keys: list[str]) -> DataFrame:
+        in_time = F.when(F.col("_kind") >= 0, F.col("_t")).asc_nulls_first()
+        w = Window.partitionBy(*keys).orderBy(in_time, "_kind")
+        earlier_rows = w.rowsBetween(Window.unboundedPreceding, -1)
+        latest = F.last("_mark", ignorenulls=True).over(earlier_rows)
+        return rows.withColumn("_seen", latest).where(F.col("_kind") == 0).select(*picked)
+
+    if unit is None:
+        return seen(both, by)
+    both = both.withColumn(CHUNK, chunk_of("_t", unit))
     latest = F.max_by("_mark", F.when(F.col("_kind") == 1, F.col("_t")))
     chunks = both.groupBy(*by, CHUNK).agg(latest.alias("_mark"))
     earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -212,13 +234,4 @@ def last_before(
         F.lit(-1).alias("_kind"),
         F.last("_mark", ignorenulls=True).over(earlier).alias("_mark"),
     ).where(F.col("_mark").isNotNull())
-    ordered = Window.partitionBy(*by, CHUNK).orderBy(
-        F.when(F.col("_kind") >= 0, F.col("_t")).asc_nulls_first(), "_kind"
-    )
-    seen = F.last("_mark", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        both.unionByName(inherited, allowMissingColumns=True)
-        .withColumn("_seen", seen)
-        .where(F.col("_kind") == 0)
-        .select(*by, *[F.col(f"_row.{c}").alias(c) for c in row_cols], F.col("_seen").alias(name))
-    )
+    return seen(both.unionByName(inherited, allowMissingColumns=True), [*by, CHUNK])

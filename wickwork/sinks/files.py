@@ -22,9 +22,9 @@ def write_by_time(
 ) -> None:
     """Snappy Parquet in ``year=/month=/day=/hour=/minute=`` folders.
 
-    Rows are spread by time range first, so a folder is written by one task or
-    a few neighbouring ones and a crowded time range is split by sampling.
-    Minute folders suit a stream; for long history stop at ``day`` or ``hour``.
+    Rows are gathered per folder by a rebalance, not a range partitioning: it
+    needs no sampling pass over the plan above, Spark splits a folder that is
+    too large for one task and merges small ones. Minute folders suit a stream; for long history stop at ``day`` or ``hour``.
 
     ``replace="table"`` overwrites ``path``; ``replace="folders"`` overwrites
     only the time folders that ``rows`` has rows for; ``replace="nothing"``
@@ -37,7 +37,7 @@ def write_by_time(
     }[replace]
     parted = rows.select("*", *time_parts(F.col(time), levels))
     (
-        parted.repartitionByRange(time)
+        parted.hint("rebalance", *[F.col(level) for level in levels])
         .write.mode(mode)
         .option("partitionOverwriteMode", scope)
         .option("compression", "snappy")

@@ -25,7 +25,6 @@ from pyspark.sql.streaming import StreamingQuery
 from wickwork.operators.candles import build_candles
 from wickwork.operators.features import engineer_features, recent_candles
 from wickwork.operators.outcomes import asof_outcomes, latest_predictions, predictions
-from wickwork.operators.series import DEFAULT_CHUNK
 from wickwork.operators.training import apply_model
 from wickwork.schemas import (
     CANDLE_COLUMNS,
@@ -91,7 +90,9 @@ class LiveJob:
 
     ``out`` holds the result tables and ``state`` the kept rows; both are
     shared folders. ``model`` or ``score`` turns scoring on. ``width`` is the
-    candle width, as given to the candle builder.
+    candle width, as given to the candle builder. ``chunk`` cuts the series of a
+    micro-batch as in batch jobs; without it one task handles a symbol's new
+    candles, of which there is at most one per window of time in the batch.
     """
 
     spark: SparkSession
@@ -100,10 +101,14 @@ class LiveJob:
     model: PipelineModel | None = None
     score: Column | None = None
     levels: tuple[str, ...] = ALL_LEVELS
-    chunk: str = DEFAULT_CHUNK
+    chunk: str | None = None
     width: str = "1 minute"
     _next_batch: int = 0
 
+    @property
+    def _scores(self) -> bool:
+        return self.model is not None or self.score is not None
+
     # ------------------------------------------------------------ tables
     def path(self, table: str, batch_id: int) -> str:
         return f"{self.out}/{table}/batch={batch_id}"
@@ -144,6 +149,15 @@ class LiveJob:
         new = self._read_raw(batch_id)
         before = batch_id if batch_id != PENDING else self._next_batch
         tail = self._kept("tail", before, CANDLE_SCHEMA)
+        if new.isEmpty():
+            # Most triggers complete no window; what is kept moves on unchanged.
+            for table, kept in (
+                ("tail", tail),
+                ("latest", self._kept("latest", before, PREDICTION_SCHEMA)),
+            ):
+                if keep and (table == "tail" or self._scores):
+                    kept.write.mode("overwrite").parquet(self._slot(table, batch_id))
+            return
         if before == 0:
             # Loaded history may overlap the first live candles.
             tail = tail.join(new, ["symbol", "interval", "timestamp"], "left_anti").select(
@@ -159,7 +173,7 @@ class LiveJob:
             recent_candles(both.drop("is_new"), WARMUP_ROWS).write.mode("overwrite").parquet(
                 self._slot("tail", batch_id)
             )
-        if self.model is not None or self.score is not None:
+        if self._scores:
             self._score(new, batch_id, before, keep)
 
     def _score(self, new: DataFrame, batch_id: int, before: int, keep: bool) -> None:
