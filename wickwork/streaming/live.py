@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wickwork.operators.candles import build_candles
+from wickwork.operators.candles import build_candles, dedupe_candles
 from wickwork.operators.features import engineer_features, recent_candles
 from wickwork.operators.outcomes import asof_outcomes, latest_predictions, predictions
 from wickwork.operators.training import apply_model
@@ -44,12 +44,12 @@ PENDING = -1
 SLOTS = 3
 
 
-def kline_candles(lines: DataFrame, width: str = "1 minute", delay: str = "2 minutes") -> DataFrame:
+def kline_candles(lines: DataFrame, delay: str = "2 minutes") -> DataFrame:
     """Kline messages to complete candles, resends resolved to the last arrival.
 
-    Works on a stream and on a static table. On a stream, a window is emitted
-    once the newest candle start is ``delay`` past its end; rows later than
-    that are dropped and counted by Spark.
+    Works on a stream and on a static table. On a stream, a candle is emitted
+    once a candle starting ``delay`` later was seen; what arrives after that is
+    dropped and counted by Spark. Candles without a start time are dropped.
     """
     good, _ = split_malformed(lines)
     fields = klines(good)
@@ -62,14 +62,8 @@ def kline_candles(lines: DataFrame, width: str = "1 minute", delay: str = "2 min
             F.count_if(closed).alias("closed_sent"),
         )
     candles = typed_candles(closed_only(fields), extra=("received_at",))
-    rest = [c for c in CANDLE_COLUMNS if c not in ("timestamp", "symbol", "interval")]
-    rank = F.struct(F.coalesce("received_at", F.lit(0.0)).alias("at"), *rest)
-    picked = (
-        candles.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", width).alias("w"), "symbol", "interval", "timestamp")
-        .agg(F.max(rank).alias("pick"))
-    )
-    return picked.select(*[F.col(f"pick.{c}") if c in rest else F.col(c) for c in CANDLE_COLUMNS])
+    timed = candles.where(F.col("timestamp").isNotNull()).withWatermark("timestamp", delay)
+    return dedupe_candles(timed).select(*CANDLE_COLUMNS)
 
 
 def trade_candles(
@@ -90,7 +84,8 @@ class LiveJob:
 
     ``out`` holds the result tables and ``state`` the kept rows; both are
     shared folders. ``model`` or ``score`` turns scoring on. ``width`` is the
-    candle width, as given to the candle builder. ``chunk`` cuts the series of a
+    candle width when candles are built from trades, as those stay open until
+    their window ends; ready-made candles need none. ``chunk`` cuts the series of a
     micro-batch as in batch jobs; without it one task handles a symbol's new
     candles, of which there is at most one per window of time in the batch.
     """
@@ -102,7 +97,7 @@ class LiveJob:
     score: Column | None = None
     levels: tuple[str, ...] = ALL_LEVELS
     chunk: str | None = None
-    width: str = "1 minute"
+    width: str = "0 seconds"
     _next_batch: int = 0
 
     @property
@@ -139,8 +134,12 @@ class LiveJob:
 
     # ------------------------------------------------------------ batches
     def seed(self, history: DataFrame) -> None:
-        """Load history before the stream starts: the first batch continues it."""
-        kept = recent_candles(history.select(*CANDLE_COLUMNS), WARMUP_ROWS)
+        """Load history before the stream starts: the first batch continues it.
+
+        The last 50 candles per symbol are kept, 30 more than the features look
+        back, so up to 30 of them may come again on the stream.
+        """
+        kept = recent_candles(history.select(*CANDLE_COLUMNS))
         kept.write.mode("overwrite").parquet(self._slot("tail", -1))
 
     def process(self, candles: DataFrame, batch_id: int, keep: bool = True) -> None:
@@ -150,19 +149,17 @@ class LiveJob:
         before = batch_id if batch_id != PENDING else self._next_batch
         tail = self._kept("tail", before, CANDLE_SCHEMA)
         if new.isEmpty():
-            # Most triggers complete no window; what is kept moves on unchanged.
-            for table, kept in (
-                ("tail", tail),
-                ("latest", self._kept("latest", before, PREDICTION_SCHEMA)),
-            ):
-                if keep and (table == "tail" or self._scores):
-                    kept.write.mode("overwrite").parquet(self._slot(table, batch_id))
+            # Most triggers complete no candle; what is kept moves on unchanged.
+            if keep:
+                tail.write.mode("overwrite").parquet(self._slot("tail", batch_id))
+            if keep and self._scores:
+                known = self._kept("latest", before, PREDICTION_SCHEMA)
+                known.write.mode("overwrite").parquet(self._slot("latest", batch_id))
             return
-        if before == 0:
-            # Loaded history may overlap the first live candles.
-            tail = tail.join(new, ["symbol", "interval", "timestamp"], "left_anti").select(
-                *CANDLE_COLUMNS
-            )
+        # Loaded history may overlap the first live candles; the live ones count.
+        tail = tail.join(new, ["symbol", "interval", "timestamp"], "left_anti").select(
+            *CANDLE_COLUMNS
+        )
         both = new.withColumn("is_new", F.lit(True)).unionByName(
             tail.withColumn("is_new", F.lit(False))
         )
@@ -254,6 +251,6 @@ class LiveJob:
         self.process(open_rows, PENDING, keep=False)
 
     def _open_from(self, mark: str) -> Column:
-        """A window is open while its end is past the watermark."""
+        """A candle is open while its end is past the watermark."""
         start = F.to_timestamp(F.lit(mark)) - F.expr(f"INTERVAL {self.width}")
         return start + F.expr("INTERVAL 1 MICROSECOND")
