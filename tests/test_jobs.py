@@ -58,10 +58,45 @@ def test_lines_are_appended(spark, tmp_path):
     sinks.append_lines(one, path)
     assert m.load_candles(spark, path).count() == 2
     assert m.load_candles(spark, path, live=True).count() == 2
-    again = str(tmp_path / "l2")
-    query = sinks.stream_lines_to(m.stream_lines(spark, path), again, str(tmp_path / "cp"))
+
+
+def test_collecting_closed_messages(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    body = '{"e":"kline","s":"A","k":{"t":%d,"s":"A","x":%s}}'
+    rows = [
+        body % (1, "true"),
+        body % (2, "false"),
+        '{"stream":"a@kline_1m","data":' + body % (3, "true") + "}",
+        '{"e":"kline","s":"A","k":{"t":4}}',
+        '{"e":"trade","s":"A"}',
+        "broken",
+    ]
+    sinks.append_lines(spark.createDataFrame([(r,) for r in rows], "value string"), path)
+    state = str(tmp_path / "cp")
+    query = sinks.collect_closed(m.stream_lines(spark, path), out, state, available_now=True)
     query.awaitTermination(60)
-    assert m.load_candles(spark, again).count() == 2
+    good, _ = m.split_malformed(m.read_lines(spark, out))
+    got = m.klines(good)
+    assert sorted(r.open_ms for r in got.collect()) == [1, 3]
+    assert got.where("received_at is null or exchange != 'binance'").count() == 0
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    from wickwork import __main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    source = [{**r, "volume": r["volume"] + 1} for r in wave("A", range(1, 60))]
+    lines = m.message_lines(m.candle_messages(table(spark, source), closed=F.lit(True)))
+    sinks.append_lines(lines, raw)
+    cli.main(["batch", "--input", raw, "--output", out])
+    assert sources.read_features(spark, f"{out}/features").count() == 59
+    cli.main(["train", "--input", f"{out}/csv", "--output", f"{out}/model"])
+    cli.main(
+        ["live", "--input", raw, "--output", f"{out}/live", "--state", f"{out}/state", "--model", f"{out}/model"]
+    )
+    assert spark.read.parquet(f"{out}/live/clean").count() == 59
+    assert spark.read.parquet(f"{out}/live/outcomes").count() == 39
 
 
 def test_union_keeps_copies(spark):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 OWN = "_own"
-DEFAULT_CHUNK = "week"
+DEFAULT_CHUNK = "month"
 _EPOCH = "0001-01-01 00:00:00"
 
 

@@ -267,7 +267,7 @@ def features_full(spark, folder):
 
 @query
 def features_by_user(spark, folder):
-    return tidy(engineer_features(hourly_candles(spark, folder, symbol="user_id")))
+    return tidy(engineer_features(hourly_candles(spark, folder, symbol="user_id"), chunk="week"))
 
 
 def _group(name: str, columns: list[str]) -> None:
@@ -294,7 +294,7 @@ def serving_rows(spark, folder):
 
 @query
 def training_rows(spark, folder):
-    return tidy(training_set(hourly_candles(spark, folder)))
+    return tidy(training_set(hourly_candles(spark, folder), chunk="day"))
 
 
 @query
@@ -309,7 +309,7 @@ def latest_candle(spark, folder):
 
 def _split(mode: str) -> Query:
     def run(spark, folder):
-        split = ordered_split(training_set(hourly_candles(spark, folder)), mode)
+        split = ordered_split(training_set(hourly_candles(spark, folder)), mode, chunk="day")
         return split.groupBy("symbol", "part").agg(
             F.count(F.lit(1)).alias("records"),
             F.min("timestamp").alias("first_timestamp"),
@@ -390,7 +390,7 @@ def asof_outcomes(spark, folder):
     rows = engineer_features(candles, warm=True, stored=True)
     fit = rows.where("is_warm").dropna(subset=MODEL_INPUTS).where(F.col("momentum_5") > 0)
     made = outcomes.predictions(fit, outcomes.linear_score())
-    return tidy(outcomes.asof_outcomes(candles, made))
+    return tidy(outcomes.asof_outcomes(candles, made, chunk="day"))
 
 
 @query
@@ -400,7 +400,7 @@ def direction_accuracy(spark, folder):
 
 @query
 def running_accuracy(spark, folder):
-    done = outcomes.running_accuracy(_outcomes(spark, folder), n=50)
+    done = outcomes.running_accuracy(_outcomes(spark, folder), n=50, chunk="day")
     return tidy(done.select("symbol", "timestamp", "accuracy", "counted"))
 
 
@@ -522,7 +522,7 @@ def _stream(spark, folder, score=None) -> LiveJob:
         f"{out}/tables",
         f"{out}/state",
         score=score,
-        levels=("year", "month", "day"),
+        levels=("year", "month"),
         width="1 hour",
     )
     table = events(spark, folder)
@@ -556,13 +556,13 @@ def stream_features(spark, folder):
 def stream_outcomes(spark, folder):
     job = _stream(spark, folder, score=outcomes.linear_score())
     done = spark.read.parquet(f"{job.out}/outcomes")
-    return tidy(done.drop("batch", "year", "month", "day"))
+    return tidy(done.drop("batch", "year", "month"))
 
 
 # ----------------------------------------------------------------- indicators
 @query
 def indicator_rsi(spark, folder):
-    done = indicators.rsi(hourly_candles(spark, folder))
+    done = indicators.rsi(hourly_candles(spark, folder), chunk="day")
     return tidy(done.select("symbol", "timestamp", "rsi"))
 
 
@@ -591,7 +591,7 @@ def indicator_sliding(spark, folder):
 
 @query
 def indicator_macd(spark, folder):
-    done = indicators.macd(hourly_candles(spark, folder))
+    done = indicators.macd(hourly_candles(spark, folder), chunk="week")
     return tidy(
         done.select("symbol", "timestamp", "macd", "macd_signal", "macd_histogram")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wickwork.functions.columns import time_parts
 from wickwork.operators.quality import records_by_symbol
 from wickwork.schemas import FEATURE_COLUMNS, TIME_LEVELS
+from wickwork.sources.messages import closed_messages, message_lines
 
 ALL_LEVELS = tuple(TIME_LEVELS)
 ROWS_PER_FILE = 5_000_000
@@ -73,14 +74,16 @@ def append_lines(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("append").text(path)
 
 
-def stream_lines_to(lines: DataFrame, path: str, checkpoint: str):
-    """The same append as a streaming file sink."""
+def collect_closed(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False):
+    """Stream closed kline messages into record files, one JSON line each."""
+    kept = closed_messages(lines)
+    trigger = {"availableNow": True} if available_now else {"processingTime": "5 seconds"}
     return (
-        lines.select("value")
+        message_lines(kept)
         .writeStream.format("text")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -93,6 +93,14 @@ def normalise(
     )
 
 
+def closed_messages(lines: DataFrame, exchange: str = DEFAULT_EXCHANGE) -> DataFrame:
+    """Socket messages to normalised ones: klines whose candle is closed."""
+    closed = F.get_json_object("data", "$.k.x").try_cast("boolean")
+    return normalise(lines, exchange).where(
+        (F.col("event_type") == KLINE) & F.coalesce(closed, F.lit(False))
+    )
+
+
 def message_lines(messages: DataFrame) -> DataFrame:
     """Normalised messages back to one JSON line each, payload inlined."""
     head = F.to_json(
