@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wickwork.functions.columns import log_return
 from wickwork.operators import series
+from wickwork.session import materialise
 
 BY = ["symbol"]
 ORDER = ["timestamp"]
@@ -167,9 +168,14 @@ def macd(
     signal: int = 9,
     chunk: str = series.DEFAULT_CHUNK,
 ) -> DataFrame:
-    """Difference of two exponential averages of the close, and its signal line."""
+    """Difference of two exponential averages of the close, and its signal line.
+
+    Numbering the rows reads them more than once, so both passes start from a
+    written table.
+    """
     prices = candles.where(F.col("close").isNotNull()).select(*BY, *ORDER, "close")
+    prices = materialise(prices, "prices")
     lines = ema(prices, {"_fast": ("close", fast), "_slow": ("close", slow)}, chunk)
     lines = lines.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-    done = ema(lines, {"macd_signal": ("macd", signal)}, chunk)
+    done = ema(materialise(lines, "macd"), {"macd_signal": ("macd", signal)}, chunk)
     return done.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))

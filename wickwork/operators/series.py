@@ -144,7 +144,7 @@ def series_index(
     ``series_pos`` and ``series_rows`` count within the key; ``table_pos`` and
     ``table_rows`` count in ``(key, order)`` order over the table. Counts per
     ``(key, chunk)`` are accumulated instead of rows; rows are only numbered
-    inside their chunk.
+    inside their chunk. ``rows`` is read twice, so pass a stored table.
     """
     home = rows.withColumn(CHUNK, chunk_of(order[0], unit))
     sizes = home.groupBy(by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
@@ -225,8 +225,16 @@ def last_before(
     if unit is None:
         return seen(both, by)
     both = both.withColumn(CHUNK, chunk_of("_t", unit))
-    latest = F.max_by("_mark", F.when(F.col("_kind") == 1, F.col("_t")))
-    chunks = both.groupBy(*by, CHUNK).agg(latest.alias("_mark"))
+    # Per chunk: that it has rows, and its last mark. Two small tables.
+    present = left.select(*by, chunk_of("_t", unit).alias(CHUNK)).distinct()
+    closing = right.groupBy(*by, chunk_of("_t", unit).alias(CHUNK)).agg(
+        F.max_by("_mark", "_t").alias("_mark")
+    )
+    chunks = (
+        present.unionByName(closing, allowMissingColumns=True)
+        .groupBy(*by, CHUNK)
+        .agg(F.first("_mark", ignorenulls=True).alias("_mark"))
+    )
     earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     inherited = chunks.select(
         *by,

@@ -22,6 +22,7 @@ from wickwork.operators.training import (
     save_model,
     train,
 )
+from wickwork.session import materialise
 from wickwork.sinks.files import write_by_time, write_csv_by_symbol
 from wickwork.sources.files import read_feature_csv, read_features
 from wickwork.sources.messages import klines, read_lines, split_malformed, typed_candles
@@ -83,7 +84,8 @@ def train_on(
     """Label, split, fit, evaluate and save; nothing for an empty or tiny table."""
     if not has_rows(features, 1):
         return None, None
-    split = ordered_split(labelled(features, chunk), split_mode, chunk=chunk)
+    # The forest reads its input several times, so the split is written once.
+    split = materialise(ordered_split(labelled(features, chunk), split_mode, chunk=chunk), "split")
     model = train(split)
     if model is None:
         return None, None

@@ -87,6 +87,11 @@ def labelled_features(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("is_warm").dropna(subset=MODEL_INPUTS)
 
 
+def stored_training_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Training rows as a written table, for steps that read them repeatedly."""
+    return materialise(training_set(hourly_candles(spark, folder)), "training")
+
+
 def _is_closed() -> Column:
     return F.col("number_of_trades") >= 2
 
@@ -309,7 +314,7 @@ def latest_candle(spark, folder):
 
 def _split(mode: str) -> Query:
     def run(spark, folder):
-        split = ordered_split(training_set(hourly_candles(spark, folder)), mode, chunk="day")
+        split = ordered_split(stored_training_rows(spark, folder), mode, chunk="day")
         return split.groupBy("symbol", "part").agg(
             F.count(F.lit(1)).alias("records"),
             F.min("timestamp").alias("first_timestamp"),
@@ -436,7 +441,7 @@ def symbol_names(spark, folder):
 @query
 def naive_evaluation(spark, folder):
     """Test-part errors of the fixed linear score."""
-    split = ordered_split(training_set(hourly_candles(spark, folder)), "time")
+    split = ordered_split(stored_training_rows(spark, folder), "time")
     scored = split.where(F.col("part") == TEST).withColumn("prediction", outcomes.linear_score())
     return tidy(evaluate(scored))
 
@@ -506,7 +511,7 @@ def batch_job_report(spark, folder):
 
 @query
 def forest_predictions(spark, folder):
-    split = materialise(ordered_split(training_set(hourly_candles(spark, folder))), "split")
+    split = materialise(ordered_split(stored_training_rows(spark, folder)), "split")
     model = train(split)
     if model is None:
         return split.withColumn("prediction", F.lit(None).cast("double")).limit(0)

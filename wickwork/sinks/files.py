@@ -58,8 +58,8 @@ def write_csv_by_symbol(features: DataFrame, path: str) -> DataFrame:
     """
     rows = features.select(*FEATURE_COLUMNS, F.col("symbol").alias("series"))
     (
-        rows.repartitionByRange("symbol", "timestamp")
-        .sortWithinPartitions("symbol", "timestamp")
+        rows.repartitionByRange("series", "timestamp")
+        .sortWithinPartitions("series", "timestamp")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("header", True)
