@@ -23,9 +23,9 @@ def sparse(spark, seed, n=120):
     return table(spark, rows)
 
 
-@pytest.mark.parametrize("unit", ["hour", "day", "week"])
+@pytest.mark.parametrize("unit, long_rows", [("hour", None), ("day", 50), ("week", None), ("week", 0)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_halo_windows_equal_whole_series_windows(spark, unit, seed):
+def test_halo_windows_equal_whole_series_windows(spark, unit, long_rows, seed):
     rows = sparse(spark, seed)
 
     def windows(df, w):
@@ -36,7 +36,7 @@ def test_halo_windows_equal_whole_series_windows(spark, unit, seed):
             F.sum("close").over(w.rowsBetween(-7, 2)).alias("around"),
         )
 
-    haloed = series.with_halo(rows, BY, ORDER, unit, before=7, after=2)
+    haloed = series.with_halo(rows, BY, ORDER, unit, before=7, after=2, long_rows=long_rows)
     got = series.own_rows(windows(haloed, series.chunk_window(BY, ORDER)))
     want = windows(rows, series.series_window(BY, ORDER))
     assert bag(got) == bag(want)
@@ -51,6 +51,14 @@ def test_halo_copies_are_exactly_the_rows_needed(spark):
     assert per_chunk.where("copies > 4 or own = 0").count() == 0
 
 
+def test_short_series_stay_in_one_piece(spark):
+    rows = sparse(spark, 3)
+    haloed = series.with_halo(rows, BY, ORDER, "hour", before=4, long_rows=50)
+    copied = haloed.where(~F.col(series.OWN)).select("symbol").distinct().collect()
+    assert {r.symbol for r in copied} == {"A", None}
+    assert haloed.where("symbol = 'B'").select(series.CHUNK).distinct().count() == 1
+
+
 def test_slim_halo_reads_only_what_is_needed(spark):
     rows = sparse(spark, 4)
     haloed = series.with_halo(rows, BY, ORDER, "day", before=1, needed=["close"])

@@ -76,6 +76,7 @@ def engineer_features(
     warm: bool = False,
     stored: bool = False,
     keep: tuple[str, ...] = (),
+    long_rows: int | None = None,
 ) -> DataFrame:
     """The 26 feature columns, optionally with the label and a warm-up flag.
 
@@ -84,7 +85,8 @@ def engineer_features(
     is right only for small batches. Set ``stored`` when ``candles`` is a plain
     table scan: the edge rows are then read as four columns instead of sharing
     the shuffle that built the candles. ``keep`` names further input columns
-    to carry through.
+    to carry through. ``long_rows`` leaves shorter series uncut; set it where
+    many symbols have few candles per chunk.
     """
     extra = (["next_timestamp", "next_close", MODEL_LABEL] if label else []) + (["is_warm"] if warm else [])
     if chunk is None:
@@ -98,6 +100,7 @@ def engineer_features(
             before=LOOKBACK,
             after=1 if label else 0,
             needed=["close", "volume"] if stored else None,
+            long_rows=long_rows,
         )
         done = series.own_rows(_over(haloed, series.chunk_window(BY, ORDER), label, warm))
     return done.select(*FEATURE_COLUMNS, *extra, *keep)

@@ -36,13 +36,13 @@ def chunk_of(time: str, unit: str = DEFAULT_CHUNK):
     )
 
 
-def _attach(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+def _attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Adds the columns of a per-key table; a NULL key matches itself."""
     renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     match = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     )
-    return rows.join(renamed, match).drop(*[f"_key_{k}" for k in keys])
+    return rows.join(renamed, match, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def _spill(rows: DataFrame, by: list[str], order: list[str], rows_needed: int, forward: bool):
@@ -83,6 +83,21 @@ def _spill(rows: DataFrame, by: list[str], order: list[str], rows_needed: int, f
     )
 
 
+def _cut(rows: DataFrame, by: list[str], time: str, unit: str, long_rows: int | None):
+    """Adds the chunk; with ``long_rows``, shorter series stay in one piece."""
+    if long_rows is None:
+        return rows.withColumn(CHUNK, chunk_of(time, unit))
+    long = (
+        rows.groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > long_rows)
+        .select(*by, F.lit(True).alias("_long"))
+    )
+    whole = F.lit(_EPOCH).cast("timestamp_ntz")
+    chunk = F.when(F.col("_long"), chunk_of(time, unit)).otherwise(whole)
+    return _attach(rows, long, by, "left").withColumn(CHUNK, chunk).drop("_long")
+
+
 def with_halo(
     rows: DataFrame,
     by: list[str],
@@ -91,13 +106,18 @@ def with_halo(
     before: int = 0,
     after: int = 0,
     needed: list[str] | None = None,
+    long_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` plus neighbour copies, with ``_chunk`` and ``_own`` columns.
 
     ``order[0]`` is the time column. ``needed`` names the columns the windows
     read; in the copies the others are NULL, and not read from the source.
+
+    A series with fewer than ``before`` rows per chunk has its rows copied
+    several times over. Where many series are that thin, set ``long_rows``: one
+    more count per key, and only series with more rows than that are cut.
     """
-    home = rows.withColumn(CHUNK, chunk_of(order[0], unit)).withColumn(OWN, F.lit(True))
+    home = _cut(rows, by, order[0], unit, long_rows).withColumn(OWN, F.lit(True))
     slim = home
     if needed is not None:
         keep = {*by, *order, *needed, CHUNK, OWN}

@@ -173,7 +173,7 @@ placed AS (
 
 def _split(kind: str) -> str:
     return _TRAINING + f"""
-SELECT symbol, CASE WHEN {kind}_pos < {kind}_rows - ceil(0.2 * {kind}_rows) THEN 'train'
+SELECT symbol, CASE WHEN {kind}_pos < {kind}_rows - ceil(CAST(0.2 AS DOUBLE) * {kind}_rows) THEN 'train'
                     ELSE 'test' END AS part,
        count(*) AS records, min("timestamp") AS first_timestamp,
        max("timestamp") AS last_timestamp
@@ -358,7 +358,7 @@ FROM newest n LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = n.symbol"""
     "naive_evaluation": _TRAINING + """
 SELECT round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, count(e) AS test_rows
 FROM (SELECT 0.1 * momentum_5 - target_return AS e FROM placed
-      WHERE series_pos >= series_rows - ceil(0.2 * series_rows))""",
+      WHERE series_pos >= series_rows - ceil(CAST(0.2 AS DOUBLE) * series_rows))""",
     # market
     "buy_sell_ratio": "WITH " + TRADES.format(symbol="event_type") + """
 SELECT symbol, count(*) FILTER (NOT is_buyer_maker) AS buys,

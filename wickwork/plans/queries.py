@@ -19,7 +19,7 @@ from wickwork.operators.features import (
 from wickwork.operators.training import TEST, apply_model, evaluate, ordered_split, train
 from wickwork.plans.batch import run_batch
 from wickwork.schemas import CANDLE_COLUMNS, MODEL_INPUTS
-from wickwork.session import materialise, scratch_path
+from wickwork.session import materialise, pin_utc, scratch_path
 from wickwork.sinks.files import append_lines, write_by_time, write_csv_by_symbol
 from wickwork.sources.files import concat, read_feature_csv, read_features
 from wickwork.sources.messages import (
@@ -43,8 +43,14 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    """Register ``fn`` under its name, run with the session zone pinned."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        pin_utc(spark)
+        return fn(spark, folder)
+
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 # -------------------------------------------------------------------- helpers
@@ -272,7 +278,9 @@ def features_full(spark, folder):
 
 @query
 def features_by_user(spark, folder):
-    return tidy(engineer_features(hourly_candles(spark, folder, symbol="user_id"), chunk="week"))
+    """Many thin series: only those with more than 100 candles are cut."""
+    candles = hourly_candles(spark, folder, symbol="user_id")
+    return tidy(engineer_features(candles, chunk="week", long_rows=100))
 
 
 def _group(name: str, columns: list[str]) -> None:

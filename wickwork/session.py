@@ -28,12 +28,18 @@ def build_session(app: str = "wickwork", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Timestamps with and without a zone then read the same on every cluster."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only if it names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="wickwork-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wickwork-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 
