@@ -35,7 +35,7 @@ from wickwork.sources.messages import (
     subscriptions,
     typed_candles,
 )
-from wickwork.sources.tables import events, hourly_candles, trades
+from wickwork.sources.tables import as_trades, events, hourly_candles, trades
 from wickwork.streaming.live import LiveJob, trade_candles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -544,16 +544,7 @@ def _stream(spark, folder, score=None) -> LiveJob:
     )
 
     def build(rows):
-        amount = F.get_json_object("props", "$.k").try_cast("double")
-        shaped = rows.select(
-            F.col("event_id").alias("id"),
-            F.col("event_type").alias("symbol"),
-            F.col("ts").alias("time"),
-            F.col("value").alias("price"),
-            amount.alias("quantity"),
-            (amount % 2 == 1).alias("is_buyer_maker"),
-        )
-        return trade_candles(shaped, "1 hour", "1h", "events")
+        return trade_candles(as_trades(rows), "1 hour", "1h", "events")
 
     job.run(source, build, flush_from=table)
     return job
