@@ -2,9 +2,11 @@ import pytest
 from check import compare, sql_engine
 
 import __spark_entry__ as entry
+from wickwork.plans import oracle
+from wickwork.plans.queries import REGISTRY
 from wickwork.schemas import FEATURE_COLUMNS
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.queries(), oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def test_entry(spark):
 
 
 def test_only_the_forest_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"forest_predictions"}
+    assert set(REGISTRY) - set(SQL) == {"forest_predictions"}
     assert set(SQL) <= set(QUERIES)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,10 +35,17 @@ def pin_utc(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only if it names none."""
+    """The shared folder the cluster names.
+
+    Only a session with a local master may go without one: its executors are in
+    this process and share a temporary folder. Anything else raises, because
+    each executor would write to its own disk.
+    """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wickwork-"))
         root = context.getCheckpointDir()
     return root.rstrip("/")
