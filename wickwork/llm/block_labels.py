@@ -59,6 +59,14 @@ ROWS = [
     (40, 28, 60, 0.0, 0.2, 0.0, 0, 1, 0, 1),
     (28, 12, 33, 0.1, 0.4, 0.0, 0, 1, 0, 1),
     (30, 200, 20, 0.0, 0.1, 0.0, 0, 1, 0, 1),
+    (12, 10, 3, 0.0, 0.1, 0.0, 0, 1, 0, 1),
+    (9, 15, 4, 0.0, 0.15, 1.0, 0, 1, 0, 1),
+    (3, 8, 2, 1.0, 0.25, 0.0, 0, 1, 0, 1),
+    (20, 6, 25, 0.1, 0.5, 0.2, 0, 1, 0, 1),
+    (5, 40, 1, 1.0, 0.05, 1.0, 0, 1, 0, 1),
+    (1, 3, 1, 1.0, 0.0, 1.0, 0, 1, 0, 1),
+    (0, 5, 0, 0.0, 0.0, 0.0, 0, 1, 0, 1),
+    (0, 80, 0, 0.0, 0.3, 0.0, 0, 1, 0, 1),
     # Articles without an element of their own.
     (1, 9, 60, 1.0, 0.0, 0.0, 0, 0, 1, 1),
     (9, 60, 45, 0.0, 0.0, 0.0, 0, 0, 0, 1),

@@ -40,16 +40,16 @@ def first_row_number() -> int:
 
 
 def vector_sum(df: DataFrame, per_batch, size: int) -> np.ndarray:
-    """Element-wise sum of the vectors that ``per_batch(RecordBatch)`` gives."""
+    """Element-wise sum of the vectors that ``per_batch(RecordBatch)`` gives, one
+    from each task; zeros for an empty table."""
 
     def vectors(batches):
+        total = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
-                row = np.asarray(per_batch(batch), dtype=np.float64)
-                yield pa.record_batch([pa.array([row], pa.list_(pa.float64()))], ["v"])
-
-    summed = df.mapInArrow(vectors, "v array<double>").agg(
-        vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")
-    )
-    found = summed.first().v
-    return np.array(found) if found else np.zeros(size)
+                total += per_batch(batch)
+        yield pa.record_batch([pa.array([total], pa.list_(pa.float64()))], ["v"])
+
+    nothing = df.sparkSession.range(1).select(F.array_repeat(F.lit(0.0), size).alias("v"))
+    rows = df.mapInArrow(vectors, "v array<double>").union(nothing)
+    return np.array(rows.agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).first().v)
