@@ -25,9 +25,9 @@ def test_single_golden_candle(spark):
         "volume_change_pct", "momentum_5", "momentum_10",
     }
     assert {c for c in DERIVED_COLUMNS if row[c] is None} == nulls
-    assert row.ma_5 == row.ma_10 == row.ma_20 == 50100.0
-    assert row.volume_ma_5 == 100.5 and row.hl_spread == 300.0
-    assert row.hl_spread_pct == pytest.approx(300 / 49900 * 100)
+    assert row.ma_5 == row.ma_10 == row.ma_20 == 312.5
+    assert row.volume_ma_5 == 64.25 and row.hl_spread == 6.0
+    assert row.hl_spread_pct == pytest.approx(6 / 308 * 100)
 
 
 @pytest.mark.parametrize("chunk", [None, "hour", "week"])
@@ -141,3 +141,10 @@ def test_one_wide_shuffle(spark, folder):
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") == 1
     assert "ReusedExchange" in plan
+
+
+def test_intervals_are_series_of_their_own(spark):
+    rows = wave("A", range(30))
+    wide = [dict(r, interval="5m") for r in wave("A", range(0, 30, 5), base=900.0)]
+    apart = bag(f.engineer_features(table(spark, rows))) + bag(f.engineer_features(table(spark, wide)))
+    assert bag(f.engineer_features(table(spark, rows + wide))) == sorted(apart)

@@ -60,6 +60,19 @@ def test_lines_are_appended(spark, tmp_path):
     assert m.load_candles(spark, path, live=True).count() == 2
 
 
+def test_a_collection_keeps_its_history(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    old = spark.createDataFrame([(json.dumps(GOLDEN),)] * 3, "value string")
+    live = spark.createDataFrame([(json.dumps(GOLDEN["data"]),)] * 2, "value string")
+    sinks.append_lines(live, path)
+    for _ in range(2):
+        sinks.write_history(old, out)
+        query = sinks.collect_closed(m.stream_lines(spark, path), out, str(tmp_path / "cp"), True)
+        query.awaitTermination()
+        assert sources.read_collected(spark, out).count() == 5
+    assert sources.read_collected(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_collecting_closed_messages(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     body = '{"e":"kline","s":"A","k":{"t":%d,"s":"A","x":%s}}'
@@ -75,7 +88,7 @@ def test_collecting_closed_messages(spark, tmp_path):
     state = str(tmp_path / "cp")
     query = sinks.collect_closed(m.stream_lines(spark, path), out, state, available_now=True)
     query.awaitTermination(60)
-    good, _ = m.split_malformed(m.read_lines(spark, out))
+    good, _ = m.split_malformed(sources.read_collected(spark, out))
     got = m.klines(good)
     assert sorted(r.open_ms for r in got.collect()) == [1, 3]
     assert got.where("received_at is null or exchange != 'binance'").count() == 0

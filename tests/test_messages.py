@@ -22,12 +22,12 @@ def fields(spark, rows):
 
 def test_golden_message(spark):
     row = m.candles_from_rows(spark, [GOLDEN]).first()
-    assert row.timestamp.isoformat() == "2009-02-13T23:31:30"
-    assert (row.symbol, row.interval, row.exchange) == ("BTCUSDT", "1m", "binance")
-    assert (row.open, row.high, row.low, row.close) == (50000.0, 50200.0, 49900.0, 50100.0)
-    assert (row.volume, row.taker_buy_volume) == (100.5, 50.25)
-    assert (row.quote_volume, row.taker_buy_quote_volume) == (5000000.0, 2500000.0)
-    assert row.number_of_trades == 250
+    assert row.timestamp.isoformat() == "2024-04-01T00:00:00"
+    assert (row.symbol, row.interval, row.exchange) == ("ONETWO", "1m", "binance")
+    assert (row.open, row.high, row.low, row.close) == (310.25, 314.0, 308.0, 312.5)
+    assert (row.volume, row.taker_buy_volume) == (64.25, 31.5)
+    assert (row.quote_volume, row.taker_buy_quote_volume) == (20010.5, 9800.75)
+    assert row.number_of_trades == 37
 
 
 def test_case_only_keys_stay_apart(spark):
@@ -153,3 +153,22 @@ def test_the_line_is_parsed_once(spark):
     good, _ = m.split_malformed(lines(spark, [json.dumps(GOLDEN)]))
     plan = m.closed_only(m.klines(good))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_messages_of_odd_candles_are_whole(spark):
+    rows = [
+        candle("A", 0, 1.0), candle(None, 1, 2.0), candle('q"\\x', 2, 3.0), candle("B", None, 4.0),
+        candle("C", 3, 5.0, interval="1h"),
+    ]
+    out = m.message_lines(m.candle_messages(table(spark, rows), closed=F.lit(True)))
+    good, bad = m.split_malformed(out)
+    assert bad.count() == 0
+    back = m.typed_candles(m.klines(good), extra=("kline_close_time",)).collect()
+    assert sorted((r.symbol, r.close) for r in back) == sorted(
+        [("A", 1.0), ("UNKNOWN", 2.0), ('q"\\x', 3.0), ("B", 4.0), ("C", 5.0)]
+    )
+    times = {r.close: r for r in back}
+    assert times[4.0].timestamp is None and times[4.0].kline_close_time is None
+    for close, seconds in ((1.0, 59.999), (5.0, 3599.999)):
+        row = times[close]
+        assert (row.kline_close_time - row.timestamp).total_seconds() == seconds

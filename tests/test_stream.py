@@ -246,3 +246,29 @@ def test_sliding_windows_on_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     closed = sliding_stats(rows).where(F.col("window_end") <= F.lit("2024-01-01 00:29:30").cast("timestamp"))
     assert bag(spark.table("sliding")) == bag(closed)
+
+
+@pytest.mark.parametrize("batches", [1, 2, 3, 4])
+def test_an_idle_rerun_changes_nothing(spark, tmp_path, batches):
+    feed, rows = Feed(tmp_path / "in"), wave("A", range(40))
+    for i in range(batches):
+        part = rows[i * 40 // batches : (i + 1) * 40 // batches]
+        feed.add([message(r) for r in part])
+    expected = bag(engineer_features(table(spark, rows), None))
+    for _ in range(2):
+        job = job_at(spark, tmp_path)
+        run(spark, feed, job, flush=True)
+        assert bag(clean(spark, job)) == expected
+
+
+def test_seeding_on_every_start_keeps_what_ran(spark, tmp_path):
+    feed, rows = Feed(tmp_path / "in"), wave("A", range(90))
+    history = table(spark, rows[:30])
+    for i in range(30, 90, 15):
+        feed.add([message(r) for r in rows[i : i + 15]])
+        job = job_at(spark, tmp_path)
+        job.seed(history)
+        run(spark, feed, job, flush=True)
+    every = engineer_features(table(spark, rows), None)
+    expected = every.where(every.timestamp >= F.lit(rows[30]["timestamp"]))
+    assert bag(clean(spark, job)) == bag(expected)

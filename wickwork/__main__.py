@@ -22,7 +22,7 @@ def parser() -> argparse.ArgumentParser:
 
     collect = jobs.add_parser("collect", help="append closed kline messages as records")
     collect.add_argument("--input", required=True, help="folder of message lines")
-    collect.add_argument("--history", help="folder of earlier records to append first")
+    collect.add_argument("--history", help="folder of earlier records to keep beside the stream's")
     collect.add_argument("--output", required=True)
     collect.add_argument("--state", required=True)
     collect.add_argument("--duration", type=float, default=300)
@@ -34,6 +34,9 @@ def parser() -> argparse.ArgumentParser:
     live.add_argument("--model")
     live.add_argument("--history", help="folder of records loaded before the start")
     live.add_argument("--duration", type=float, help="seconds; default: read what is there")
+    live.add_argument("--delay", default="2 minutes", help="how late a candle may arrive")
+    live.add_argument("--chunk", default="month", help="calendar unit a series is cut into")
+    live.add_argument("--max-files", type=int, help="files in a micro-batch; default: all there are")
     return top
 
 
@@ -57,11 +60,11 @@ def run_train_job(spark, args) -> None:
 
 
 def run_collect_job(spark, args) -> None:
-    from wickwork.sinks.files import append_lines, collect_closed
+    from wickwork.sinks.files import collect_closed, write_history
     from wickwork.sources.messages import read_lines, stream_lines
 
     if args.history:
-        append_lines(read_lines(spark, args.history), args.output)
+        write_history(read_lines(spark, args.history), args.output)
     query = collect_closed(stream_lines(spark, args.input), args.output, args.state)
     query.awaitTermination(args.duration)
     query.stop()
@@ -73,12 +76,12 @@ def run_live_job(spark, args) -> None:
     from wickwork.streaming.live import LiveJob, kline_candles
 
     model = load_model(args.model) if args.model else None
-    job = LiveJob(spark, args.output, args.state, model=model)
+    job = LiveJob(spark, args.output, args.state, model=model, chunk=args.chunk)
     if args.history:
         job.seed(load_candles(spark, args.history))
     job.run(
-        stream_lines(spark, args.input),
-        kline_candles,
+        stream_lines(spark, args.input, args.max_files),
+        lambda lines: kline_candles(lines, args.delay),
         flush_from=read_lines(spark, args.input),
         timeout=args.duration,
     )

@@ -77,9 +77,10 @@ def sequence_key(ts: Column, tie: Column) -> Column:
 
     ``min_by``/``max_by`` over a struct key fall back to a sort-based aggregate;
     over a decimal they stay in the hash aggregate, on both sides of the shuffle.
+    A missing ``tie`` counts as 0, so that its row still takes part.
     """
     micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(18,0)")
     wide = F.lit("1" + "0" * 19).cast("decimal(20,0)")
-    return ((micros * wide).cast("decimal(37,0)") + tie.cast("decimal(19,0)")).cast(
+    return ((micros * wide).cast("decimal(37,0)") + F.coalesce(tie.cast("decimal(19,0)"), F.lit(0))).cast(
         "decimal(38,0)"
     )

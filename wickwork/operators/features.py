@@ -16,7 +16,8 @@ from wickwork.schemas import (
     WARMUP_ROWS,
 )
 
-BY = ["symbol"]
+# Candles of different widths are different series.
+BY = ["symbol", "interval"]
 ORDER = ["timestamp"]
 LOOKBACK = WARMUP_ROWS - 1
 

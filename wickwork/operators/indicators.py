@@ -122,6 +122,11 @@ def ema(
     only one number from the block before it. Rows are never gathered per
     symbol. The averaged columns must not be NULL.
     """
+    if len({span for _, span in averages.values()}) > 1:
+        # Blocks sized for a long span are too long for the powers of a short one.
+        for out, one in averages.items():
+            rows = ema(rows, {out: one}, chunk)
+        return rows
     longest = max(span for _, span in averages.values())
     size = math.ceil(40 / -math.log(1 - 2 / (longest + 1)))
     placed = (
@@ -171,11 +176,12 @@ def macd(
     """Difference of two exponential averages of the close, and its signal line.
 
     Numbering the rows reads them more than once, so both passes start from a
-    written table.
+    written table. Rows without a close are returned without averages.
     """
-    prices = candles.where(F.col("close").isNotNull()).select(*BY, *ORDER, "close")
-    prices = materialise(prices, "prices")
-    lines = ema(prices, {"_fast": ("close", fast), "_slow": ("close", slow)}, chunk)
+    every = materialise(candles.select(*BY, *ORDER, "close"), "prices")
+    lines = ema(every.where(F.col("close").isNotNull()), {"_fast": ("close", fast)}, chunk)
+    lines = ema(materialise(lines, "macd-fast"), {"_slow": ("close", slow)}, chunk)
     lines = lines.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
     done = ema(materialise(lines, "macd"), {"macd_signal": ("macd", signal)}, chunk)
-    return done.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    done = done.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    return done.unionByName(every.where(F.col("close").isNull()), allowMissingColumns=True)

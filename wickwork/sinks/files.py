@@ -69,19 +69,31 @@ def write_csv_by_symbol(features: DataFrame, path: str) -> DataFrame:
     return records_by_symbol(features)
 
 
+HISTORY, LIVE = "history", "live"
+
+
+def write_history(lines: DataFrame, path: str) -> None:
+    """Earlier lines (column ``value``) into the history folder of a collection.
+
+    The stream has a folder of its own: readers of a folder that a stream writes
+    see the stream's files only. Writing the history again replaces it.
+    """
+    lines.select("value").write.mode("overwrite").text(f"{path}/{HISTORY}")
+
+
 def append_lines(lines: DataFrame, path: str) -> None:
     """Append JSON lines (column ``value``)."""
     lines.select("value").write.mode("append").text(path)
 
 
 def collect_closed(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False):
-    """Stream closed kline messages into record files, one JSON line each."""
+    """Stream closed kline messages into the live folder of a collection, one JSON line each."""
     kept = closed_messages(lines)
     trigger = {"availableNow": True} if available_now else {"processingTime": "5 seconds"}
     return (
         message_lines(kept)
         .writeStream.format("text")
-        .option("path", path)
+        .option("path", f"{path}/{LIVE}")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**trigger)

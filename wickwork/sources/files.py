@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from wickwork.schemas import CANDLE_SCHEMA, FEATURE_SCHEMA, MESSAGE_SCHEMA
+from wickwork.sinks.files import HISTORY, LIVE
 
 
 def read_feature_csv(spark: SparkSession, path) -> DataFrame:
@@ -34,6 +36,18 @@ def read_messages(spark: SparkSession, path) -> DataFrame:
     return spark.read.parquet(path).select(*MESSAGE_SCHEMA.names)
 
 
+def read_collected(spark: SparkSession, path: str) -> DataFrame:
+    """All lines of a collection: its history, if it has one, and what was streamed."""
+    parts = []
+    for name in (HISTORY, LIVE):
+        try:
+            parts.append(spark.read.text(f"{path}/{name}"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return concat(*parts) if parts else spark.createDataFrame([], "value string")
+
+
 def concat(*frames: DataFrame) -> DataFrame:
     """Bag union by column name; duplicates stay."""
     first, *rest = frames

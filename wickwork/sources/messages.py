@@ -22,6 +22,7 @@ from wickwork.schemas import (
     POSITIONAL_FIELDS,
 )
 
+INTERVAL_MS = {"s": 1_000, "m": 60_000, "h": 3_600_000, "d": 86_400_000, "w": 604_800_000}
 _PARSE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
 
 
@@ -230,11 +231,8 @@ def kline_json(candles: DataFrame, closed: Column | None = None) -> Column:
     def text(name: str) -> Column:
         return F.col(name).cast("string")
 
-    step = F.lit(60_000)
     start = F.unix_millis(F.col("timestamp").cast("timestamp"))
-    end = start + step - 1
-    if "kline_close_time" in candles.columns:
-        end = F.unix_millis(F.col("kline_close_time").cast("timestamp"))
+    end = _close_ms(candles)
     pairs = {
         "t": start,
         "s": F.col("symbol"),
@@ -260,25 +258,42 @@ def kline_json(candles: DataFrame, closed: Column | None = None) -> Column:
 
 
 def _merge_objects(left: Column, right: Column) -> Column:
-    """Two non-empty JSON objects as one."""
-    return F.concat(
+    """Two JSON objects as one."""
+    both = F.concat(
         F.substring(left, F.lit(1), F.length(left) - 1), F.lit(","), F.substring(right, F.lit(2), F.length(right))
     )
+    return F.when(left == "{}", right).when(right == "{}", left).otherwise(both)
+
+
+def _close_ms(candles: DataFrame) -> Column:
+    """The last millisecond of a candle: as given, else by its interval's length.
+
+    An interval that is not a number and a unit counts as one minute.
+    """
+    start = F.unix_millis(F.col("timestamp").cast("timestamp"))
+    count = F.regexp_extract("interval", r"^(\d+)[smhdwM]$", 1).try_cast("bigint")
+    unit = F.regexp_extract("interval", r"^\d+([smhdwM])$", 1)
+    width = F.coalesce(
+        *[F.when(unit == name, count * ms) for name, ms in INTERVAL_MS.items()], F.lit(60_000)
+    )
+    by_month = F.unix_millis(F.col("timestamp").cast("timestamp") + F.make_interval(months=count.cast("int")))
+    end = F.when(unit == "M", by_month).otherwise(start + width) - 1
+    if "kline_close_time" in candles.columns:
+        end = F.coalesce(F.unix_millis(F.col("kline_close_time").cast("timestamp")), end)
+    return end
 
 
 def candle_messages(
     candles: DataFrame, closed: Column | None = None, received_at: Column | None = None
 ) -> DataFrame:
-    """Candles as normalised kline messages, the payload being JSON text."""
-    payload = F.concat(
-        F.lit('{"e":"kline","E":'),
-        F.unix_millis(F.col("timestamp").cast("timestamp")).cast("string"),
-        F.lit(',"s":"'),
-        F.col("symbol"),
-        F.lit('","k":'),
-        kline_json(candles, closed),
-        F.lit("}"),
-    )
+    """Candles as normalised kline messages, the payload being JSON text.
+
+    A missing symbol or time leaves its fields out. The event time is the close.
+    """
+    head = F.to_json(F.struct(F.lit(KLINE).alias("e"), F.col("symbol").alias("s")))
+    event = F.to_json(F.struct(_close_ms(candles).alias("E")))
+    body = F.concat(F.lit('{"k":'), kline_json(candles, closed), F.lit("}"))
+    payload = _merge_objects(_merge_objects(head, event), body)
     return candles.select(
         F.lit(KLINE).alias("event_type"),
         "symbol",

@@ -8,7 +8,9 @@ candles plus the last 20 of each symbol, which are kept in a small table.
 
 All tables are written per batch id and overwritten on a replay, so a failed
 batch can be run again with the same result. The kept rows alternate between
-three slots: a batch reads its predecessor's slot and never writes to it.
+three slots: a batch reads its predecessor's slot and never writes to it. The
+last write of a batch is its id and the newest candle so far; a restart and the
+flush at the end go by that, not by the query's progress report.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wickwork.operators.candles import build_candles, dedupe_candles
 from wickwork.operators.features import engineer_features, recent_candles
 from wickwork.operators.outcomes import asof_outcomes, latest_predictions, predictions
+from wickwork.operators.series import DEFAULT_CHUNK
 from wickwork.operators.training import apply_model
 from wickwork.schemas import (
     CANDLE_COLUMNS,
@@ -40,6 +43,9 @@ from wickwork.sources.messages import closed_only, klines, split_malformed, type
 CLEAN_SCHEMA = T.StructType(
     [*FEATURE_SCHEMA.fields, T.StructField("is_warm", T.BooleanType())]
 )
+PROGRESS = T.StructType(
+    [T.StructField("batch", T.IntegerType()), T.StructField("newest", T.TimestampType())]
+)
 PENDING = -1
 SLOTS = 3
 
@@ -86,8 +92,8 @@ class LiveJob:
     shared folders. ``model`` or ``score`` turns scoring on. ``width`` is the
     candle width when candles are built from trades, as those stay open until
     their window ends; ready-made candles need none. ``chunk`` cuts the series of a
-    micro-batch as in batch jobs; without it one task handles a symbol's new
-    candles, of which there is at most one per window of time in the batch.
+    micro-batch as in batch jobs, so that a backlog is spread over tasks; with
+    ``None`` one task handles a symbol's new candles.
     """
 
     spark: SparkSession
@@ -96,9 +102,8 @@ class LiveJob:
     model: PipelineModel | None = None
     score: Column | None = None
     levels: tuple[str, ...] = ALL_LEVELS
-    chunk: str | None = None
+    chunk: str | None = DEFAULT_CHUNK
     width: str = "0 seconds"
-    _next_batch: int = 0
 
     @property
     def _scores(self) -> bool:
@@ -112,13 +117,31 @@ class LiveJob:
         return f"{self.state}/{table}/slot={batch_id % SLOTS}"
 
     def _kept(self, table: str, batch_id: int, schema) -> DataFrame:
-        """What the previous batch kept; empty before the first one."""
-        path = self._slot(table, batch_id - 1)
-        empty = self.spark.createDataFrame([], schema)
-        if batch_id == 0 and not self._exists(path):
-            return empty
+        """What the previous batch kept; before the first one, the seed if there is one."""
+        path = self._slot(table, batch_id - 1) if batch_id else f"{self.state}/seed/{table}"
+        if not batch_id and not self._exists(path):
+            return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def _done(self) -> tuple[int, object]:
+        """(last finished batch or -1, start of the newest candle written so far)."""
+        last = PENDING, None
+        for slot in range(SLOTS):
+            path = self._slot("progress", slot)
+            if self._exists(path):
+                row = self.spark.read.schema(PROGRESS).parquet(path).first()
+                if row.batch > last[0]:
+                    last = row.batch, row.newest
+        return last
+
+    def _mark(self, new: DataFrame, batch_id: int) -> None:
+        newest = self._kept("progress", batch_id, PROGRESS).select("newest") if batch_id else None
+        seen = new.select(F.col("timestamp").alias("newest"))
+        seen = seen.unionByName(newest) if newest is not None else seen
+        seen.agg(F.lit(batch_id).alias("batch"), F.max("newest").alias("newest")).coalesce(
+            1
+        ).write.mode("overwrite").parquet(self._slot("progress", batch_id))
+
     def _exists(self, path: str) -> bool:
         """Whether a folder can be read, asked through Spark's own reader."""
         try:
@@ -137,16 +160,17 @@ class LiveJob:
         """Load history before the stream starts: the first batch continues it.
 
         The last 50 candles per symbol are kept, 30 more than the features look
-        back, so up to 30 of them may come again on the stream.
+        back, so up to 30 of them may come again on the stream. Once a batch
+        is done its own rows count: seeding again on a restart changes nothing.
         """
         kept = recent_candles(history.select(*CANDLE_COLUMNS))
-        kept.write.mode("overwrite").parquet(self._slot("tail", -1))
+        kept.write.mode("overwrite").parquet(f"{self.state}/seed/tail")
 
     def process(self, candles: DataFrame, batch_id: int, keep: bool = True) -> None:
         """One micro-batch. Everything after the first write reads that table."""
         self._write(candles.select(*CANDLE_COLUMNS), "raw", batch_id)
         new = self._read_raw(batch_id)
-        before = batch_id if batch_id != PENDING else self._next_batch
+        before = batch_id if batch_id != PENDING else self._done()[0] + 1
         tail = self._kept("tail", before, CANDLE_SCHEMA)
         if new.isEmpty():
             # Most triggers complete no candle; what is kept moves on unchanged.
@@ -155,6 +179,8 @@ class LiveJob:
             if keep and self._scores:
                 known = self._kept("latest", before, PREDICTION_SCHEMA)
                 known.write.mode("overwrite").parquet(self._slot("latest", batch_id))
+            if keep:
+                self._mark(new, batch_id)
             return
         # Loaded history may overlap the first live candles; the live ones count.
         tail = tail.join(new, ["symbol", "interval", "timestamp"], "left_anti").select(
@@ -172,6 +198,8 @@ class LiveJob:
             )
         if self._scores:
             self._score(new, batch_id, before, keep)
+        if keep:
+            self._mark(new, batch_id)
 
     def _score(self, new: DataFrame, batch_id: int, before: int, keep: bool) -> None:
         clean = self.spark.read.schema(CLEAN_SCHEMA).parquet(self.path("clean", batch_id))
@@ -229,7 +257,7 @@ class LiveJob:
             query.awaitTermination(timeout)
             query.stop()
         if flush_from is not None:
-            self.flush(query, build(flush_from))
+            self.flush(build(flush_from))
         return query
 
     def _clear_pending(self) -> None:
@@ -239,18 +267,12 @@ class LiveJob:
             if self._exists(self.path(table, PENDING)):
                 self._write(nothing, table, PENDING)
 
-    def flush(self, query: StreamingQuery, candles: DataFrame) -> None:
-        """Write the windows the watermark has not passed."""
-        last = query.lastProgress
-        open_rows = candles
-        if last is not None:
-            self._next_batch = last["batchId"] + 1
-            mark = last["eventTime"].get("watermark")
-            if mark:
-                open_rows = candles.where(F.col("timestamp") >= self._open_from(mark))
-        self.process(open_rows, PENDING, keep=False)
+    def flush(self, candles: DataFrame) -> None:
+        """Write the windows that no batch has written.
 
-    def _open_from(self, mark: str) -> Column:
-        """A candle is open while its end is past the watermark."""
-        start = F.to_timestamp(F.lit(mark)) - F.expr(f"INTERVAL {self.width}")
-        return start + F.expr("INTERVAL 1 MICROSECOND")
+        Candles leave the stream in the order of their end, so those after the
+        newest written one are the open ones.
+        """
+        newest = self._done()[1]
+        open_rows = candles if newest is None else candles.where(F.col("timestamp") > F.lit(newest))
+        self.process(open_rows, PENDING, keep=False)
