@@ -4,11 +4,13 @@ assembling the records of a transaction.
 A capture is three records: the request and the metadata name the response (or
 revisit) in WARC-Concurrent-To. Files are written by Spark's text writer: a
 record is one value, and the blank lines that end it are the line separator, so
-any file system that Spark writes to will do.
+any file system that Spark writes to will do. A file is compressed as a whole;
+reading also takes plain files and files compressed record by record.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -137,6 +139,7 @@ def write_archives(pages: DataFrame, path: str, id_col="page_id", url_col="url",
         rows.select(value.alias("value"))
         .write.option("lineSep", CRLF + CRLF)
         .option("maxRecordsPerFile", per_file)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -149,8 +152,12 @@ def _headers(block: bytes) -> dict[str, list[str]]:
     return found
 
 
+def plain_bytes(content: bytes) -> bytes:
+    return gzip.decompress(content) if content.startswith(b"\x1f\x8b") else content
+
+
 def parse_records(content: bytes):
-    """(offset, headers, body) of each record of an uncompressed archive.
+    """(offset, headers, body) of each record of an archive without its compression.
 
     Reading goes on by Content-Length. Where no record begins, the rest of the
     file is an error, not a silent end.
@@ -184,7 +191,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 rows = []
-                for at, head, body in parse_records(content.as_py()):
+                for at, head, body in parse_records(plain_bytes(content.as_py())):
                     one = lambda k, head=head: head.get(k, [None])[0]
                     kind, payload, digest = one("warc-type"), None, None
                     if kind in ("response", "revisit"):
