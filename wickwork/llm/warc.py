@@ -249,14 +249,16 @@ def transactions(records: DataFrame) -> DataFrame:
 
 
 def resolve_revisits(found: DataFrame) -> DataFrame:
-    """``found`` with the struct ``original``, the response that a revisit refers to."""
+    """``found`` with the struct ``original``: the response that a revisit refers to,
+    for a response itself, so that rows without a reference are not all one key."""
     originals = found.where(F.col("response.warc_type") == "response").select(
         F.col("capture").alias("refers"),
         F.struct(
             F.col("response.payload_bytes").alias("payload_bytes"), page_of(F.col("metadata.body")).alias("page")
         ).alias("original"),
     )
-    return found.withColumn("refers", F.col("response.refers_to")).join(originals, "refers", "left").drop("refers")
+    refers = F.coalesce("response.refers_to", "capture")
+    return found.withColumn("refers", refers).join(originals, "refers", "left").drop("refers")
 
 
 def page_of(body: Column) -> Column:
@@ -283,5 +285,5 @@ def archive_pages(pages: DataFrame, id_col="page_id", url_col="url", html_col="h
         size.alias("payload_bytes"),
         F.col("response.payload_digest").alias("payload_digest"),
         F.col("response.warc_type").alias("record_type"),
-        F.col("original.page").alias("refers_to"),
+        F.when(F.col("response.warc_type") == "revisit", F.col("original.page")).alias("refers_to"),
     )
