@@ -53,6 +53,7 @@ def run(spark, feed, job, flush=False):
 
 def job_at(spark, path, **options):
     options.setdefault("levels", ("year", "month", "day"))
+    options.setdefault("chunk", None)
     return LiveJob(spark, str(path / "out"), str(path / "state"), **options)
 
 
@@ -248,7 +249,7 @@ def test_sliding_windows_on_a_stream(spark, tmp_path):
     assert bag(spark.table("sliding")) == bag(closed)
 
 
-@pytest.mark.parametrize("batches", [1, 2, 3, 4])
+@pytest.mark.parametrize("batches", [1, 4])
 def test_an_idle_rerun_changes_nothing(spark, tmp_path, batches):
     feed, rows = Feed(tmp_path / "in"), wave("A", range(40))
     for i in range(batches):
