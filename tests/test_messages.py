@@ -52,6 +52,27 @@ def test_malformed_lines_are_set_aside(spark):
     assert sorted(r.line for r in bad.collect()) == sorted(rows[:5])
 
 
+def test_text_after_the_object_is_set_aside(spark):
+    one = json.dumps(GOLDEN)
+    rows = [one + one, one + "," + one, one + " tail", one + "}", one + "]", '{"a":1},"x":2', "null"]
+    good, bad = m.split_malformed(lines(spark, [*rows, one + "  "]))
+    assert good.count() == 1
+    assert sorted(r.line for r in bad.collect()) == sorted(rows)
+
+
+def test_every_line_arrives_as_one_row(spark):
+    body = '{"e":"kline","s":"A","k":{"t":1,"x":true}}'
+    rows = [
+        json.dumps(GOLDEN), body, '{"stream":"a@kline_1m","data":' + body + "}",
+        '{"e":"kline","s":"A","k":{"t":1}}', '{"e":"trade","s":"A"}', '{"x":1}', "oops", "",
+    ]
+    got = m.arrived(lines(spark, rows), arrival=F.timestamp_seconds(F.lit(5))).collect()
+    assert [r.kind for r in got] == ["closed"] * 3 + ["in_progress"] + ["other"] * 2 + ["rejected"] * 2
+    assert [r.line for r in got] == [None] * 6 + ["oops", ""]
+    assert got[0].received_at == GOLDEN["received_at"] and got[1].received_at == 5.0
+    assert [json.loads(r.data) for r in got[:3]] == [GOLDEN["data"], json.loads(body), json.loads(body)]
+
+
 def test_other_events_are_dropped(spark):
     rows = [
         json.dumps({"event_type": "trade", "data": {"p": "1"}}),

@@ -145,7 +145,18 @@ LINE_SCHEMA = (
     "event_type string, symbol string, exchange string, stream string, "
     "e string, s string, k map<string,string>, "
     "data struct<e:string, s:string, symbol:string, k:map<string,string>>, "
-    "received_at string, client_timestamp string, malformed string"
+    "received_at string, client_timestamp string"
+)
+
+# A message as it arrived: what it is, the message itself, when it came, and the
+# whole line if it could not be read.
+LANDED_SCHEMA = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        *MESSAGE_SCHEMA.fields,
+        T.StructField("arrival", T.TimestampType()),
+        T.StructField("line", T.StringType()),
+    ]
 )
 
 TRADE_SCHEMA = T.StructType(

@@ -19,10 +19,12 @@ from wickwork.schemas import (
     KLINE,
     KLINE_FIELDS,
     LINE_SCHEMA,
+    MESSAGE_SCHEMA,
     POSITIONAL_FIELDS,
 )
 
 INTERVAL_MS = {"s": 1_000, "m": 60_000, "h": 3_600_000, "d": 86_400_000, "w": 604_800_000}
+CLOSED, IN_PROGRESS, OTHER, REJECTED = "closed", "in_progress", "other", "rejected"
 _PARSE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
 
 
@@ -40,22 +42,31 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """One parse per line; other columns are carried along.
-
-    ``inline`` of a one-element array keeps later filters above the parse, so
-    the optimizer cannot copy the parse into the filter and run it twice.
+    """One parse per line; other columns are carried along. ``readable`` says
+    whether the line is one JSON object and nothing else.
+
+    The line is parsed as the only element of an array inside an object with an
+    end mark: text after the first object, or a second object, then breaks the
+    parse, adds an element or hides the mark. ``inline`` of a one-element array
+    keeps later filters above the parse, so the optimizer cannot copy the parse
+    into the filter and run it twice.
     """
     carried = [c for c in lines.columns if c != "value"]
-    parsed = F.inline(F.array(F.from_json("value", LINE_SCHEMA, _PARSE)))
-    return lines.select(*carried, "value", parsed)
+    closed_in = F.concat(F.lit('{"line":['), F.col("value"), F.lit('],"end":1}'))
+    schema = f"line array<struct<{LINE_SCHEMA}>>, end int, malformed string"
+    parsed = lines.select(*carried, "value", F.inline(F.array(F.from_json(closed_in, schema, _PARSE))))
+    whole = F.col("malformed").isNull() & F.col("end").isNotNull() & (F.size("line") == 1)
+    readable = F.coalesce(whole & F.get("line", F.lit(0)).isNotNull(), F.lit(False))
+    return parsed.select(
+        *carried, "value", readable.alias("readable"), F.inline_outer(F.slice("line", 1, 1))
+    )
 
 
 def split_malformed(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(parsed, quarantine)``: unreadable lines are kept, never raised on."""
     parsed = parse_lines(lines)
-    bad = F.col("malformed").isNotNull() | F.col("value").isNull() | (F.trim("value") == "")
-    good = parsed.where(~bad).drop("malformed")
-    return good, parsed.where(bad).select(F.col("value").alias("line"))
+    good = parsed.where("readable").drop("readable")
+    return good, parsed.where(~F.col("readable")).select(F.col("value").alias("line"))
 
 
 def unwrap_envelope(lines: DataFrame) -> DataFrame:
@@ -68,38 +79,66 @@ def unwrap_envelope(lines: DataFrame) -> DataFrame:
     )
 
 
-def normalise(
+def arrived(
     lines: DataFrame,
     exchange: str = DEFAULT_EXCHANGE,
     arrival: Column | None = None,
 ) -> DataFrame:
-    """Socket messages, wrapped or bare, to the stored message shape.
+    """Every line as one row of ``LANDED_SCHEMA``, whatever it holds.
 
-    Adds arrival time and keeps the payload as JSON text. ``arrival`` defaults
-    to the time of the query run.
+    ``kind`` is ``closed`` or ``in_progress`` for klines, ``other`` for other
+    events and ``rejected`` for lines that are not one JSON object; these keep
+    their text in ``line`` and have no message. Stored records keep their own
+    arrival; else it is ``arrival``, by default the time of the query run.
     """
     arrival = F.current_timestamp() if arrival is None else arrival
-    body = unwrap_envelope(lines)
-    names = F.from_json(
-        "value", "e string, s string, symbol string, malformed string", _PARSE
+    stored = F.col("event_type").isNotNull() & F.col("data").isNotNull()
+    wrapped = F.col("stream").isNotNull() | stored
+    event = F.coalesce("event_type", F.col("data.e"), "e")
+    flag = F.coalesce(F.col("data.k"), F.col("k")).getItem("x").try_cast("boolean")
+    kind = (
+        F.when(~F.col("readable"), REJECTED)
+        .when(F.coalesce(event != KLINE, F.lit(True)), OTHER)
+        .when(F.coalesce(flag, F.lit(False)), CLOSED)
+        .otherwise(IN_PROGRESS)
     )
-    message = body.select(F.inline(F.array(names)), "value", arrival.alias("arrival"))
-    return message.where(F.col("malformed").isNull()).select(
-        F.col("e").alias("event_type"),
-        F.coalesce("s", "symbol", F.lit("unknown")).alias("symbol"),
-        F.lit(exchange).alias("exchange"),
-        F.col("value").alias("data"),
-        (F.unix_micros("arrival") / F.lit(1e6)).alias("received_at"),
-        F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("client_timestamp"),
+    body = F.when(wrapped, F.get_json_object("value", "$.data")).otherwise(F.col("value"))
+    message = {
+        "event_type": event,
+        "symbol": F.coalesce(F.col("data.s"), F.col("data.symbol"), "s", "symbol", F.lit("unknown")),
+        "exchange": F.coalesce(F.when(stored, F.col("exchange")), F.lit(exchange)),
+        "data": body,
+        "received_at": F.coalesce(
+            F.when(stored, F.col("received_at").try_cast("double")),
+            F.unix_micros("arrival") / F.lit(1e6),
+        ),
+        "client_timestamp": F.coalesce(
+            F.when(stored, F.col("client_timestamp")),
+            F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
+        ),
+    }
+    return parse_lines(lines.select("value", arrival.alias("arrival"))).select(
+        kind.alias("kind"),
+        *[F.when(F.col("readable"), c).alias(name) for name, c in message.items()],
+        "arrival",
+        F.when(~F.col("readable"), F.col("value")).alias("line"),
     )
 
 
+def normalise(
+    lines: DataFrame,
+    exchange: str = DEFAULT_EXCHANGE,
+    arrival: Column | None = None,
+) -> DataFrame:
+    """Socket messages, wrapped or bare, to the stored message shape."""
+    rows = arrived(lines, exchange, arrival)
+    return rows.where(F.col("kind") != REJECTED).select(*MESSAGE_SCHEMA.names)
+
+
 def closed_messages(lines: DataFrame, exchange: str = DEFAULT_EXCHANGE) -> DataFrame:
     """Socket messages to normalised ones: klines whose candle is closed."""
-    closed = F.get_json_object("data", "$.k.x").try_cast("boolean")
-    return normalise(lines, exchange).where(
-        (F.col("event_type") == KLINE) & F.coalesce(closed, F.lit(False))
-    )
+    rows = arrived(lines, exchange)
+    return rows.where(F.col("kind") == CLOSED).select(*MESSAGE_SCHEMA.names)
 
 
 def message_lines(messages: DataFrame) -> DataFrame:
