@@ -63,6 +63,25 @@ def test_running_accuracy(spark):
         assert r.accuracy == pytest.approx(sum(part) / len(part) * 100)
 
 
+@pytest.mark.parametrize("n", [1, 7, 1000])
+def test_running_accuracy_across_chunks_and_symbols(spark, n):
+    rows = [
+        (s, i * 30_000, 1.0, 1.0 if (i * 7 + len(s)) % 3 else -1.0)
+        for s in ("A", "BB") for i in range(25)
+    ]
+    made = outcomes_table(spark, rows)
+    made = made.withColumn("direction_correct", F.when(F.minute("timestamp") != 20, F.col("direction_correct")))
+    got = o.running_accuracy(made, n=n, chunk="day").orderBy("symbol", "timestamp").collect()
+    assert len(got) == 50
+    for s in ("A", "BB"):
+        mine = [r for r in got if r.symbol == s]
+        hits = [r.direction_correct for r in mine]
+        for i, r in enumerate(mine):
+            part = [h for h in hits[max(0, i - n + 1) : i + 1] if h is not None]
+            assert r.counted == min(i + 1, n)
+            assert r.accuracy == (pytest.approx(sum(part) / len(part) * 100) if part else None)
+
+
 def test_lookup(spark):
     made = o.predictions(
         table(spark, [candle("AAA", 1, 100.0)]).withColumn("momentum_5", F.lit(2.0)), o.linear_score()

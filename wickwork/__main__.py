@@ -73,18 +73,25 @@ def run_collect_job(spark, args) -> None:
 def run_live_job(spark, args) -> None:
     from wickwork.operators.training import load_model
     from wickwork.sources.messages import load_candles, read_lines, stream_lines
+    from wickwork.streaming.landing import Landing
     from wickwork.streaming.live import LiveJob, kline_candles
 
     model = load_model(args.model) if args.model else None
     job = LiveJob(spark, args.output, args.state, model=model, chunk=args.chunk)
     if args.history:
         job.seed(load_candles(spark, args.history))
+    landing = Landing(spark, args.output, args.state)
+    landed = landing.start(stream_lines(spark, args.input, args.max_files), args.duration is None)
     job.run(
         stream_lines(spark, args.input, args.max_files),
         lambda lines: kline_candles(lines, args.delay),
         flush_from=read_lines(spark, args.input),
         timeout=args.duration,
     )
+    if args.duration is None:
+        landed.awaitTermination()
+    landed.stop()
+    landing.counts().show()
 
 
 def main(argv=None) -> None:

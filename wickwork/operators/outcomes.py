@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wickwork.functions.columns import confidence, direction_hit, pct_change, predicted_price
 from wickwork.operators import series
 from wickwork.schemas import OUTCOME_HISTORY, WAITING
+from wickwork.session import materialise
 
 
 def linear_score() -> Column:
@@ -100,18 +101,34 @@ def metrics(outcomes: DataFrame, last_trained=None, n: int = OUTCOME_HISTORY) ->
 def running_accuracy(
     outcomes: DataFrame, n: int = OUTCOME_HISTORY, chunk: str = series.DEFAULT_CHUNK
 ) -> DataFrame:
-    """Per symbol, hit rate and count over the ``n`` outcomes up to each one."""
-    by, order = ["symbol"], ["timestamp"]
-    haloed = series.with_halo(
-        outcomes, by, order, chunk, before=n - 1, needed=["direction_correct"]
+    """Per symbol, hit rate and count over the ``n`` outcomes up to each one.
+
+    The difference of two running totals, ``n`` positions apart: no row is copied,
+    whatever ``n`` is. Totals are counts, so differences are exact.
+    """
+    hit = F.col("direction_correct").cast("bigint")
+    totals = {
+        "_pos": F.lit(1).cast("bigint"),
+        "_hits": F.coalesce(hit, F.lit(0)),
+        "_known": hit.isNotNull().cast("bigint"),
+    }
+    stored = materialise(outcomes, "outcomes")
+    now = materialise(series.running_totals(stored, ["symbol"], ["timestamp"], totals, chunk), "running")
+    then = now.select(
+        F.col("symbol").alias("_symbol"),
+        (F.col("_pos") + n).alias("_at"),
+        F.col("_hits").alias("_hits_then"),
+        F.col("_known").alias("_known_then"),
     )
-    w = series.chunk_window(by, order).rowsBetween(1 - n, 0)
-    done = haloed.select(
-        "*",
-        (F.avg(F.col("direction_correct").cast("double")).over(w) * 100).alias("accuracy"),
-        F.count(F.lit(1)).over(w).alias("counted"),
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_pos") == F.col("_at"))
+    joined = now.join(then, same, "left")
+    hits = F.col("_hits") - F.coalesce("_hits_then", F.lit(0))
+    known = F.col("_known") - F.coalesce("_known_then", F.lit(0))
+    return joined.select(
+        *outcomes.columns,
+        F.when(known > 0, hits / known * 100).alias("accuracy"),
+        F.least("_pos", F.lit(n).cast("bigint")).alias("counted"),
     )
-    return series.own_rows(done)
 
 
 def lookup(

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
@@ -203,6 +203,34 @@ def series_index(
     )
 
 
+def running_totals(
+    rows: DataFrame,
+    by: list[str],
+    order: list[str],
+    totals: dict[str, Column],
+    unit: str = DEFAULT_CHUNK,
+) -> DataFrame:
+    """Adds running sums over each series without a window over a whole series.
+
+    Sums per ``(key, chunk)`` are accumulated; what a chunk starts with travels as
+    its first row, so no join is needed. ``rows`` is read twice, so pass a
+    stored table. Rows of equal ``order`` are taken in any order.
+    """
+    home = rows.select("*", *[c.alias(n) for n, c in totals.items()], chunk_of(order[0], unit).alias(CHUNK))
+    sums = home.groupBy(*by, CHUNK).agg(*[F.sum(n).alias(n) for n in totals])
+    earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        *by, CHUNK, F.lit(0).alias("_kind"), *[F.sum(n).over(earlier).alias(n) for n in totals]
+    )
+    marked = home.withColumn("_kind", F.lit(1)).unionByName(starts, allowMissingColumns=True)
+    so_far = (
+        Window.partitionBy(*by, CHUNK).orderBy("_kind", *order).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return marked.select(
+        *rows.columns, "_kind", *[F.sum(n).over(so_far).alias(n) for n in totals]
+    ).where(F.col("_kind") == 1).drop("_kind")
+
+
 def last_before(
     rows: DataFrame,
     marks: DataFrame,

@@ -43,14 +43,19 @@ class BatchResult:
 
 
 def land(spark: SparkSession, source, path: str) -> tuple[DataFrame, DataFrame]:
-    """Parse raw lines once into a Parquet table; ``(candles, quarantine)``.
+    """Raw lines to two Parquet tables, ``candles`` and ``rejected`` below ``path``.
 
-    Every row that arrived is kept, history and live, copies included.
+    Every row that arrived is kept, history and live, copies included; lines
+    that cannot be read are stored once, as text.
     """
     good, bad = split_malformed(read_lines(spark, source))
     candles = typed_candles(klines(good), extra=("received_at",))
-    write_by_time(candles, path, levels=FEATURE_LEVELS)
-    return spark.read.parquet(path).select(*candles.columns), bad
+    write_by_time(candles, f"{path}/candles", levels=FEATURE_LEVELS)
+    bad.write.mode("overwrite").parquet(f"{path}/rejected")
+    return (
+        spark.read.parquet(f"{path}/candles").select(*candles.columns),
+        spark.read.schema(bad.schema).parquet(f"{path}/rejected"),
+    )
 
 
 def run_batch(
@@ -66,7 +71,7 @@ def run_batch(
 
     The report covers the rows as they arrived, duplicates included.
     """
-    arrived, bad = land(spark, source, f"{out}/candles")
+    arrived, bad = land(spark, source, out)
     candles = dedupe_candles(arrived) if dedupe else arrived
     features = engineer_features(candles, chunk, stored=not dedupe)
     write_by_time(features, f"{out}/features", levels=FEATURE_LEVELS)

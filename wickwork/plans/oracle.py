@@ -189,6 +189,28 @@ _MESSAGES = base() + """
   SELECT symbol, 'kline' AS kind, number_of_trades >= 2 AS is_closed FROM candles
   UNION ALL SELECT symbol, 'trade', NULL FROM trades)"""
 
+# Lines of one-trade even hours are cut, those of other candles at noon are glued.
+_LANDED = base() + """
+, arrivals AS (
+  SELECT symbol, 'kline' AS event_type,
+         CASE WHEN number_of_trades = 1 AND hour("timestamp") % 2 = 0 THEN 'rejected'
+              WHEN number_of_trades > 1 AND hour("timestamp") = 12 THEN 'rejected'
+              WHEN number_of_trades > 1 THEN 'closed' ELSE 'in_progress' END AS kind
+  FROM candles
+  UNION ALL SELECT symbol, 'trade', 'other' FROM trades),
+read AS (
+  SELECT kind, CASE WHEN kind <> 'rejected' THEN event_type END AS event_type,
+         CASE WHEN kind <> 'rejected' THEN symbol END AS symbol FROM arrivals)"""
+
+_CLOSED = "number_of_trades > 1 AND hour(\"timestamp\") <> 12"
+
+
+def _without_close(instead: str) -> str:
+    names = [c for c in CANDLE_COLUMNS if c not in ("exchange", "close")]
+    close = f'round(CASE WHEN number_of_trades = 1 THEN {instead} ELSE "close" END, 6) AS "close"'
+    return base() + f" SELECT {_cols(names)}, {close} FROM candles"
+
+
 _EMA = """
 walk AS (
   SELECT symbol, "timestamp", "close", row_number() OVER w AS n
@@ -235,6 +257,18 @@ FROM messages GROUP BY kind, symbol""",
     "malformed_quarantine": base() + """
 SELECT CASE WHEN number_of_trades = 1 THEN 'quarantined' ELSE 'parsed' END AS status,
        count(*) AS lines FROM candles GROUP BY 1""",
+    "landed_lines": _LANDED + """
+SELECT kind, event_type, symbol, count(*) AS records, count(event_type) AS messages,
+       count(*) FILTER (event_type IS NULL) AS lines,
+       CASE WHEN event_type IS NOT NULL THEN CAST(1704067200 AS DOUBLE) END AS received_at
+FROM read GROUP BY kind, event_type, symbol""",
+    "landed_candles": base()
+    + f" SELECT {_cols([c for c in CANDLE_COLUMNS if c != 'exchange'])} FROM candles WHERE {_CLOSED}",
+    "left_out_candles": base() + f"""
+SELECT symbol, count(*) AS records FROM candles
+WHERE {_CLOSED} AND "timestamp" >= TIMESTAMP '2024-01-15' GROUP BY symbol""",
+    "kline_zero_defaults": _without_close("0.0"),
+    "kline_null_defaults": _without_close("NULL"),
     "stream_counters": _MESSAGES + """
 SELECT lower(symbol) || '@' || CASE WHEN kind = 'kline' THEN 'kline_1h' ELSE 'trade' END AS stream,
        count(*) AS messages, count(*) FILTER (kind = 'trade') AS trade_messages,
@@ -394,6 +428,7 @@ SELECT symbol, CAST(epoch("timestamp") AS BIGINT) AS "time", round("open", 6) AS
     "lines_appended": base() + " SELECT symbol, 2 * count(*) AS records FROM candles GROUP BY symbol",
     "batch_job_report": _DIRTY + _REPORT,
     "stream_features": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
+    "stream_features_restarted": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
     "stream_outcomes": _SCORED
     + ","
     + ASOF.format(made="scored")

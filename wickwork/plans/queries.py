@@ -21,7 +21,7 @@ from wickwork.plans.batch import run_batch
 from wickwork.schemas import CANDLE_COLUMNS, MODEL_INPUTS
 from wickwork.session import materialise, pin_utc, scratch_path
 from wickwork.sinks.files import append_lines, write_by_time, write_csv_by_symbol
-from wickwork.sources.files import concat, read_feature_csv, read_features
+from wickwork.sources.files import concat, read_candles, read_feature_csv, read_features
 from wickwork.sources.messages import (
     candle_messages,
     closed_only,
@@ -32,11 +32,13 @@ from wickwork.sources.messages import (
     positional_fields,
     read_lines,
     split_malformed,
+    stream_lines,
     subscriptions,
     typed_candles,
 )
 from wickwork.sources.tables import as_trades, events, hourly_candles, trades
-from wickwork.streaming.live import LiveJob, trade_candles
+from wickwork.streaming.landing import Landing
+from wickwork.streaming.live import LiveJob, kline_candles, trade_candles
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -226,6 +228,30 @@ def malformed_quarantine(spark, folder):
     return counted.groupBy("status").agg(F.count(F.lit(1)).alias("lines"))
 
 
+def _gappy_lines(spark, folder):
+    """Candle lines that lack fields: those of one-trade hours lack the close, the
+    others the kline's symbol."""
+    lines = message_lines(candle_messages(hourly_candles(spark, folder)))
+    lone = F.get_json_object("value", "$.data.k.n").cast("int") == 1
+    no_close = F.regexp_replace("value", '"c":"[^"]*",', "")
+    no_symbol = F.regexp_replace("value", r'("k":\{.*?)"s":"[^"]*",', "$1")
+    return lines.select(F.when(lone, no_close).otherwise(no_symbol).alias("value"))
+
+
+@query
+def kline_zero_defaults(spark, folder):
+    """Missing numbers read as zero; a missing symbol is the record's."""
+    good, _ = split_malformed(_gappy_lines(spark, folder))
+    return tidy(typed_candles(klines(good), defaults="zero").drop("exchange"))
+
+
+@query
+def kline_null_defaults(spark, folder):
+    """The same with missing numbers as NULL."""
+    good, _ = split_malformed(_gappy_lines(spark, folder))
+    return tidy(typed_candles(klines(good)).drop("exchange"))
+
+
 @query
 def stream_counters(spark, folder):
     fields = parse_lines(wrapped_lines(spark, folder)).select(
@@ -527,6 +553,68 @@ def forest_predictions(spark, folder):
     return tidy(outcomes.predictions(scored))
 
 
+def _landing(spark, folder) -> tuple[Landing, str]:
+    """Wrapped lines as a stream into the landing table. Messages of one-trade even
+    hours are cut in half, and each closed candle of noon has a line glued to it."""
+    root = scratch_path(spark, "landing")
+    lines = wrapped_lines(spark, folder)
+    payload = F.get_json_object("value", "$.data.k")
+    lone = F.get_json_object(payload, "$.n").cast("int") == 1
+    hour = (F.get_json_object(payload, "$.t").cast("bigint") / 3_600_000).cast("bigint") % 24
+    text = (
+        F.when(lone & (hour % 2 == 0), F.expr("substring(value, 1, length(value) div 2)"))
+        .when(~lone & (hour == 12), F.concat("value", "value"))
+        .otherwise(F.col("value"))
+    )
+    append_lines(lines.select(text.alias("value")), f"{root}/lines")
+    job = Landing(
+        spark,
+        f"{root}/out",
+        f"{root}/state",
+        exchange="events",
+        levels=("year", "month"),
+        arrival=F.timestamp_seconds(F.lit(1704067200)),
+    )
+    job.start(stream_lines(spark, f"{root}/lines")).awaitTermination()
+    return job, root
+
+
+@query
+def landed_lines(spark, folder):
+    """Everything that arrived, by kind: messages of each symbol and rejected lines."""
+    job, _ = _landing(spark, folder)
+    return job.rows().groupBy("kind", "event_type", "symbol").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count("data").alias("messages"),
+        F.count("line").alias("lines"),
+        F.max("received_at").alias("received_at"),
+    )
+
+
+@query
+def landed_candles(spark, folder):
+    """Candles read back from the raw messages that landed."""
+    job, _ = _landing(spark, folder)
+    return tidy(job.candles().drop("exchange"))
+
+
+@query
+def left_out_candles(spark, folder):
+    """Of the candles that landed, those the live job had written none of: here
+    the second half of the month, as it ran on the lines of the first."""
+    job, root = _landing(spark, folder)
+    half = F.lit("2024-01-15").cast("timestamp_ntz").cast("timestamp")
+    early = job.candles().where(F.col("timestamp") < half)
+    append_lines(message_lines(candle_messages(early, closed=F.lit(True))), f"{root}/early")
+    live = LiveJob(spark, f"{root}/out", f"{root}/state", levels=("year", "month"))
+    live.run(
+        stream_lines(spark, f"{root}/early"),
+        lambda lines: kline_candles(lines, "40 days"),
+        flush_from=read_lines(spark, f"{root}/early"),
+    )
+    return quality.records_by_symbol(job.left_out(read_candles(spark, f"{root}/out/raw")))
+
+
 def _stream(spark, folder, score=None) -> LiveJob:
     """Trades as a stream into hourly candles and features, flushed at the end."""
     out = scratch_path(spark, "live")
@@ -538,6 +626,12 @@ def _stream(spark, folder, score=None) -> LiveJob:
         levels=("year", "month"),
         width="1 hour",
     )
+    _run_stream(job, folder)
+    return job
+
+
+def _run_stream(job: LiveJob, folder) -> None:
+    spark = job.spark
     table = events(spark, folder)
     source = (
         spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet").parquet(folder)
@@ -547,7 +641,6 @@ def _stream(spark, folder, score=None) -> LiveJob:
         return trade_candles(as_trades(rows), "1 hour", "1h", "events")
 
     job.run(source, build, flush_from=table)
-    return job
 
 
 @query
@@ -556,6 +649,14 @@ def stream_features(spark, folder):
     return tidy(read_features(spark, f"{job.out}/clean"))
 
 
+@query
+def stream_features_restarted(spark, folder):
+    """The same job started again with nothing new to read: nothing changes."""
+    job = _stream(spark, folder)
+    _run_stream(job, folder)
+    return tidy(read_features(spark, f"{job.out}/clean"))
+
+
 @query
 def stream_outcomes(spark, folder):
     job = _stream(spark, folder, score=outcomes.linear_score())

@@ -20,6 +20,7 @@ def write_by_time(
     time: str = "timestamp",
     levels: tuple[str, ...] = ALL_LEVELS,
     replace: str = "table",
+    first: tuple[str, ...] = (),
 ) -> None:
     """Snappy Parquet in ``year=/month=/day=/hour=/minute=`` folders.
 
@@ -29,7 +30,7 @@ def write_by_time(
 
     ``replace="table"`` overwrites ``path``; ``replace="folders"`` overwrites
     only the time folders that ``rows`` has rows for; ``replace="nothing"``
-    appends.
+    appends. Columns in ``first`` name folders above those of the time.
     """
     mode, scope = {
         "table": ("overwrite", "static"),
@@ -38,12 +39,12 @@ def write_by_time(
     }[replace]
     parted = rows.select("*", *time_parts(F.col(time), levels))
     (
-        parted.hint("rebalance", *[F.col(level) for level in levels])
+        parted.hint("rebalance", *[F.col(c) for c in (*first, *levels)])
         .write.mode(mode)
         .option("partitionOverwriteMode", scope)
         .option("compression", "snappy")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .partitionBy(*levels)
+        .partitionBy(*first, *levels)
         .parquet(path)
     )
 
