@@ -265,15 +265,13 @@ def positional_fields(
     )
 
 
-def kline_json(candles: DataFrame, closed: Column | None = None) -> Column:
-    """The ``k`` object of a candle as JSON text."""
+def kline_json(end: Column, closed: Column | None = None) -> Column:
+    """The ``k`` object of a candle as JSON text; ``end`` is its last millisecond."""
     def text(name: str) -> Column:
         return F.col(name).cast("string")
 
-    start = F.unix_millis(F.col("timestamp").cast("timestamp"))
-    end = _close_ms(candles)
     pairs = {
-        "t": start,
+        "t": F.unix_millis(F.col("timestamp").cast("timestamp")),
         "s": F.col("symbol"),
         "i": F.col("interval"),
         "o": text("open"),
@@ -291,17 +289,17 @@ def kline_json(candles: DataFrame, closed: Column | None = None) -> Column:
     }
     if closed is not None:
         upper["x"] = closed
-    lower_half = F.to_json(F.struct(*[c.alias(k) for k, c in pairs.items()]))
-    upper_half = F.to_json(F.struct(*[c.alias(k) for k, c in upper.items()]))
-    return _merge_objects(lower_half, upper_half)
+    return _merge_objects(
+        F.to_json(F.struct(*[c.alias(k) for k, c in pairs.items()])),
+        F.to_json(F.struct(*[c.alias(k) for k, c in upper.items()])),
+    )
 
 
-def _merge_objects(left: Column, right: Column) -> Column:
-    """Two JSON objects as one."""
-    both = F.concat(
-        F.substring(left, F.lit(1), F.length(left) - 1), F.lit(","), F.substring(right, F.lit(2), F.length(right))
-    )
-    return F.when(left == "{}", right).when(right == "{}", left).otherwise(both)
+def _merge_objects(*objects: Column) -> Column:
+    """JSON objects as one. Each is used once, so nested merges stay small."""
+    inner = [F.regexp_replace(o, r"^\{|\}$", "") for o in objects]
+    filled = F.filter(F.array(*inner), lambda text: text != "")
+    return F.concat(F.lit("{"), F.concat_ws(",", filled), F.lit("}"))
 
 
 def _close_ms(candles: DataFrame) -> Column:
@@ -309,14 +307,13 @@ def _close_ms(candles: DataFrame) -> Column:
 
     An interval that is not a number and a unit counts as one minute.
     """
-    start = F.unix_millis(F.col("timestamp").cast("timestamp"))
+    moment = F.col("timestamp").cast("timestamp")
     count = F.regexp_extract("interval", r"^(\d+)[smhdwM]$", 1).try_cast("bigint")
     unit = F.regexp_extract("interval", r"^\d+([smhdwM])$", 1)
-    width = F.coalesce(
-        *[F.when(unit == name, count * ms) for name, ms in INTERVAL_MS.items()], F.lit(60_000)
-    )
-    by_month = F.unix_millis(F.col("timestamp").cast("timestamp") + F.make_interval(months=count.cast("int")))
-    end = F.when(unit == "M", by_month).otherwise(start + width) - 1
+    units = F.create_map(*[F.lit(part) for pair in INTERVAL_MS.items() for part in pair])
+    width = F.coalesce(count * F.try_element_at(units, unit), F.lit(60_000))
+    by_month = F.unix_millis(moment + F.make_interval(months=count.cast("int")))
+    end = F.when(unit == "M", by_month).otherwise(F.unix_millis(moment) + width) - 1
     if "kline_close_time" in candles.columns:
         end = F.coalesce(F.unix_millis(F.col("kline_close_time").cast("timestamp")), end)
     return end
@@ -330,10 +327,11 @@ def candle_messages(
     A missing symbol or time leaves its fields out. The event time is the close.
     """
     head = F.to_json(F.struct(F.lit(KLINE).alias("e"), F.col("symbol").alias("s")))
-    event = F.to_json(F.struct(_close_ms(candles).alias("E")))
-    body = F.concat(F.lit('{"k":'), kline_json(candles, closed), F.lit("}"))
-    payload = _merge_objects(_merge_objects(head, event), body)
-    return candles.select(
+    end = F.col("_end")
+    event = F.to_json(F.struct(end.alias("E")))
+    body = F.concat(F.lit('{"k":'), kline_json(end, closed), F.lit("}"))
+    payload = _merge_objects(head, event, body)
+    return candles.withColumn("_end", _close_ms(candles)).select(
         F.lit(KLINE).alias("event_type"),
         "symbol",
         "exchange",
