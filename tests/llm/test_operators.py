@@ -454,3 +454,22 @@ def test_pipeline_stages_take_empty_tables(spark, folder, empty):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
     assert docs.count() == 0
+
+
+def test_pipeline_stages_take_repeated_rows_missing_ids_and_clashing_names(spark, folder):
+    words = " ".join(f"w{i}" for i in range(40))
+    near = [(5, words, "x"), (5, words, "x"), (3, words, "y"), (3, words, "z"), (None, words, "x")]
+    other = [(None, "quite another text here", "x")] * 2 + [(9, None, "x"), (7, "", "x")]
+    docs = spark.createDataFrame(near + other, "doc_id long, text string, key string").withColumns(
+        {"row": F.lit(1), "id": F.lit(2)}
+    )
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, folder)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(3, words), (None, "quite another text here"), (7, "")], key=str
+    )
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").where("length(text) > 100").first().text
+    mixed = docs.unionByName(docs.limit(1).withColumn("text", F.lit("so " + item)))
+    clean = corpus_pipeline.drop_contaminated(spark, mixed, folder)
+    assert clean.columns == docs.columns
+    assert sorted(map(str, clean.collect())) == sorted(map(str, docs.collect()))
