@@ -23,14 +23,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from wickwork.llm.common import small_batches
 from wickwork.llm.pieces import PIECE, chunks, pieces
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-# Chunks, and pieces, whose encoding a worker keeps; a cache is emptied when full.
-CACHE = 1_000_000
+# A worker's memory is bounded by these, as a corpus has any number of different
+# chunks: it keeps the encodings of these to twice as many chunks and pieces ...
+CHUNK_CACHE, PIECE_CACHE = 1 << 18, 1 << 16
+# ... and so many comparisons of two tokens, which it forgets when full.
+PAIR_CACHE = 1 << 19
 NEVER = 1 << 62
 
 
+class Kept:
+    """The encodings asked for last: ``most`` to twice as many, the rest is forgotten."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.new: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def get(self, key: str) -> tuple[int, ...] | None:
+        found = self.new.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: tuple[int, ...]) -> None:
+        if len(self.new) >= self.most:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+
 class PrefixEncoder:
     """Encodes byte strings with the ranks of a byte-level BPE vocabulary."""
 
@@ -40,8 +64,7 @@ class PrefixEncoder:
         self.longest = max(map(len, ranks), default=0)
         self.parts: dict[int, tuple[int, int]] = {}  # the two tokens a token is merged from
         self.follows: dict[tuple[int, int], bool] = {}
-        self.chunk_cache: dict[str, tuple[int, ...]] = {}
-        self.piece_cache: dict[str, tuple[int, ...]] = {}
+        self.chunk_cache, self.piece_cache = Kept(CHUNK_CACHE), Kept(PIECE_CACHE)
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1 and (pair := self._merged_from(token, rank)):
                 self.parts[rank] = pair
@@ -76,7 +99,7 @@ class PrefixEncoder:
         known = self.follows.get((left, right))
         if known is not None:
             return known
-        if len(self.follows) > 2_000_000:
+        if len(self.follows) >= PAIR_CACHE:
             self.follows.clear()
         x, y, x_goes, y_goes, answer = left, right, NEVER, NEVER, True
         while True:
@@ -156,11 +179,13 @@ class PrefixEncoder:
         """The ids of a chunk; chunks and pieces up to 64 characters are kept."""
         found = self.chunk_cache.get(text)
         if found is None:
-            found = tuple([t for p in pieces(text) for t in self._piece(p)])
+            split = pieces(text)
+            if len(split) == 1:  # not kept twice
+                found = tuple(self.encode_piece(text.encode()))
+            else:
+                found = tuple([t for p in split for t in self._piece(p)])
             if len(text) <= 64:
-                if len(self.chunk_cache) >= CACHE:
-                    self.chunk_cache.clear()
-                self.chunk_cache[text] = found
+                self.chunk_cache.put(text, found)
         return found
 
     def _piece(self, text: str) -> tuple[int, ...]:
@@ -168,9 +193,7 @@ class PrefixEncoder:
         if found is None:
             found = tuple(self.encode_piece(text.encode()))
             if len(text) <= 64:
-                if len(self.piece_cache) >= CACHE:
-                    self.piece_cache.clear()
-                self.piece_cache[text] = found
+                self.piece_cache.put(text, found)
         return found
 
 
@@ -277,7 +300,7 @@ def encode_documents(
     def encoded(batches):
         bpe = encoder(public_tokenizers.path(vocabulary))
         chunk, decimal = bpe.chunk, {i: str(i) for i in bpe.bytes}.__getitem__
-        for batch in batches:
+        for batch in small_batches(batches):
             counts, ids_hash, text_hash, kept = [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids = list(chain.from_iterable(map(chunk, chunks(text or ""))))

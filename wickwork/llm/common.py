@@ -39,6 +39,13 @@ def first_row_number() -> int:
     return TaskContext.get().partitionId() << TASK_SHIFT
 
 
+def small_batches(batches, rows: int = 256):
+    """Arrow batches cut to few rows, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def vector_sum(df: DataFrame, per_batch, size: int) -> np.ndarray:
     """Element-wise sum of the vectors that ``per_batch(RecordBatch)`` gives, one
     from each task; zeros for an empty table."""
