@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
-from wickwork.llm.common import fold
+from wickwork.llm.common import fold, small_batches
 
 FOLDS, HELD_OUT = 4, 2
 NGRAM = 3
@@ -181,7 +181,7 @@ def identify(
 
     def predicted(batches):
         own = shared.value
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [
                 own.infer(t) if own and t and LETTER.search(t) else {UNDETERMINED: 0.0}
                 for t in batch.column(0).to_pylist()
