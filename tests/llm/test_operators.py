@@ -148,6 +148,21 @@ def lm_words(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), None]
 
 
+def test_encoder_keeps_a_bounded_number_of_encodings(monkeypatch):
+    """Forgetting changes no ids, whatever the order in which chunks come back."""
+    for name in ("CHUNK_CACHE", "PIECE_CACHE", "PAIR_CACHE"):
+        monkeypatch.setattr(byte_bpe, name, 8)
+    path = public_tokenizers.path(byte_bpe.VOCABULARY)
+    own, wide = byte_bpe.encoder.__wrapped__(path), byte_bpe.encoder(path)
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdeé,.", k=rnd.randint(1, 9))) for _ in range(60)]
+    for word in rnd.choices(words, k=600):
+        assert list(own.chunk(word)) == wide.encode(word)
+        for kept in (own.chunk_cache, own.piece_cache):
+            assert len(kept.new) <= 8 and len(kept.old) <= 8
+        assert len(own.follows) <= 8
+
+
 @pytest.mark.parametrize("options", [{}, {"limit": 3}, {"order": 3, "segments": 16}])
 def test_language_model(docs, rows, options):
     train = Counter(w for i, t, *_ in rows if not held_out(i, 5, 1) for w in lm_words(t))
