@@ -16,7 +16,7 @@ def test_a_temporary_folder_only_without_one():
     def set_dir(path):
         state.update(dir=path, set=state["set"] + 1)
 
-    context = SimpleNamespace(getCheckpointDir=lambda: state["dir"], setCheckpointDir=set_dir)
+    context = SimpleNamespace(master="local[2]", getCheckpointDir=lambda: state["dir"], setCheckpointDir=set_dir)
     unset = SimpleNamespace(
         sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: default)
     )
