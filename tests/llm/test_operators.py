@@ -23,6 +23,7 @@ from wickwork.llm import (
     html_text,
     language_id,
     language_model,
+    near_copies,
     nearest,
     shard,
     simhash,
@@ -372,6 +373,76 @@ def test_links_equal_all_pairs(spark, radius):
     assert found == want
 
 
+# ---------------------------------------------------------- near copies
+def word_shingles(text, size=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1))} if w else set()
+
+
+def plain_groups(sets):
+    """Components of the pairs with Jaccard similarity of 0.8 or more, by all pairs."""
+    group = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                group = [group[j] if g == group[i] else g for g in group]
+    return group
+
+
+def partition(names, groups):
+    out = {}
+    for name, g in zip(names, groups, strict=True):
+        out.setdefault(g, set()).add(name)
+    return {frozenset(s) for s in out.values()}
+
+
+def edited_texts():
+    rnd = random.Random(11)
+    base = [[f"w{rnd.randint(0, 400)}" for _ in range(n)] for n in (60, 150, 400)]
+    out = [None, "", "one two", "ONE  two", "one two three"]
+    for words in base:
+        for _ in range(30):
+            new = list(words)
+            for at in rnd.sample(range(len(new)), rnd.randint(0, max(len(new) // 25, 2))):
+                new[at] = f"n{rnd.randint(0, 999)}"
+            out.append(" ".join(new))
+    return out
+
+
+def test_near_copies_equal_all_pairs(spark):
+    items = [(f"k{i}", t) for i, t in enumerate(edited_texts())]
+    df = spark.createDataFrame([*items, items[10], items[10]], "key string, text string").repartition(3)
+    found = near_copies.near_copies(df).collect()
+    sets = [word_shingles(t) for _, t in items]
+    want = partition([k for k, _ in items], plain_groups(sets))
+    assert partition([r.key for r in found], [r.group for r in found]) == want
+    assert len(found) == len(items) and 5 < len(want) < len(items)
+    hashed = [near_copies.shingle_set(t) for _, t in items if t]
+    assert partition(range(len(hashed)), near_copies.similar_groups(hashed)) == partition(
+        range(len(hashed)), plain_groups([s for s in sets if s])
+    )
+
+
+def test_near_duplicates_stage_equals_all_pairs(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    groups = partition([i for i, _ in rows], plain_groups([word_shingles(t) for _, t in rows]))
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, folder)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(map(min, groups))
+
+
+def test_pipeline_drops_near_copies_with_a_few_edits(spark, folder):
+    """A similarity of 0.8 or more on five words is enough, whatever the fingerprints."""
+    words = [f"w{i}" for i in range(250)]
+    edits = {1: [], 2: [30, 80, 130, 180, 230], 3: [20, 60, 100, 140], 4: range(10, 250, 20)}
+    rows = [(i, " ".join(f"x{i}" if k in at else w for k, w in enumerate(words))) for i, at in edits.items()]
+    apart = [(plain_fingerprint(rows[0][1]) ^ plain_fingerprint(t)).bit_count() for _, t in rows[1:]]
+    assert min(apart) > 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, folder)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
 # ----------------------------------------------------------------- pages
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <header><a href="/">Home</a> Site name</header><nav><ul><li><a href="/a">One</a></li></ul></nav>
