@@ -468,6 +468,16 @@ def test_main_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("body", ["<body>", "", "<body class=x>"])
+def test_an_open_head_ends_at_the_body(body):
+    head = "<html><head><meta charset=utf-8><title>T</title><script>var a;</script>"
+    page = f"{head}{body}<article><h1>A title</h1><p>Some words of a text here.</p></article>"
+    tree = html_text.trained_tree()
+    assert html_text.main_text(page, tree) == "A title Some words of a text here."
+    unseen = page.replace("<script>", "<template><p>Unseen words</p></template><script>")
+    assert html_text.main_text(unseen, tree) == html_text.main_text(page, tree)
+
+
 def test_the_tree_fits_its_table():
     tree = html_text.trained_tree()
     assert all((html_text.classify(tree, r[:-1]) >= 0.5) == r[-1] for r in html_text.ROWS)

@@ -33,6 +33,9 @@ UNSEEN_TAGS = set(
 VOID_TAGS = set(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
+HEAD_TAGS = set(
+    "head title base basefont bgsound link meta noframes noscript script style template".split()
+)
 OTHER_TAGS = set("nav footer aside form menu dialog search".split())
 OTHER_ROLES = set(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split()
@@ -74,9 +77,20 @@ class Blocks(HTMLParser):
             self.blocks.append((text, text.count(" ") + 1, self.linked, other, article, heading))
         self.text, self.linked = [], 0
 
+    def _leave_head(self, tag: str) -> None:
+        """Drops an open head, whose end tag may be left out, at what cannot stand in it."""
+        tags = [name for name, *_ in self.open]
+        if "head" not in tags or (tag != "body" and tag in HEAD_TAGS):
+            return
+        at = tags.index("head")
+        # What stands in a template or the like is no part of the page yet.
+        if tag == "body" or not tags[at + 1 :]:
+            del self.open[at:]
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK_TAGS:
             self._end_block()
+        self._leave_head(tag)
         # A new paragraph or list item ends an open one.
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th") and self.open and self.open[-1][0] == tag:
             self.open.pop()
