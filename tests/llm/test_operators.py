@@ -478,6 +478,20 @@ def test_an_open_head_ends_at_the_body(body):
     assert html_text.main_text(unseen, tree) == html_text.main_text(page, tree)
 
 
+@pytest.mark.parametrize(
+    "wrapper, kept",
+    [("<div class='content has-sidebar'>", True), ("<div id='page' class='with-sidebar'>", True),
+     ("<aside>", False), ("<div role=navigation>", False)],
+)
+def test_a_name_of_a_wrapper_does_not_lose_the_article(wrapper, kept):
+    words = "Some words of a text here."
+    page = f"<body>{wrapper}<article><h1>A title</h1><p>{words}</p></article></div>"
+    tree = html_text.trained_tree()
+    assert html_text.main_text(page, tree) == (f"A title {words}" if kept else "")
+    comment = f"<body><div id=comments><article class=comment><p>{words}</p></article></div>"
+    assert html_text.main_text(comment, tree) == ""
+
+
 def test_the_tree_fits_its_table():
     tree = html_text.trained_tree()
     assert all((html_text.classify(tree, r[:-1]) >= 0.5) == r[-1] for r in html_text.ROWS)

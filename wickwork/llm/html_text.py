@@ -52,6 +52,7 @@ OTHER_NAMES = set(
 )
 ARTICLE_NAMES = set("article content post entry story main".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+NAMED, FIRM = 1, 2
 WHITE = re.compile(r"\s+")
 
 
@@ -60,21 +61,25 @@ class Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []
+        self.open: list[tuple[str, bool, int, bool, bool]] = []
         self.blocks: list[tuple] = []
         self.text: list[str] = []
         self.linked = 0
 
-    def _state(self) -> tuple[bool, bool, bool, bool]:
-        """Unseen, other, article, link: each true inside any such element."""
-        return self.open[-1][1:] if self.open else (False, False, False, False)
+    def _state(self) -> tuple[bool, int, bool, bool]:
+        """Unseen, other, article, link: each true inside any such element.
+
+        other is NAMED by a name only, which an article or main element inside
+        ends, or FIRM by an element or role.
+        """
+        return self.open[-1][1:] if self.open else (False, 0, False, False)
 
     def _end_block(self) -> None:
         text = WHITE.sub(" ", "".join(self.text)).strip()
         if text:
             _, other, article, _ = self._state()
             heading = any(tag in HEADINGS for tag, *_ in self.open[-4:])
-            self.blocks.append((text, text.count(" ") + 1, self.linked, other, article, heading))
+            self.blocks.append((text, text.count(" ") + 1, self.linked, bool(other), article, heading))
         self.text, self.linked = [], 0
 
     def _leave_head(self, tag: str) -> None:
@@ -102,9 +107,14 @@ class Blocks(HTMLParser):
         hidden = "hidden" in values or values.get("aria-hidden") == "true"
         hidden |= "display:none" in values.get("style", "").replace(" ", "")
         whole = tag in ("html", "body", "main", "article")
-        other |= tag in OTHER_TAGS or values.get("role") in OTHER_ROLES
-        other |= tag == "header" and not article
-        other |= bool(names & OTHER_NAMES) and not whole and not (names & {"content", "article"} and article)
+        firm = tag in OTHER_TAGS or values.get("role") in OTHER_ROLES or (tag == "header" and not article)
+        # Whole names only: "content has-sidebar" holds the article, "related-content" does not.
+        holds = set((values.get("class", "") + " " + values.get("id", "")).split()) & ARTICLE_NAMES
+        named = bool(names & OTHER_NAMES) and not holds
+        if tag in ("article", "main") and other == NAMED and not named:
+            other = 0
+        named &= not whole and not (names & {"content", "article"} and article)
+        other = max(other, FIRM if firm else NAMED if named else 0)
         article |= tag in ("article", "main") or bool(names & ARTICLE_NAMES and tag in ("div", "section"))
         unseen |= tag in UNSEEN_TAGS or hidden
         self.open.append((tag, unseen, other, article, link or tag == "a"))
