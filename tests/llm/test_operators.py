@@ -222,6 +222,15 @@ def test_nearest_equals_brute_force(spark):
     assert nearest.nearest(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") == 0).count() == 2
 
 
+@pytest.mark.parametrize("block", [4096, 1])
+def test_nearest_answers_each_vector_of_a_repeated_query(spark, block):
+    table = [(0, [0.0, 1.0]), (0, [9.0, 1.0]), (0, [9.0, 1.0]), *((i, [float(i), 1.0]) for i in range(1, 9))]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>")
+    found = nearest.nearest(df, F.col("vec_id") == 0, k=3, block=block).collect()
+    want = [(1, 1, 1.0), (1, 8, 1.0), (2, 2, 2.0), (2, 7, 2.0), (3, 3, 3.0), (3, 6, 3.0)]
+    assert sorted((r["rank"], r.vec_id, round(r.score, 6)) for r in found) == want
+
+
 def test_codes_bound_inner_products():
     rnd = np.random.default_rng(6)
     x = rnd.normal(size=(2000, 64))

@@ -101,8 +101,8 @@ def centres_of(vectors: DataFrame) -> dict[int, np.ndarray]:
 class _Best:
     """The k nearest rows of each query so far, ties to the smaller id."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, ids: np.ndarray, numbers: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.numbers, self.vectors, self.k = ids, numbers, vectors, k
         self.far = np.full(len(ids), np.inf)
         self.found: list[list[tuple[float, int]]] = [[] for _ in ids]
 
@@ -145,20 +145,21 @@ def _search(best: _Best, turned: np.ndarray, norms: np.ndarray, ids, vectors, co
 
 
 def _block_search(codes: DataFrame, queries: list, centres: dict, k: int) -> DataFrame:
-    """(query_id, id, score): the k nearest rows of each task to each query of a block."""
+    """(query_id, number, id, score): the k nearest rows of each task to each query
+    of a block of (query_id, number, vector)."""
     by_dim: dict[int, tuple] = {}
-    for d in {len(v) for _, v in queries}:
-        own = [(i, v) for i, v in queries if len(v) == d]
-        by_dim[d] = np.array([i for i, _ in own]), np.array([v for _, v in own])
+    for d in {len(v) for *_, v in queries}:
+        own = [(i, n, v) for i, n, v in queries if len(v) == d]
+        by_dim[d] = tuple(np.array(column) for column in zip(*own, strict=True))
     shared = codes.sparkSession.sparkContext.broadcast(by_dim)
 
     def searched(batches):
         state = {}
-        for d, (ids, vectors) in shared.value.items():
+        for d, (ids, numbers, vectors) in shared.value.items():
             rest = vectors - centres[d]
             norms = np.sqrt((rest * rest).sum(axis=1))
             turned = (rest / np.maximum(norms, 1e-300)[:, None]) @ rotation(d)
-            state[d] = _Best(ids, vectors, k), turned, norms
+            state[d] = _Best(ids, numbers, vectors, k), turned, norms
         for batch in batches:
             dims = batch.column(1).to_numpy(zero_copy_only=False)
             for d in np.unique(dims):
@@ -173,15 +174,16 @@ def _block_search(codes: DataFrame, queries: list, centres: dict, k: int) -> Dat
                     t = slice(start, start + ROWS)
                     _search(*state[int(d)], ids[t], vectors[t], bits[t], norm[t], align[t])
         for best, _, _ in state.values():
-            rows = [(q, i, s) for q, found in zip(best.ids.tolist(), best.found, strict=True) for s, i in found]
+            asked = zip(best.ids.tolist(), best.numbers.tolist(), best.found, strict=True)
+            rows = [(q, n, i, s) for q, n, found in asked for s, i in found]
             if rows:
-                q, i, s = zip(*rows, strict=True)
+                q, n, i, s = zip(*rows, strict=True)
                 yield pa.record_batch(
-                    [pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64())],
-                    names=["query_id", "id", "score"],
+                    [*(pa.array(x, pa.int64()) for x in (q, n, i)), pa.array(s, pa.float64())],
+                    names=["query_id", "number", "id", "score"],
                 )
 
-    return codes.mapInArrow(searched, "query_id long, id long, score double")
+    return codes.mapInArrow(searched, "query_id long, number long, id long, score double")
 
 
 def nearest(
@@ -216,8 +218,8 @@ def nearest(
     asked = rows.where("query").select("id", "vector").distinct().sortWithinPartitions("id")
     asked = materialise(asked, "nearest-queries")
     parts, now = [], []
-    for row in asked.toLocalIterator():
-        now.append((row.id, row.vector))
+    for number, row in enumerate(asked.toLocalIterator()):
+        now.append((row.id, number, row.vector))
         if len(now) == block:
             parts.append(materialise(_block_search(codes, now, centres, k), "nearest-block"))
             now = []
@@ -226,7 +228,7 @@ def nearest(
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
-    order = Window.partitionBy("query_id").orderBy("score", "id")
+    order = Window.partitionBy("query_id", "number").orderBy("score", "id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
