@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from wickwork.llm import (
     byte_bpe,
     decontaminate,
+    divergence,
     html_text,
+    importance,
     language_id,
     language_model,
     nearest,
@@ -66,10 +68,18 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"))
 
 
+def op11_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
         op1_lm_score, op2_nearest, op3_decontaminate, op4_shard, op5_byte_bpe,
-        op6_language, op7_simhash, op8_html_text, op9_warc, op10_token_counts,
+        op6_language, op7_simhash, op8_html_text, op9_warc, op10_token_counts, op11_resample, op12_divergence,
     )
 }
