@@ -67,7 +67,18 @@ ROWS = [
     (1, 3, 1, 1.0, 0.0, 1.0, 0, 1, 0, 1),
     (0, 5, 0, 0.0, 0.0, 0.0, 0, 1, 0, 1),
     (0, 80, 0, 0.0, 0.3, 0.0, 0, 1, 0, 1),
+    # Paragraphs of an article that are mostly links, between others that are not.
+    (60, 8, 50, 0.0, 0.875, 0.0, 0, 1, 0, 1),
+    (30, 12, 40, 0.0, 0.9, 0.1, 0, 1, 0, 1),
+    (25, 6, 8, 0.0, 0.85, 0.2, 0, 1, 0, 1),
+    (40, 9, 0, 0.0, 0.8, 0.0, 0, 1, 0, 1),
+    (5, 14, 60, 0.0, 0.95, 0.0, 0, 1, 0, 1),
     # Articles without an element of their own.
+    (0, 40, 2, 0.0, 0.0, 0.0, 0, 0, 0, 1),
+    (0, 70, 5, 0.0, 0.0, 0.0, 0, 0, 0, 1),
+    (2, 45, 1, 1.0, 0.0, 0.0, 0, 0, 0, 1),
+    (0, 50, 0, 0.0, 0.0, 0.0, 0, 0, 0, 1),
+    (40, 35, 2, 0.0, 0.0, 1.0, 0, 0, 0, 1),
     (1, 9, 60, 1.0, 0.0, 0.0, 0, 0, 1, 1),
     (9, 60, 45, 0.0, 0.0, 0.0, 0, 0, 0, 1),
     (60, 45, 80, 0.0, 0.1, 0.0, 0, 0, 0, 1),

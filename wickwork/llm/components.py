@@ -9,6 +9,33 @@ from pyspark.sql import functions as F
 
 from wickwork.session import materialise
 
+# A key is frequent if it has more than a SHARE-th of all rows; fewer than SHARE are.
+SHARE = 1024
+# Below so many rows a key is not worth dealing out.
+LEAST = 200
+
+
+def spread_join(rows: DataFrame, small: DataFrame, key: str, by: str, counts: DataFrame) -> DataFrame:
+    """``rows`` joined with ``small``, which has one row for each key, such that no
+    task gets all rows of a frequent key.
+
+    ``counts`` has the number of rows of each key in ``often``. The rows of a frequent
+    key are dealt over pieces by a hash of ``by``, and its row of ``small`` is copied
+    to each piece. The table of frequent keys is broadcast: it has fewer than SHARE
+    rows, of a key and a number.
+    """
+    total = counts.agg(F.sum("often")).first()[0] or 0
+    most = max(total / SHARE, LEAST)
+    frequent = counts.where(F.col("often") > most).select(
+        key, F.ceil(F.col("often") / F.lit(most)).cast("int").alias("_pieces")
+    )
+    piece = F.coalesce(F.pmod(F.xxhash64(by), F.col("_pieces")), F.lit(0)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces") - 1, F.lit(0))))
+    dealt = rows.join(F.broadcast(frequent), key, "left").withColumn("_piece", piece).drop("_pieces")
+    extra = [c for c in small.columns if c not in rows.columns or c == key]
+    copied = small.select(*extra).join(F.broadcast(frequent), key, "left").withColumn("_piece", copies).drop("_pieces")
+    return dealt.join(copied, [key, "_piece"]).drop("_piece")
+
 
 def _forest(batches):
     """A spanning forest of one task's links, as (node, root) rows.
@@ -40,9 +67,11 @@ def _forest(batches):
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    """``edges`` and ``least`` share the key u: a hub's links are dealt over tasks."""
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("often"))
+    joined = spread_join(both, least.drop("often"), "u", "v", least.select("u", "often"))
+    return joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from wickwork.llm.block_labels import FEATURES, ROWS
+from wickwork.llm.common import small_batches
 
 # Elements of HTML by their part in a page.
 BLOCK_TAGS = set(
@@ -28,7 +29,7 @@ BLOCK_TAGS = set(
     "title tr ul video audio".split()
 )
 UNSEEN_TAGS = set(
-    "script style noscript template head title svg math canvas object iframe select textarea button".split()
+    "script style noscript template head title svg canvas iframe select textarea button".split()
 )
 VOID_TAGS = set(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -50,6 +51,11 @@ OTHER_NAMES = set(
     "toolbar share sharing social comment comments commentlist reply replies respond discussion disqus "
     "feedback toc skip hidden".split()
 )
+# Words that may stand beside one of these in a name of the same meaning, as in "related-posts".
+PLAIN_NAMES = set(
+    "area bar block box button buttons container icons inner item items link links list post posts section unit "
+    "wrap wrapper".split()
+)
 ARTICLE_NAMES = set("article content post entry story main".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 NAMED, FIRM = 1, 2
@@ -62,6 +68,9 @@ class Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int, bool, bool]] = []
+        # Where the open elements of each name stand, and those that border blocks.
+        self.places: dict[str, list[int]] = {}
+        self.borders: list[int] = []
         self.blocks: list[tuple] = []
         self.text: list[str] = []
         self.linked = 0
@@ -82,15 +91,28 @@ class Blocks(HTMLParser):
             self.blocks.append((text, text.count(" ") + 1, self.linked, bool(other), article, heading))
         self.text, self.linked = [], 0
 
+    def _open(self, entry: tuple) -> None:
+        self.places.setdefault(entry[0], []).append(len(self.open))
+        if entry[0] in BLOCK_TAGS:
+            self.borders.append(len(self.open))
+        self.open.append(entry)
+
+    def _close(self, at: int) -> None:
+        """Closes the element at this depth and all inside it."""
+        while len(self.open) > at:
+            tag = self.open.pop()[0]
+            self.places[tag].pop()
+            if tag in BLOCK_TAGS:
+                self.borders.pop()
+
     def _leave_head(self, tag: str) -> None:
         """Drops an open head, whose end tag may be left out, at what cannot stand in it."""
-        tags = [name for name, *_ in self.open]
-        if "head" not in tags or (tag != "body" and tag in HEAD_TAGS):
+        at = self.places.get("head")
+        if not at or (tag != "body" and tag in HEAD_TAGS):
             return
-        at = tags.index("head")
         # What stands in a template or the like is no part of the page yet.
-        if tag == "body" or not tags[at + 1 :]:
-            del self.open[at:]
+        if tag == "body" or at[0] == len(self.open) - 1:
+            self._close(at[0])
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK_TAGS:
@@ -98,26 +120,32 @@ class Blocks(HTMLParser):
         self._leave_head(tag)
         # A new paragraph or list item ends an open one.
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th") and self.open and self.open[-1][0] == tag:
-            self.open.pop()
+            self._close(len(self.open) - 1)
         if tag in VOID_TAGS:
             return
         unseen, other, article, link = self._state()
         values = {k: (v or "").lower() for k, v in attrs}
-        names = set(re.split(r"[^a-z]+", values.get("class", "") + " " + values.get("id", "")))
+        tokens = (values.get("class", "") + " " + values.get("id", "")).split()
+        parts = [set(re.split(r"[^a-z]+", t)) - {""} for t in tokens]
+        names = set().union(*parts)
         hidden = "hidden" in values or values.get("aria-hidden") == "true"
         hidden |= "display:none" in values.get("style", "").replace(" ", "")
         whole = tag in ("html", "body", "main", "article")
         firm = tag in OTHER_TAGS or values.get("role") in OTHER_ROLES or (tag == "header" and not article)
         # Whole names only: "content has-sidebar" holds the article, "related-content" does not.
-        holds = set((values.get("class", "") + " " + values.get("id", "")).split()) & ARTICLE_NAMES
+        holds = set(tokens) & ARTICLE_NAMES
         named = bool(names & OTHER_NAMES) and not holds
+        within = article
+        if within:
+            # Inside an article one word of a name is not enough: "share-price" is a part of it.
+            named &= any(p & OTHER_NAMES and p <= OTHER_NAMES | PLAIN_NAMES for p in parts)
         if tag in ("article", "main") and other == NAMED and not named:
             other = 0
         named &= not whole and not (names & {"content", "article"} and article)
         other = max(other, FIRM if firm else NAMED if named else 0)
         article |= tag in ("article", "main") or bool(names & ARTICLE_NAMES and tag in ("div", "section"))
-        unseen |= tag in UNSEEN_TAGS or hidden
-        self.open.append((tag, unseen, other, article, link or tag == "a"))
+        unseen |= tag in UNSEEN_TAGS or (hidden and not within)
+        self._open((tag, unseen, other, article, link or tag == "a"))
 
     def handle_startendtag(self, tag, attrs):
         if tag in BLOCK_TAGS:
@@ -126,13 +154,10 @@ class Blocks(HTMLParser):
     def handle_endtag(self, tag):
         if tag in BLOCK_TAGS:
             self._end_block()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                break
-            # An end tag of text markup does not close parts of the page.
-            if tag not in BLOCK_TAGS and self.open[i][0] in BLOCK_TAGS:
-                break
+        at = self.places.get(tag)
+        # An end tag of text markup does not close parts of the page.
+        if at and (tag in BLOCK_TAGS or not self.borders or self.borders[-1] < at[-1]):
+            self._close(at[-1])
 
     def handle_data(self, data):
         unseen, _, _, link = self._state()
@@ -218,8 +243,8 @@ def extract(
     )
 
     def extracted(batches):
-        for batch in batches:
-            texts = [main_text(h, tree) for h in batch.column(2).to_pylist()]
+        for batch in small_batches(batches):
+            texts = [main_text(h.as_py(), tree) for h in batch.column(2)]
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 names=[f.name for f in out],

@@ -13,6 +13,7 @@ from wickwork.llm import (
     importance,
     language_id,
     language_model,
+    minhash,
     nearest,
     shard,
     simhash,
@@ -76,10 +77,14 @@ def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
         op1_lm_score, op2_nearest, op3_decontaminate, op4_shard, op5_byte_bpe,
-        op6_language, op7_simhash, op8_html_text, op9_warc, op10_token_counts, op11_resample, op12_divergence,
+        op6_language, op7_simhash, op8_html_text, op9_warc, op10_token_counts, op11_resample, op12_divergence, op13_minhash,
     )
 }
