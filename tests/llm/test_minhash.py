@@ -79,7 +79,7 @@ def bag(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("bounds", [{}, {"large": 3, "block": 2}, {"large": 8, "cuts": 0, "block": 4}])
+@pytest.mark.parametrize("bounds", [{}, {"small": 1, "block": 256}, {"small": 6, "block": 16}])
 def test_near_duplicates_equal_all_pairs(docs, rows, bounds):
     found = minhash.near_duplicates(docs, **bounds)
     assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]
@@ -97,34 +97,36 @@ def test_empty_and_lonely_tables(spark, docs):
     assert bag(minhash.near_duplicates(spark.createDataFrame(rows, DOCS))) == plain_duplicates(rows)
 
 
-def test_links_at_the_bound_are_found():
+@pytest.mark.parametrize("level", [0, 1])
+def test_links_at_the_bound_are_found(level):
     """Pairs with a similarity of exactly 0.8 share a key, but for a few in 100,000."""
     rnd = np.random.default_rng(3)
-    halves, missed = minhash.Halves(), 0
+    halves, missed = minhash.Halves(level), 0
     for _ in range(1500):
         both = rnd.integers(0, 1 << 64, 80, dtype=np.uint64)
         own = rnd.integers(0, 1 << 64, 20, dtype=np.uint64)
         a, b = halves(np.concatenate([both, own[:10]])), halves(np.concatenate([both, own[10:]]))
-        same = (a == b).reshape(2, minhash.HALVES).any(axis=1)
-        missed += not same.all()
+        missed += not (a == b).reshape(2, halves.halves).any(axis=1).all()
     assert missed <= 1
 
 
-def test_members_are_compared_across_components_only():
+def test_blocks_are_compared_across_components_only():
     sets = [np.arange(i, i + 40, dtype=np.uint64) for i in (0, 1, 2, 100, 101, 300)]
     nodes = np.arange(6) * 10
-    one = np.zeros(6, dtype=int)
 
-    def found(roots, blocks=one):
-        links = minhash.cross_links(nodes, np.array(roots), blocks, sets, Fraction(4, 5))
+    def found(roots, one, other):
+        roots = np.array(roots)
+        sides = [(nodes[x], roots[x], [sets[i] for i in x]) for x in (one, other)]
+        links = minhash.cross_links(*sides, Fraction(4, 5))
         return sorted(tuple(sorted(x)) for x in links)
 
-    assert found([7] * 6) == []
-    assert len(found([0, 1, 2, 3, 4, 5])) == 3
-    assert found([1, 1, 1, 3, 4, 5]) == [(30, 40)]
-    # A block's own members are left to the task of that block.
-    assert found([0, 1, 2, 3, 3, 5], np.array([0, 0, 0, 1, 1, 1])) == []
-    assert found([0, 0, 2, 3, 4, 5], np.array([0, 0, 1, 1, 0, 0])) in ([(0, 20), (30, 40)], [(10, 20), (30, 40)])
+    every = list(range(6))
+    assert found([7] * 6, every, every) == []
+    assert len(found(every, every, every)) == 3
+    assert found([1, 1, 1, 3, 4, 5], every, every) == [(30, 40)]
+    assert found(every, [0, 5], [3, 4]) == []
+    # One link is enough for two components.
+    assert len(found([0, 0, 2, 3, 4, 5], [0, 1], [2, 3])) == 1
 
 
 def test_frequent_keys_are_dealt_over_pieces(spark):

@@ -6,6 +6,9 @@ block of groups and a block of terms. The counts of a block of groups in a block
 of terms are a slice; a slice is copied to each cell that compares its groups
 with others, and a cell's sums over its own terms are added up along the axis
 of terms. A cell holds two slices, whatever the size of the corpus.
+
+Counts are shuffled once, by language and the term's hash: what is known of a
+term in its language is then found inside that partition.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ SCALE = 1_000_000_000
 LEAST_DOCUMENTS = 3
 TOP_TERMS = 200
 GROUP_BLOCK, TERM_BLOCK = 32, 4096
+# Terms are dealt by hash into so many parts; a block of terms is some of them.
+PARTS = 1 << 14
 # A task hands its counts on when it holds so many.
 HELD = 400_000
 # Terms are runs of ASCII letters and of all beyond ASCII.
@@ -38,23 +43,24 @@ def terms_of(text: str | None) -> list[bytes]:
 
 def term_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of each term in each
-    group, from rows (lang, source, text). Added up in each task before the shuffle."""
+    group, from rows (lang, source, text), added up in a task's stretch of rows."""
+    names = ["lang", "source", "term", "n", "docs"]
 
     def counted(batches):
         often, seen = defaultdict(Counter), defaultdict(Counter)
 
         def flush():
-            keys = [(lang, source, term) for (lang, source), c in often.items() for term in c]
-            columns = [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.string()),
-                pa.array([k[2].decode("utf-8", "replace") for k in keys], pa.string()),
-                pa.array([n for c in often.values() for n in c.values()], pa.int64()),
-                pa.array([seen[k[:2]][k[2]] for k in keys], pa.int64()),
-            ]
+            for (lang, source), own in often.items():
+                columns = [
+                    pa.repeat(pa.scalar(lang), len(own)),
+                    pa.repeat(pa.scalar(source), len(own)),
+                    pa.array(list(own), pa.binary()).cast(pa.string()),
+                    pa.array(list(own.values()), pa.int64()),
+                    pa.array([*map(seen[lang, source].__getitem__, own)], pa.int64()),
+                ]
+                yield pa.record_batch(columns, names=names)
             often.clear()
             seen.clear()
-            return pa.record_batch(columns, names=["lang", "source", "term", "n", "docs"])
 
         for batch in small_batches(batches):
             for lang, source, text in zip(*batch.columns, strict=True):
@@ -62,11 +68,21 @@ def term_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
                 often[group].update(words)
                 seen[group].update(set(words))
             if sum(map(len, often.values())) >= held:
-                yield flush()
-        yield flush()
+                yield from flush()
+        yield from flush()
+
+    return docs.mapInArrow(counted, "lang string, source string, term string, n long, docs long")
+
 
-    rows = docs.mapInArrow(counted, "lang string, source string, term string, n long, docs long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+def entries_of(counts: DataFrame, least: int) -> DataFrame:
+    """(lang, part, source, term, n, total, t) of the kept terms: n in the group, total
+    in the language, t the term's number among the kept terms of its part."""
+    rows = counts.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int")).repartition("lang", "part")
+    rows = rows.groupBy("lang", "part", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_term = Window.partitionBy("lang", "part", "term")
+    rows = rows.withColumns({"total": F.sum("n").over(of_term), "docs": F.sum("docs").over(of_term)})
+    number = F.dense_rank().over(Window.partitionBy("lang", "part").orderBy("term")) - 1
+    return rows.where(F.col("docs") >= least).withColumn("t", number).drop("docs")
 
 
 def share(count: Column, total: Column) -> Column:
@@ -99,64 +115,65 @@ def excess(p, q):
     return (p - q) ** 2 // q
 
 
-def kept_terms(counts: DataFrame, least: int, block: int) -> DataFrame:
-    """(lang, term, total, tblock, t) of the terms in at least ``least`` documents of
-    a language: the block by the term's hash, t the term's number in the block."""
-    terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
-    terms = materialise(terms.where(F.col("docs") >= least).drop("docs"), "audit-terms")
-    sizes = terms.groupBy("lang").agg(F.count("*").alias("v"))
-    blocks = F.ceil(F.col("v") / F.lit(block))
-    placed = terms.join(sizes, "lang").withColumn("tblock", F.pmod(F.xxhash64("term"), blocks).cast("int"))
-    within = Window.partitionBy("lang", "tblock").orderBy("term")
-    return placed.select("lang", "term", "total", "tblock", (F.row_number().over(within) - 1).alias("t"))
+def part_sizes(entries: DataFrame) -> DataFrame:
+    """(lang, part, held): the kept terms in each part."""
+    return entries.groupBy("lang", "part").agg((F.max("t") + 1).cast("long").alias("held"))
 
 
-def group_table(docs: DataFrame, entries: DataFrame, terms: DataFrame, block: int) -> DataFrame:
-    """One row for each group that occurs: its number in its language, its block, n
-    occurrences of kept terms, and the same (lang_n) and the kept terms (v) of the language."""
+def group_table(docs: DataFrame, entries: DataFrame, sizes: DataFrame, group_block: int, term_block: int) -> DataFrame:
+    """One row for each group that occurs: its number g in its language, its block, n
+    occurrences of kept terms, and for its language these (lang_n), the kept terms (v)
+    and the numbers of blocks of groups and of terms."""
     totals = entries.groupBy("lang", "source").agg(F.sum("n").alias("n"))
-    langs = terms.groupBy("lang").agg(F.sum("total").alias("lang_n"), F.count("*").alias("v"))
-    rows = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
+    kept = sizes.groupBy("lang").agg(F.sum("held").alias("v"))
+    rows = docs.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(kept, "lang", "left")
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
-    return rows.fillna(0, ["n", "lang_n", "v"]).withColumn("g", number).withColumn(
-        "gblock", F.floor(F.col("g") / block).cast("int")
+    rows = rows.fillna(0, ["n", "v"]).withColumn("g", number)
+    of_lang = Window.partitionBy("lang")
+    return rows.withColumns(
+        {
+            "lang_n": F.sum("n").over(of_lang),
+            "gblock": F.floor(F.col("g") / group_block).cast("int"),
+            "group_blocks": F.ceil(F.count("*").over(of_lang) / group_block).cast("int"),
+            "term_blocks": F.least(F.ceil(F.col("v") / F.lit(term_block)), F.lit(PARTS)).cast("int"),
+        }
     )
 
 
-def slices(groups: DataFrame, entries: DataFrame, terms: DataFrame) -> DataFrame:
-    """(lang, gblock, tblock, v, held, members, entries): the counts above 0 of a
-    block of groups in a block of terms, which holds ``held`` terms.
-
-    A slice without entries is there too, as its groups are compared in the terms
-    that other groups have.
-    """
-    blocks = terms.groupBy("lang", "tblock").agg(F.count("*").alias("held"))
-    heads = groups.groupBy("lang", "gblock", "v").agg(F.collect_list(F.struct("g", "n")).alias("members"))
-    numbered = entries.join(groups.select("lang", "source", "g", "gblock"), ["lang", "source"])
-    filled = numbered.groupBy("lang", "gblock", "tblock").agg(F.collect_list(F.struct("g", "t", "n")).alias("entries"))
-    return heads.join(blocks, "lang").join(filled, ["lang", "gblock", "tblock"], "left")
+def slices(groups: DataFrame, entries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of the slices, by (lang, gblock, tblock): counts above 0 as (g, t, n), and a
+    head with the groups in ``members``, the kept terms v of the language and ``held`` of
+    the block. A slice without counts has a head, as other groups have its terms."""
+    tblock = F.pmod("part", "term_blocks")
+    place = (F.col("part").cast("long") * (1 << 32) + F.col("t")).alias("t")
+    named = groups.select("lang", "source", "g", "gblock", "term_blocks", "group_blocks")
+    counts = entries.join(named, ["lang", "source"]).select(
+        "lang", "gblock", tblock.alias("tblock"), "group_blocks", "g", place, "n"
+    )
+    langs = groups.select("lang", "term_blocks").distinct()
+    blocks = sizes.join(langs, "lang").groupBy("lang", tblock.alias("tblock")).agg(F.sum("held").alias("held"))
+    heads = groups.groupBy("lang", "gblock", "group_blocks", "v").agg(F.collect_list(F.struct("g", "n")).alias("members"))
+    return counts.unionByName(heads.join(blocks, "lang"), allowMissingColumns=True)
 
 
 def _cell(table: pa.Table) -> pa.Table:
     """The sums of one cell for every ordered pair of its groups that it compares:
     all of one block, or those of the one with those of the other."""
-    rows = table.sort_by("gblock").combine_chunks()
-    v, held = rows.column("v")[0].as_py(), rows.column("held")[0].as_py()
-    numbers, shares_of, places = [], [], []
-    for members, entries in zip(rows.column("members"), rows.column("entries"), strict=True):
-        members = members.values
-        numbers.append(members.field("g").to_numpy())
-        shares_of.append(members.field("n").to_numpy() + v)
-        values = entries.values
-        places.append([values.field(c).to_numpy() for c in "gtn"] if values is not None else [np.zeros(0, np.int64)] * 3)
-    present = np.unique(np.concatenate([p[1] for p in places]))
-    p, p_absent = [], []
-    for own, total, (g, t, n) in zip(numbers, shares_of, places, strict=True):
-        counts = np.zeros((len(own), len(present)), dtype=np.int64)
-        order = np.argsort(own)
-        counts[order[np.searchsorted(own[order], g)], np.searchsorted(present, t)] = n
-        p.append(shares(counts, total[:, None]))
-        p_absent.append(shares(np.zeros(len(own), dtype=np.int64), total))
+    whole = table.column("members").is_valid()
+    heads, counts = table.filter(whole).sort_by("gblock").combine_chunks(), table.filter(pa.compute.invert(whole))
+    v, held = heads.column("v")[0].as_py(), heads.column("held")[0].as_py()
+    block_of, g, t, n = (counts.column(c).to_numpy() for c in ("gblock", "g", "t", "n"))
+    present = np.unique(t)
+    numbers, p, p_absent = [], [], []
+    for head in heads.to_pylist():
+        own = sorted((m["g"], m["n"]) for m in head["members"])
+        own, total = np.array(own, dtype=np.int64).T
+        mine = block_of == head["gblock"]
+        rows = np.zeros((len(own), len(present)), dtype=np.int64)
+        rows[np.searchsorted(own, g[mine]), np.searchsorted(present, t[mine])] = n[mine]
+        numbers.append(own)
+        p.append(shares(rows, total[:, None] + v))
+        p_absent.append(shares(np.zeros(len(own), dtype=np.int64), total + v))
     absent, last = held - len(present), len(numbers) - 1
     out = []
     for one, other in {(0, last), (last, 0)}:
@@ -165,28 +182,26 @@ def _cell(table: pa.Table) -> pa.Table:
             out.append((np.full(len(sums), a), numbers[other], sums))
     a, b, sums = (np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True))
     apart = a != b
-    lang = pa.array([rows.column("lang")[0].as_py()] * int(apart.sum()), pa.string())
+    lang = pa.repeat(heads.column("lang")[0], int(apart.sum()))
     return pa.table({"lang": lang, "a": a[apart], "b": b[apart], "value": sums[apart]})
 
 
-def pair_sums(parts: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_sums(rows: DataFrame) -> DataFrame:
     """(lang, a, b, value) for every two groups of a language that has kept terms."""
-    blocks = groups.groupBy("lang").agg((F.max("gblock") + 1).alias("blocks"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    copied = parts.join(blocks, "lang").withColumn("other", other)
+    copied = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("group_blocks") - 1)))
     cells = copied.withColumns({"i": F.least("gblock", "other"), "j": F.greatest("gblock", "other")})
-    cells = cells.select("lang", "i", "j", "tblock", "gblock", "v", "held", "members", "entries")
+    cells = cells.drop("other", "group_blocks")
     sums = cells.groupBy("lang", "i", "j", "tblock").applyInArrow(_cell, "lang string, a long, b long, value long")
     return sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
-def pair_part(parts: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_part(sums: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value, rank): each other source of the group's language."""
     named = groups.select("lang", "source", "g")
     one = named.toDF("lang", "source", "a")
     other = named.toDF("lang", "item", "b")
     # The result has a row for every two groups of a language, so this join is its size.
-    pairs = one.join(other, "lang").where("a != b").join(pair_sums(parts, groups), ["lang", "a", "b"], "left")
+    pairs = one.join(other, "lang").where("a != b").join(sums, ["lang", "a", "b"], "left")
     rows = pairs.select("lang", "source", "item", F.coalesce("value", F.lit(0)).cast("long").alias("value"))
     return ranked(rows)
 
@@ -232,10 +247,9 @@ def audit(
         F.coalesce(lang_col, empty).alias("lang"), F.coalesce(source_col, empty).alias("source"),
         F.coalesce(text_col, empty).alias("text"),
     )
-    counts = materialise(term_counts(rows), "audit-counts")
-    terms = materialise(kept_terms(counts, least, term_block), "audit-kept")
-    entries = materialise(counts.drop("docs").join(terms, ["lang", "term"]), "audit-entries")
-    groups = materialise(group_table(rows, entries, terms, group_block), "audit-groups")
-    pair = pair_part(slices(groups, entries, terms), groups).withColumn("part", F.lit("pair"))
+    entries = materialise(entries_of(term_counts(rows), least), "audit-entries")
+    sizes = part_sizes(entries)
+    groups = materialise(group_table(rows, entries, sizes, group_block, term_block), "audit-groups")
+    pair = pair_part(pair_sums(slices(groups, entries, sizes)), groups).withColumn("part", F.lit("pair"))
     term = term_part(entries, groups, top).withColumn("part", F.lit("term"))
     return pair.unionByName(term).select("lang", "source", "part", "item", "value", F.col("rank").cast("int").alias("rank"))

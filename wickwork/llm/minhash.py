@@ -1,12 +1,12 @@
 """MinHash near-duplicates by tensored banding, confirmed on whole shingle sets.
 
 A table key joins a half of one collection with a half of another. Each half is
-made of HALF_ROWS min-hashes and each collection has HALVES of them, so
-2 * HALVES * HALF_ROWS min-hashes give HALVES^2 keys of twice that many rows.
+made of ``rows`` min-hashes and each collection has ``halves`` of them, so
+2 * halves * rows min-hashes give halves^2 keys of twice ``rows`` min-hashes.
 Two texts of similarity s share a key unless they share no half of a collection,
 with a chance of at most
 
-    2 * (1 - s^HALF_ROWS)^HALVES
+    2 * (1 - s^rows)^halves
 
 which is 1e-5 at 0.8 and falls quickly above. A key can only be shared if both
 halves are, so halves that no other text has are dropped before keys are formed.
@@ -14,9 +14,11 @@ halves are, so halves that no other text has are dropped before keys are formed.
 Work is on distinct sets (nodes), so exact copies are one. In the bucket of a key
 every node is compared with one of them, the smallest, and the links found join
 nodes into components. Most buckets then lie inside one component and are done.
-The members of the others are compared across components: in blocks, so that no
-task holds a large bucket and no pairs are listed. A bucket that is too large for
-that is first cut by further keys, which texts that share little do not share.
+The members of other small buckets are compared across components. Those of
+large ones get longer keys, which texts that share little do not share, and go
+through the same again. What is large then, say a thousand edits of one text, is
+compared in blocks: all nodes outside a group's largest component with all nodes
+of the group, so no task holds a group and no pairs are listed.
 """
 
 from __future__ import annotations
@@ -37,12 +39,13 @@ from wickwork.session import materialise
 SEED = 42
 SHINGLE = 4
 SIMILARITY = Fraction(4, 5)
-HALVES, HALF_ROWS = 12, 2
+# Halves of a collection and min-hashes of a half, of the first keys and the longer ones.
+SHAPES = ((12, 2), (24, 4))
 # Shingles that are multiplied by all factors at a time.
 TILE = 512
-# Buckets with more members are cut by further keys, up to so many times.
-LARGE, CUTS = 1024, 2
-# Members of a bucket that are compared with each other in one task.
+# Members of a bucket whose pairs across components are compared one by one.
+SMALL = 64
+# Nodes of a larger group that a task holds of either side.
 BLOCK = 256
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,21 +73,21 @@ class Halves:
     """The halves of both collections; each level has min-hashes of its own."""
 
     def __init__(self, level: int = 0):
-        made = np.random.Generator(np.random.Philox([SEED, level]))
-        numbers = made.integers(0, 1 << 64, (2, 2 * HALVES * HALF_ROWS, 1), dtype=np.uint64)
+        self.halves, self.rows = SHAPES[level]
+        made = np.random.Generator(np.random.Philox(SEED + level))
+        numbers = made.integers(0, 1 << 64, (2, 2 * self.halves * self.rows, 1), dtype=np.uint64)
         self.factor, self.summand = numbers[0] | np.uint64(1), numbers[1]
-        self.place = np.arange(2 * HALVES, dtype=np.uint64)
 
     def __call__(self, shingles: np.ndarray) -> np.ndarray:
-        """HALVES of the first collection, then HALVES of the second; none for an empty set."""
+        """Those of the first collection, then of the second; none for an empty set."""
         if not len(shingles):
             return np.zeros(0, dtype=np.int64)
         least = np.full(len(self.factor), np.iinfo(np.uint64).max)
         for start in range(0, len(shingles), TILE):
             tile = shingles[start : start + TILE] * self.factor + self.summand
             np.minimum(least, tile.min(axis=1), out=least)
-        value = self.place.copy()
-        for row in least.reshape(2 * HALVES, HALF_ROWS).T:
+        value = np.arange(2 * self.halves, dtype=np.uint64)
+        for row in least.reshape(2 * self.halves, self.rows).T:
             value = (value ^ row) * MIX
             value ^= value >> np.uint64(29)
         return value.view(np.int64)
@@ -139,48 +142,35 @@ def full_sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
     return own.mapInArrow(cut, "node long, n long, shingles binary").dropDuplicates(["node"])
 
 
-def first_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node, n): the keys of every node whose two halves other nodes have too."""
+def keys_of(nodes: DataFrame, level: int) -> DataFrame:
+    """(key, node, n): the keys of every node (node, n, halves) whose two halves other
+    nodes have too."""
+    each = SHAPES[level][0]
     halves = nodes.select("node", "n", F.posexplode("halves").alias("place", "half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("often")).where("often > 1")
     shared = materialise(shared, "minhash-halves")
     live = spread_join(halves, shared, "half", "node", shared).groupBy("node", "n")
     both = live.agg(
-        F.collect_list(F.when(F.col("place") < HALVES, F.col("half"))).alias("a"),
-        F.collect_list(F.when(F.col("place") >= HALVES, F.col("half"))).alias("b"),
+        F.collect_list(F.when(F.col("place") < each, F.col("half"))).alias("a"),
+        F.collect_list(F.when(F.col("place") >= each, F.col("half"))).alias("b"),
     )
-    return tensored(both, "node", "n")
+    one = both.select("node", "n", "b", F.explode("a").alias("a"))
+    two = one.select("node", "n", "a", F.explode("b").alias("b"))
+    return two.select(F.xxhash64("a", "b").alias("key"), "node", "n")
 
 
-def tensored(rows: DataFrame, *carried: str, over: str | None = None) -> DataFrame:
-    """(key, ...carried): a key for every half in ``a`` with every half in ``b``."""
-    rest = [*carried, *([over] if over else [])]
-    one = rows.select(*rest, "b", F.explode("a").alias("a"))
-    two = one.select(*rest, "a", F.explode("b").alias("b"))
-    parts = [*([over] if over else []), "a", "b"]
-    return two.select(F.xxhash64(*parts).alias("key"), *carried)
-
-
-def deeper_keys(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
-    """(key, node, n) by halves of the next level, inside the bucket of each member."""
+def halves_of(wanted: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+    """(node, n, halves) of the nodes in ``wanted``, from their full sets."""
 
     def cut(batches):
         halves = Halves(level)
         for batch in small_batches(batches):
-            found = [halves(np.frombuffer(s.as_py(), dtype=np.uint64)) for s in batch.column(1)]
+            found = [halves(np.frombuffer(s.as_py(), dtype=np.uint64)) for s in batch.column(2)]
             yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array([h[:HALVES] for h in found], pa.list_(pa.int64())),
-                    pa.array([h[HALVES:] for h in found], pa.list_(pa.int64())),
-                ],
-                names=["node", "a", "b"],
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["node", "n", "halves"]
             )
 
-    wanted = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", "shingles")
-    halves = wanted.mapInArrow(cut, "node long, a array<long>, b array<long>")
-    rows = members.select(F.col("key").alias("bucket"), "node", "n").join(halves, "node")
-    return tensored(rows, "node", "n", over="bucket")
+    return sets.join(wanted, "node", "left_semi").mapInArrow(cut, "node long, n long, halves array<long>")
 
 
 # ------------------------------------------------------------------ comparing
@@ -214,71 +204,119 @@ class _Index:
         self.values, self.starts, self.counts = np.unique(values[order], return_index=True, return_counts=True)
 
     def shared(self, own: np.ndarray) -> np.ndarray:
-        """How many of ``own`` shingles, all of them known, each set has."""
-        at = np.searchsorted(self.values, own)
+        """How many of ``own`` shingles each set has."""
+        at = np.minimum(np.searchsorted(self.values, own), len(self.values) - 1)
+        at = at[self.values[at] == own]
         counts = self.counts[at]
         places = np.repeat(self.starts[at] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         return np.bincount(self.owners[places], minlength=self.n)
 
 
-def cross_links(
-    nodes: np.ndarray, roots: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], similarity: Fraction
-) -> list[tuple[int, int]]:
-    """Links between sets of different components, one at most for each two that they
-    join; in two blocks, only between these.
+def cross_links(one, other, similarity: Fraction) -> list[tuple[int, int]]:
+    """Links between the nodes of two blocks that are in different components, one at
+    most for each two components that they join.
 
-    The sets of the largest component are not compared with each other, so it is
-    enough to look from all others.
+    A block is its nodes, their roots and their sets.
     """
-    names, group, sizes = np.unique(roots, return_inverse=True, return_counts=True)
-    if len(names) < 2:
-        return []
-    index, lengths, joined = _Index(sets), np.array([len(s) for s in sets]), np.arange(len(names))
-    two, out = len(np.unique(blocks)) > 1, []
-    for i in np.flatnonzero(group != np.argmax(sizes)):
-        near = similar(index.shared(sets[i]), lengths[i], lengths, similarity)
-        near &= joined[group] != joined[group[i]]
-        if two:
-            near &= blocks != blocks[i]
-        for j in np.flatnonzero(near):
-            old, new = joined[group[j]], joined[group[i]]
+    (nodes, roots, sets), (nodes_b, roots_b, sets_b) = one, other
+    index, lengths = _Index(sets_b), np.array([len(s) for s in sets_b])
+    _, group = np.unique(np.concatenate([roots, roots_b]), return_inverse=True)
+    group, group_b, out = group[: len(nodes)], group[len(nodes) :], []
+    for i, own in enumerate(sets):
+        far = group_b != group[i]
+        near = np.flatnonzero(far & similar(index.shared(own), len(own), lengths, similarity))
+        for j in near:
+            old, new = group_b[j], group[i]
             if old != new:
-                joined[joined == old] = new
-                out.append((int(nodes[i]), int(nodes[j])))
+                group[group == old], group_b[group_b == old] = new, new
+                out.append((int(nodes[i]), int(nodes_b[j])))
     return out
 
 
-def compared_in_blocks(members: DataFrame, sets: DataFrame, similarity: Fraction, block: int) -> DataFrame:
-    """(a, b): links across components inside the buckets of ``members``, rows (key,
-    node, root, size) with the number of the bucket's members.
+def compared_in_blocks(members: DataFrame, edges: DataFrame, sets: DataFrame, similarity: Fraction, block: int):
+    """(a, b): links across components among the nodes of overlapping buckets.
 
-    A bucket is dealt into blocks of about ``block`` members; a task compares one
-    block, or two with each other.
+    ``members`` holds (node, first) for each member of a bucket. Buckets that share
+    a node are one group. A task compares a block of the nodes that are not in the
+    group's largest component with a block of all its nodes.
     """
-    blocks = F.ceil(F.col("size") / F.lit(block))
-    rows = members.withColumns(
-        {"blocks": blocks, "block": F.pmod(F.xxhash64("node", "key"), blocks).cast("int")}
-    ).withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
-    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    rows = rows.select("key", "i", "j", "block", "node", "root").join(sets.select("node", "shingles"), "node")
+    pairs = members.select("node", "first").where("node != first").distinct()
+    groups = components(pairs, "minhash-groups").withColumnRenamed("root", "group")
+    nodes = members.select("node").distinct().join(groups, "node", "left").join(edges, "node", "left")
+    nodes = nodes.select("node", F.coalesce("group", "node").alias("group"), F.coalesce("root", "node").alias("root"))
+    nodes = materialise(nodes, "minhash-group-nodes")
+    sizes = nodes.groupBy("group", "root").agg(F.count("*").alias("m"))
+    whole = sizes.groupBy("group").agg(
+        F.sum("m").alias("often"), F.max("m").alias("most"), F.max_by("root", "m").alias("largest")
+    )
+    whole = materialise(whole.where("often > most"), "minhash-group-sizes")
+    rows = spread_join(nodes, whole, "group", "node", whole)
+    rows = rows.withColumns(
+        {
+            "odd": F.col("root") != F.col("largest"),
+            "all_blocks": F.ceil(F.col("often") / F.lit(block)).cast("int"),
+            "odd_blocks": F.ceil((F.col("often") - F.col("most")) / F.lit(block)).cast("int"),
+        }
+    )
+
+    def dealt(side: DataFrame, own: str, other: str, place: str, across: str) -> DataFrame:
+        number = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(place)
+        copies = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(across)
+        return side.select("group", "node", "root", number, copies)
+
+    odd = dealt(rows.where("odd"), "odd_blocks", "all_blocks", "i", "j").withColumn("odd", F.lit(True))
+    all_rows = dealt(rows, "all_blocks", "odd_blocks", "j", "i").withColumn("odd", F.lit(False))
+    cells = odd.unionByName(all_rows).join(sets.select("node", "shingles"), "node")
 
     def compared(table):
-        nodes, roots, blocks = (table.column(c).to_numpy() for c in ("node", "root", "block"))
-        held = [np.frombuffer(s.as_py(), dtype=np.uint64) for s in table.column("shingles")]
-        found = np.array(cross_links(nodes, roots, blocks, held, similarity), dtype=np.int64).reshape(-1, 2)
+        def side(odd):
+            own = table.filter(pa.compute.equal(table.column("odd"), odd))
+            held = [np.frombuffer(s.as_py(), dtype=np.uint64) for s in own.column("shingles")]
+            return own.column("node").to_numpy(), own.column("root").to_numpy(), held
+
+        one, other = side(True), side(False)
+        found = cross_links(one, other, similarity) if len(one[0]) and len(other[0]) else []
+        found = np.array(found, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
-    return rows.groupBy("key", "i", "j").applyInArrow(compared, "a long, b long")
+    return cells.groupBy("group", "i", "j").applyInArrow(compared, "a long, b long")
 
 
-def linked(keys: DataFrame, sets_of, similarity: Fraction, large: int, cuts: int, block: int) -> DataFrame | None:
-    """(node, root) of all nodes with a link, or None if no two share a key.
+def open_members(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """(key, node, n, first, root, size): the members of buckets that hold more than one
+    component. Buckets with the same members are one."""
+    rooted = members.join(edges, "node", "left").select(
+        "key", "node", "n", "first", F.coalesce("root", "node").alias("root")
+    )
+    left = rooted.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.max("node").alias("last"), F.min("first").alias("least"), F.bit_xor(F.xxhash64("node")).alias("all"),
+    ).where("low != high")
+    left = left.groupBy("size", "least", "last", "all").agg(F.min("key").alias("key")).select("key", "size")
+    left = materialise(left, "minhash-open")
+    return spread_join(rooted, left, "key", "node", left.withColumnRenamed("size", "often"))
+
 
-    ``keys`` holds (key, node, n); ``sets_of`` gives the full sets of a table of nodes.
+def linked(nodes: DataFrame, sets_of, similarity: Fraction, small: int, block: int) -> DataFrame:
+    """(node, root) of all nodes with a link.
+
+    ``nodes`` holds (node, n, halves); ``sets_of`` gives the full sets of a table of nodes.
     """
-    edges, sets = None, None
-    for level in range(cuts + 1):
-        keys = materialise(keys, "minhash-keys")
+    edges = sets = rest = None
+    over, under = similarity.numerator, similarity.denominator
+
+    def fit(a, b):
+        # Sets whose sizes differ too much cannot be similar.
+        return F.least(a, b) * under >= F.greatest(a, b) * over
+
+    def joined(pairs):
+        found = verified(materialise(pairs, "minhash-pairs"), sets, similarity)
+        return components(found if edges is None else edges.toDF("a", "b").union(found), "minhash")
+
+    for level in range(len(SHAPES)):
+        if level:
+            nodes = materialise(halves_of(rest.select("node").distinct(), sets, level), "minhash-longer")
+        keys = materialise(keys_of(nodes, level), "minhash-keys")
         buckets = keys.groupBy("key").agg(
             F.min("node").alias("first"), F.min_by("n", "node").alias("first_n"), F.count("*").alias("often")
         )
@@ -286,31 +324,19 @@ def linked(keys: DataFrame, sets_of, similarity: Fraction, large: int, cuts: int
         members = materialise(spread_join(keys, buckets, "key", "node", buckets), "minhash-members")
         if sets is None:
             sets = materialise(sets_of(members.select("node").distinct()), "minhash-sets")
-        # Sets whose sizes differ too much cannot be similar.
-        low, high = F.least("n", "first_n"), F.greatest("n", "first_n")
-        fit = (F.col("node") != F.col("first")) & (low * similarity.denominator >= high * similarity.numerator)
-        pairs = members.where(fit).select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-        found = verified(materialise(pairs, "minhash-pairs"), sets, similarity)
-        edges = components(found if edges is None else edges.toDF("a", "b").union(found), "minhash")
-
-        rooted = members.select("key", "node", "n").join(edges, "node", "left")
-        rooted = rooted.select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        left = rooted.groupBy("key").agg(
-            F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
-            F.min("node").alias("least"), F.max("node").alias("most"), F.bit_xor(F.xxhash64("node")).alias("all"),
-        ).where("low != high")
-        # Buckets with the same members are one.
-        left = left.groupBy("size", "least", "most", "all").agg(F.min("key").alias("key")).select("key", "size")
-        left = materialise(left, "minhash-left")
-        rest = spread_join(rooted, left, "key", "node", left.withColumnRenamed("size", "often"))
-        rest = materialise(rest, "minhash-rest")
-        again = F.col("size") > large if level < cuts else F.lit(False)
-        found = compared_in_blocks(rest.where(~again), sets, similarity, block)
-        edges = components(edges.toDF("a", "b").union(found), "minhash")
-        if rest.where(again).isEmpty():
+        star = members.where((F.col("node") != F.col("first")) & fit("n", "first_n"))
+        edges = joined(star.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct())
+        rest = materialise(open_members(members, edges), "minhash-rest")
+        few = rest.where(F.col("size") <= small).select("key", "node", "n", "root")
+        one, other = few.toDF("key", "a", "a_n", "a_root"), few.toDF("key", "b", "b_n", "b_root")
+        # At most ``small`` rows of a key meet each other.
+        pairs = one.join(other, "key").where((F.col("a_root") < F.col("b_root")) & fit("a_n", "b_n"))
+        edges = joined(pairs.select("a", "b").distinct())
+        rest = rest.where(F.col("size") > small)
+        if rest.isEmpty():
             return edges
-        keys = deeper_keys(rest.where(again), sets, level + 1)
-    return edges
+    found = compared_in_blocks(rest, edges, sets, similarity, block)
+    return components(edges.toDF("a", "b").union(found), "minhash")
 
 
 def near_duplicates(
@@ -319,8 +345,7 @@ def near_duplicates(
     text_col: str = "text",
     size: int = SHINGLE,
     similarity: Fraction = SIMILARITY,
-    large: int = LARGE,
-    cuts: int = CUTS,
+    small: int = SMALL,
     block: int = BLOCK,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row for every row of ``docs``,
@@ -347,7 +372,7 @@ def near_duplicates(
         chosen = nodes.join(wanted, "node", "left_semi").select("node", "least", "digest")
         return full_sets(own, chosen, size)
 
-    found = linked(first_keys(nodes), sets_of, similarity, large, cuts, block)
+    found = linked(nodes.select("node", "n", "halves"), sets_of, similarity, small, block)
     rooted = nodes.join(found, "node", "left").select("node", "least", "often", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialise(rooted.join(smallest, "root").select("node", "often", "component_id"), "minhash-named")
