@@ -80,3 +80,23 @@ def test_live_command_lands_what_arrives(spark, tmp_path):
     main(["live", "--input", f"{tmp_path}/lines", "--output", f"{tmp_path}/out", "--state", f"{tmp_path}/state"])
     counts = {r.kind: r.records for r in Landing(spark, f"{tmp_path}/out", "").counts().collect()}
     assert counts == {"closed": 2, "rejected": 1}
+
+
+def test_landed_candles_parse_no_text(spark, tmp_path):
+    from helpers import GOLDEN, bag, table, wave
+
+    rows = table(spark, wave("A", range(5)) + [{**r, "close": None, "symbol": "b"} for r in wave("b", range(2))])
+    lines = m.message_lines(m.candle_messages(rows, closed=F.lit(True), received_at=F.lit(3.0)))
+    job = Landing(spark, str(tmp_path / "out"), str(tmp_path / "state"), levels=("year",))
+    job.process(lines, 0)
+    good, _ = m.split_malformed(lines)
+    found = job.candles(extra=("received_at",))
+    assert bag(found) == bag(m.typed_candles(m.klines(good), extra=("received_at",)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "get_json_object" not in plan
+    # numbers as numbers or as text, and fields of another type
+    odd = {**GOLDEN["data"]["k"], "o": 310.25, "n": "37", "c": {"not": "a number"}, "h": "high"}
+    job.process(spark.createDataFrame([(json.dumps({**GOLDEN, "data": {"e": "kline", "k": odd}}),)], "value string"), 1)
+    (row,) = job.candles(after=0).collect()
+    assert (row.symbol, row.open, row.number_of_trades, row.close, row.high) == ("ONETWO", 310.25, 37, None, None)
+    assert job.candles().count() == 8 and job.newest_batch() == 1

@@ -1,4 +1,4 @@
-"""Command line: ``python -m wickwork {batch,train,collect,live} ...``."""
+"""Command line: ``python -m wickwork {batch,train,collect,live,merge} ...``."""
 
 from __future__ import annotations
 
@@ -37,6 +37,11 @@ def parser() -> argparse.ArgumentParser:
     live.add_argument("--delay", default="2 minutes", help="how late a candle may arrive")
     live.add_argument("--chunk", default="month", help="calendar unit a series is cut into")
     live.add_argument("--max-files", type=int, help="files in a micro-batch; default: all there are")
+    live.add_argument("--beats", action="store_true", help="complete candles by the clock on a quiet stream")
+
+    merge = jobs.add_parser("merge", help="bring late and corrected candles that landed into stored features")
+    merge.add_argument("--input", required=True, help="output folder of the live job")
+    merge.add_argument("--output", required=True)
     return top
 
 
@@ -61,11 +66,13 @@ def run_train_job(spark, args) -> None:
 
 def run_collect_job(spark, args) -> None:
     from wickwork.sinks.files import collect_closed, write_history
+    from wickwork.sources.files import read_collected
     from wickwork.sources.messages import read_lines, stream_lines
 
     if args.history:
         write_history(read_lines(spark, args.history), args.output)
-    query = collect_closed(stream_lines(spark, args.input), args.output, args.state)
+    known = read_collected(spark, args.output)
+    query = collect_closed(stream_lines(spark, args.input), args.output, args.state, within="1 day", history=known)
     query.awaitTermination(args.duration)
     query.stop()
 
@@ -74,17 +81,19 @@ def run_live_job(spark, args) -> None:
     from wickwork.operators.training import load_model
     from wickwork.sources.messages import load_candles, read_lines, stream_lines
     from wickwork.streaming.landing import Landing
-    from wickwork.streaming.live import LiveJob, kline_candles
+    from wickwork.streaming.live import LiveJob, heartbeats, kline_candles
 
     model = load_model(args.model) if args.model else None
     job = LiveJob(spark, args.output, args.state, model=model, chunk=args.chunk)
     if args.history:
         job.seed(load_candles(spark, args.history))
+    # A run that ends with its input has no quiet time to pass.
+    beats = heartbeats(spark) if args.beats and args.duration is not None else None
     landing = Landing(spark, args.output, args.state)
     landed = landing.start(stream_lines(spark, args.input, args.max_files), args.duration is None)
     job.run(
         stream_lines(spark, args.input, args.max_files),
-        lambda lines: kline_candles(lines, args.delay),
+        lambda lines: kline_candles(lines, args.delay, beats),
         flush_from=read_lines(spark, args.input),
         timeout=args.duration,
     )
@@ -92,6 +101,16 @@ def run_live_job(spark, args) -> None:
         landed.awaitTermination()
     landed.stop()
     landing.counts().show()
+    job.written().show()
+
+
+def run_merge_job(spark, args) -> None:
+    from wickwork.streaming.landing import Landing
+    from wickwork.streaming.merge import FeatureStore
+
+    store = FeatureStore(spark, args.output)
+    state = store.follow(Landing(spark, args.input, args.output))
+    print(f"commit {state.number}, landed up to batch {state.note}")
 
 
 def main(argv=None) -> None:
@@ -102,6 +121,7 @@ def main(argv=None) -> None:
         "train": run_train_job,
         "collect": run_collect_job,
         "live": run_live_job,
+        "merge": run_merge_job,
     }
     jobs[args.job](spark, args)
 

@@ -16,8 +16,7 @@ from wickwork.schemas import (
     WARMUP_ROWS,
 )
 
-# Candles of different widths are different series.
-BY = ["symbol", "interval"]
+BY = series.SERIES_KEYS
 ORDER = ["timestamp"]
 LOOKBACK = WARMUP_ROWS - 1
 

@@ -11,7 +11,7 @@ from wickwork.functions.columns import log_return
 from wickwork.operators import series
 from wickwork.session import materialise
 
-BY = ["symbol"]
+BY = series.SERIES_KEYS
 ORDER = ["timestamp"]
 
 
@@ -130,7 +130,7 @@ def ema(
     longest = max(span for _, span in averages.values())
     size = math.ceil(40 / -math.log(1 - 2 / (longest + 1)))
     placed = (
-        series.series_index(rows, BY[0], ORDER, chunk)
+        series.series_index(rows, BY, ORDER, chunk)
         .withColumn("_b", F.floor(F.col("series_pos") / size))
         .withColumn("_i", F.col("series_pos") % size)
     )

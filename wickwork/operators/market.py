@@ -38,16 +38,68 @@ def day_stats(trades: DataFrame, span: str = "24 hours") -> DataFrame:
     """
     clock = trades.agg(F.max("time").alias("clock")).scalar()
     inside = trades.where(F.col("time") > clock - F.expr(f"INTERVAL {span}"))
+    return _day_columns(_merged(trade_panes(inside, None)))
+
+
+def trade_panes(trades: DataFrame, width: str | None = "1 hour") -> DataFrame:
+    """Partial results of each symbol and window, which any longer span combines: first
+    and last price with the place of their trade, bounds, sums and the last time. With
+    no ``width`` a symbol is one pane. Batch or stream.
+    """
     order = sequence_key(F.col("time"), F.col("id"))
-    grouped = inside.groupBy("symbol").agg(
-        F.max_by("price", order).alias("price"),
-        F.min_by("price", order).alias("open_price"),
-        F.max("price").alias("high_24h"),
-        F.min("price").alias("low_24h"),
-        F.sum("quantity").alias("volume_24h"),
-        F.sum(F.col("price") * F.col("quantity")).alias("quote_volume_24h"),
-        F.count(F.lit(1)).alias("trade_count"),
+    by = ["symbol"] if width is None else ["symbol", F.window("time", width).alias("w")]
+    panes = trades.groupBy(*by).agg(
+        F.min(order).alias("first_at"),
+        F.min_by("price", order).alias("first"),
+        F.max(order).alias("last_at"),
+        F.max_by("price", order).alias("last"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.sum("quantity").alias("volume"),
+        F.sum(F.col("price") * F.col("quantity")).alias("quote_volume"),
+        F.count(F.lit(1)).alias("trades"),
+        F.max("time").alias("last_time"),
+    )
+    if width is None:
+        return panes
+    return panes.select("symbol", F.col("w.start").alias("pane"), F.col("w.end").alias("pane_end"), *PANE)
+
+
+PANE = ["first_at", "first", "last_at", "last", "high", "low", "volume", "quote_volume", "trades", "last_time"]
+
+
+def _merged(panes: DataFrame) -> DataFrame:
+    """Panes of a symbol as one row."""
+    return panes.groupBy("symbol").agg(
+        F.max_by("last", "last_at").alias("price"),
+        F.min_by("first", "first_at").alias("open_price"),
+        F.max("high").alias("high_24h"),
+        F.min("low").alias("low_24h"),
+        F.sum("volume").alias("volume_24h"),
+        F.sum("quote_volume").alias("quote_volume_24h"),
+        F.sum("trades").alias("trade_count"),
     )
+
+
+def day_stats_from_panes(panes: DataFrame, trades: DataFrame | None = None, span: str = "24 hours") -> DataFrame:
+    """``day_stats`` from stored ``trade_panes``.
+
+    Panes that lie inside the span are combined. The one it begins in is computed from
+    ``trades``, of which no more than that pane is read; without ``trades`` the span
+    begins with the first whole pane.
+    """
+    ends = panes.agg(F.max("last_time").alias("clock"))
+    start = ends.select((F.col("clock") - F.expr(f"INTERVAL {span}")).alias("start"))
+    whole = panes.where(F.col("pane") > start.scalar()).select("symbol", *PANE)
+    if trades is not None:
+        split = panes.where((F.col("pane") <= start.scalar()) & (F.col("pane_end") > start.scalar()))
+        until = split.agg(F.max("pane_end").alias("until")).scalar()
+        edge = trades.where((F.col("time") > start.scalar()) & (F.col("time") < until))
+        whole = whole.unionByName(trade_panes(edge, None))
+    return _day_columns(_merged(whole))
+
+
+def _day_columns(grouped: DataFrame) -> DataFrame:
     change = F.col("price") - F.col("open_price")
     return grouped.select(
         "symbol",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickwork.functions.columns import confidence, direction_hit, pct_change, predicted_price
@@ -22,7 +24,7 @@ def predictions(features: DataFrame, score: Column | None = None) -> DataFrame:
     expected = F.col("prediction") if score is None else score
     scored = features.withColumn("predicted_return", expected)
     return scored.select(
-        "symbol",
+        *series.keys_of(features),
         "timestamp",
         F.col("close").alias("current_price"),
         predicted_price(F.col("close"), F.col("predicted_return")).alias("predicted_price"),
@@ -32,10 +34,11 @@ def predictions(features: DataFrame, score: Column | None = None) -> DataFrame:
 
 
 def latest_predictions(made: DataFrame) -> DataFrame:
-    """The newest prediction per symbol; one row per symbol and task is shuffled."""
-    rest = [c for c in made.columns if c not in ("symbol", "timestamp")]
-    newest = made.groupBy("symbol").agg(F.max(F.struct("timestamp", *rest)).alias("p"))
-    return newest.select("symbol", *[F.col(f"p.{c}").alias(c) for c in ("timestamp", *rest)])
+    """The newest prediction per series; one row per series and task is shuffled."""
+    by = series.keys_of(made)
+    rest = [c for c in made.columns if c not in (*by, "timestamp")]
+    newest = made.groupBy(*by).agg(F.max(F.struct("timestamp", *rest)).alias("p"))
+    return newest.select(*by, *[F.col(f"p.{c}").alias(c) for c in ("timestamp", *rest)])
 
 
 def _outcome(actual: Column) -> list[Column]:
@@ -52,28 +55,27 @@ def next_row_outcomes(labelled: DataFrame, score: Column) -> DataFrame:
         F.col("next_close").isNotNull() & F.col("predicted_return").isNotNull()
     )
     return scored.select(
-        "symbol", F.col("next_timestamp").alias("timestamp"), *_outcome(F.col("target_return"))
+        *series.keys_of(labelled), F.col("next_timestamp").alias("timestamp"), *_outcome(F.col("target_return"))
     )
 
 
 def asof_outcomes(
     candles: DataFrame, made: DataFrame, chunk: str | None = series.DEFAULT_CHUNK
 ) -> DataFrame:
-    """Each candle against the symbol's latest earlier prediction.
+    """Each candle against the latest earlier prediction of its series.
 
     Predictions and candles are separate tables. A prediction of the same time
     as the candle is made from that candle, so it does not count.
     """
-    rows = candles.select("symbol", "timestamp", "close")
-    marks = made.select(
-        "symbol", F.col("timestamp").alias("made_at"), "current_price", "predicted_return"
-    )
-    seen = series.last_before(rows, marks, ["symbol"], "timestamp", "made_at", "seen", chunk)
+    by = [c for c in series.keys_of(candles) if c in made.columns]
+    rows = candles.select(*by, "timestamp", "close")
+    marks = made.select(*by, F.col("timestamp").alias("made_at"), "current_price", "predicted_return")
+    seen = series.last_before(rows, marks, by, "timestamp", "made_at", "seen", chunk)
     matched = seen.where(F.col("seen").isNotNull()).select(
-        "symbol", "timestamp", "close", "seen.current_price", "seen.predicted_return"
+        *by, "timestamp", "close", "seen.current_price", "seen.predicted_return"
     )
     actual = pct_change(F.col("close"), F.col("current_price"))
-    return matched.select("symbol", "timestamp", *_outcome(actual))
+    return matched.select(*by, "timestamp", *_outcome(actual))
 
 
 def _score_columns() -> list[Column]:
@@ -89,7 +91,7 @@ def _score_columns() -> list[Column]:
 
 def recent_outcomes(outcomes: DataFrame, n: int = OUTCOME_HISTORY) -> DataFrame:
     """The last ``n`` outcomes of all symbols: a top-n, ``n`` rows per task."""
-    return outcomes.orderBy(F.desc("timestamp"), F.desc("symbol")).limit(n)
+    return outcomes.orderBy(F.desc("timestamp"), *[F.desc(c) for c in series.keys_of(outcomes)]).limit(n)
 
 
 def metrics(outcomes: DataFrame, last_trained=None, n: int = OUTCOME_HISTORY) -> DataFrame:
@@ -98,34 +100,57 @@ def metrics(outcomes: DataFrame, last_trained=None, n: int = OUTCOME_HISTORY) ->
     return row.withColumn("last_trained", F.lit(last_trained).cast("timestamp"))
 
 
+def _hit_totals() -> dict[str, Column]:
+    hit = F.col("direction_correct").cast("bigint")
+    return {
+        "_pos": F.lit(1).cast("bigint"),
+        "_hits": F.coalesce(hit, F.lit(0)),
+        "_known": hit.isNotNull().cast("bigint"),
+    }
+
+
 def running_accuracy(
     outcomes: DataFrame, n: int = OUTCOME_HISTORY, chunk: str = series.DEFAULT_CHUNK
 ) -> DataFrame:
-    """Per symbol, hit rate and count over the ``n`` outcomes up to each one.
+    """Per series, hit rate and count over the ``n`` outcomes up to each one.
 
     The difference of two running totals, ``n`` positions apart: no row is copied,
     whatever ``n`` is. Totals are counts, so differences are exact.
     """
-    hit = F.col("direction_correct").cast("bigint")
-    totals = {
-        "_pos": F.lit(1).cast("bigint"),
-        "_hits": F.coalesce(hit, F.lit(0)),
-        "_known": hit.isNotNull().cast("bigint"),
-    }
+    totals = _hit_totals()
     stored = materialise(outcomes, "outcomes")
-    now = materialise(series.running_totals(stored, ["symbol"], ["timestamp"], totals, chunk), "running")
+    by = series.keys_of(outcomes)
+    now = materialise(series.running_totals(stored, by, ["timestamp"], totals, chunk), "running")
+    return _last_n(now, outcomes.columns, n, by)
+
+
+def running_accuracy_overall(outcomes: DataFrame, n: int = OUTCOME_HISTORY) -> DataFrame:
+    """Hit rate and count over the last ``n`` outcomes of all symbols up to each one.
+
+    Outcomes of one time are taken in the order of their symbols, missing ones first;
+    those alike in both by interval, predicted and actual return.
+    """
+    names = ["timestamp", *series.keys_of(outcomes), "predicted_return", "actual_return"]
+    order = [F.col(c).asc_nulls_first() for c in names]
+    now = series.ordered_totals(outcomes, order, _hit_totals(), "accuracy")
+    return _last_n(now, outcomes.columns, n, [])
+
+
+def _last_n(now: DataFrame, columns: list[str], n: int, by: list[str]) -> DataFrame:
+    """Accuracy from the totals of each row and of the row ``n`` positions before it
+    among those with equal ``by``."""
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by], F.lit(True))
     then = now.select(
-        F.col("symbol").alias("_symbol"),
+        *[F.col(c).alias(f"_{c}") for c in by],
         (F.col("_pos") + n).alias("_at"),
         F.col("_hits").alias("_hits_then"),
         F.col("_known").alias("_known_then"),
     )
-    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_pos") == F.col("_at"))
-    joined = now.join(then, same, "left")
+    joined = now.join(then, same & (F.col("_pos") == F.col("_at")), "left")
     hits = F.col("_hits") - F.coalesce("_hits_then", F.lit(0))
     known = F.col("_known") - F.coalesce("_known_then", F.lit(0))
     return joined.select(
-        *outcomes.columns,
+        *columns,
         F.when(known > 0, hits / known * 100).alias("accuracy"),
         F.least("_pos", F.lit(n).cast("bigint")).alias("counted"),
     )

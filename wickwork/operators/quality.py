@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wickwork.operators.series import keys_of
 from wickwork.schemas import CRITICAL_COLUMNS, PRICE_COLUMNS
 
 _STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -35,8 +36,8 @@ def null_counts(rows: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(rows: DataFrame) -> DataFrame:
-    """Each ``(symbol, timestamp)`` seen more than once, with its copies."""
-    grouped = rows.groupBy("symbol", "timestamp").agg(F.count(F.lit(1)).alias("copies"))
+    """Each ``(symbol, interval, timestamp)`` seen more than once, with its copies."""
+    grouped = rows.groupBy(*keys_of(rows), "timestamp").agg(F.count(F.lit(1)).alias("copies"))
     return grouped.where(F.col("copies") > 1)
 
 
@@ -80,7 +81,7 @@ def quality_report(rows: DataFrame) -> DataFrame:
     the totals. Nothing is scanned twice.
     """
     nulls = {f"null_{c}": _count(F.col(c).isNull()) for c in CRITICAL_COLUMNS}
-    per_key = rows.groupBy("symbol", "timestamp").agg(
+    per_key = rows.groupBy(*keys_of(rows), "timestamp").agg(
         F.count(F.lit(1)).alias("n"),
         _count(_bad_price()).alias("bad"),
         *[c.alias(n) for n, c in nulls.items()],

@@ -23,12 +23,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wickwork.session import materialise
+
 CHUNK = "_chunk"
 OWN = "_own"
+# Candles of different widths are different series.
+SERIES_KEYS = ["symbol", "interval"]
 DEFAULT_CHUNK = "month"
 _EPOCH = "0001-01-01 00:00:00"
 
 
+def keys_of(rows: DataFrame) -> list[str]:
+    """The columns that tell series apart: a table without an interval has one width."""
+    return [c for c in SERIES_KEYS if c in rows.columns]
+
+
 def chunk_of(time: str, unit: str = DEFAULT_CHUNK):
     """The calendar chunk of a row; rows without a time form the first one."""
     return F.coalesce(
@@ -36,7 +45,7 @@ def chunk_of(time: str, unit: str = DEFAULT_CHUNK):
     )
 
 
-def _attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Adds the columns of a per-key table; a NULL key matches itself."""
     renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     match = reduce(
@@ -95,7 +104,7 @@ def _cut(rows: DataFrame, by: list[str], time: str, unit: str, long_rows: int |
     )
     whole = F.lit(_EPOCH).cast("timestamp_ntz")
     chunk = F.when(F.col("_long"), chunk_of(time, unit)).otherwise(whole)
-    return _attach(rows, long, by, "left").withColumn(CHUNK, chunk).drop("_long")
+    return attach(rows, long, by, "left").withColumn(CHUNK, chunk).drop("_long")
 
 
 def with_halo(
@@ -157,7 +166,7 @@ def latest_row(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 
 def series_index(
-    rows: DataFrame, by: str, order: list[str], unit: str = DEFAULT_CHUNK
+    rows: DataFrame, by: str | list[str], order: list[str], unit: str = DEFAULT_CHUNK
 ) -> DataFrame:
     """Adds positions without a window over a whole series.
 
@@ -166,26 +175,27 @@ def series_index(
     ``(key, chunk)`` are accumulated instead of rows; rows are only numbered
     inside their chunk. ``rows`` is read twice, so pass a stored table.
     """
+    by = [by] if isinstance(by, str) else by
     home = rows.withColumn(CHUNK, chunk_of(order[0], unit))
-    sizes = home.groupBy(by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    per_key = sizes.groupBy(by).agg(F.sum("_n").alias("series_rows"))
+    sizes = home.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = sizes.groupBy(*by).agg(F.sum("_n").alias("series_rows"))
     # One row per key from here on.
-    over_keys = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    over_keys = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     per_key = per_key.select(
-        by,
+        *by,
         "series_rows",
         F.coalesce(F.sum("series_rows").over(over_keys), F.lit(0)).alias("_key_start"),
         F.sum("series_rows").over(Window.partitionBy()).alias("table_rows"),
     )
-    earlier = Window.partitionBy(by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
-        by, CHUNK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_chunk_start")
+        *by, CHUNK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_chunk_start")
     )
     totals = ["series_rows", "_key_start", "table_rows"]
-    starts = _attach(starts, per_key, [by]).withColumn("_kind", F.lit(0))
+    starts = attach(starts, per_key, by).withColumn("_kind", F.lit(0))
     # The start of a chunk travels as its first row, so rows need no join.
     marked = home.withColumn("_kind", F.lit(1)).unionByName(starts, allowMissingColumns=True)
-    ordered = Window.partitionBy(by, CHUNK).orderBy("_kind", *order)
+    ordered = Window.partitionBy(*by, CHUNK).orderBy("_kind", *order)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     numbered = marked.select(
         *rows.columns,
@@ -231,6 +241,35 @@ def running_totals(
     ).where(F.col("_kind") == 1).drop("_kind")
 
 
+RANGE_SHIFT = 33
+
+
+def ordered_totals(rows: DataFrame, order: list[Column], totals: dict[str, Column], name: str = "ordered") -> DataFrame:
+    """Adds running sums over the whole table in ``order``, without one window over it.
+
+    Rows are cut into ranges of the order and stored. A range's sums are one row, and
+    the sums of the ranges before it are what its rows begin with; inside a range
+    rows are summed by a window. Rows alike in ``order`` are taken by where they were
+    read, so a large group of them is cut too. The result is a stored table.
+    """
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = rows.select("*", *[c.alias(n) for n, c in totals.items()]).withColumn("_read", F.monotonically_increasing_id())
+    sort = [*order, F.col("_read")]
+    cut = marked.repartitionByRange(width, *sort).sortWithinPartitions(*sort).drop("_read")
+    # The number holds the range in its upper bits and the place in the range below.
+    cut = materialise(cut.withColumn("_at", F.monotonically_increasing_id()), name)
+    cut = cut.withColumn("_range", F.shiftright("_at", RANGE_SHIFT))
+    sums = cut.groupBy("_range").agg(*[F.sum(n).alias(n) for n in totals])
+    # One row for each range: as many as the shuffle has partitions.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_range", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_start_{n}") for n in totals])
+    so_far = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    inside = cut.select(*rows.columns, "_range", *[F.sum(n).over(so_far).alias(n) for n in totals])
+    both = inside.join(F.broadcast(starts), "_range")
+    done = both.select(*rows.columns, *[(F.col(n) + F.col(f"_start_{n}")).alias(n) for n in totals])
+    return materialise(done, name)
+
+
 def last_before(
     rows: DataFrame,
     marks: DataFrame,

@@ -24,11 +24,11 @@ def ordered_split(
 ) -> DataFrame:
     """Adds ``part``. No shuffling of rows between parts.
 
-    ``mode="time"``: the last share of every symbol is the test part.
-    ``mode="table"``: the last share of the table in ``(symbol, timestamp)``
+    ``mode="time"``: the last share of every series is the test part.
+    ``mode="table"``: the last share of the table in ``(symbol, interval, timestamp)``
     order, so the test part is the tail of the last symbols.
     """
-    placed = series.series_index(rows, "symbol", ["timestamp"], chunk)
+    placed = series.series_index(rows, series.keys_of(rows), ["timestamp"], chunk)
     pos, total = {
         "time": ("series_pos", "series_rows"),
         "table": ("table_pos", "table_rows"),

@@ -22,10 +22,18 @@ from wickwork.operators.training import (
     save_model,
     train,
 )
+from wickwork.schemas import KLINE
 from wickwork.session import materialise
 from wickwork.sinks.files import write_by_time, write_csv_by_symbol
 from wickwork.sources.files import read_feature_csv, read_features
-from wickwork.sources.messages import klines, read_lines, split_malformed, typed_candles
+from wickwork.sources.messages import (
+    REJECTED,
+    event_kind,
+    kline_fields,
+    parse_lines,
+    read_lines,
+    typed_candles,
+)
 
 FEATURE_LEVELS = ("year", "month", "day")
 
@@ -43,18 +51,22 @@ class BatchResult:
 
 
 def land(spark: SparkSession, source, path: str) -> tuple[DataFrame, DataFrame]:
-    """Raw lines to two Parquet tables, ``candles`` and ``rejected`` below ``path``.
+    """Raw lines to a Parquet table ``landed`` below ``path``, in folders by kind: its
+    candles and its rejected lines.
 
-    Every row that arrived is kept, history and live, copies included; lines
-    that cannot be read are stored once, as text.
+    The text is read and parsed once. Every candle that arrived is kept, history and
+    live, copies included; lines that cannot be read are stored once, as text.
     """
-    good, bad = split_malformed(read_lines(spark, source))
-    candles = typed_candles(klines(good), extra=("received_at",))
-    write_by_time(candles, f"{path}/candles", levels=FEATURE_LEVELS)
-    bad.write.mode("overwrite").parquet(f"{path}/rejected")
+    parsed = parse_lines(read_lines(spark, source))
+    kind = F.when(~F.col("readable"), REJECTED).when(event_kind() == KLINE, KLINE)
+    own = parsed.withColumns({"kind": kind, "line": F.when(~F.col("readable"), F.col("value"))})
+    fields = kline_fields(own.where(F.col("kind").isNotNull()), keep=("kind", "line"))
+    rows = typed_candles(fields, extra=("received_at", "kind", "line"))
+    write_by_time(rows, f"{path}/landed", levels=FEATURE_LEVELS, first=("kind",))
+    landed = spark.read.schema(rows.schema).parquet(f"{path}/landed")
     return (
-        spark.read.parquet(f"{path}/candles").select(*candles.columns),
-        spark.read.schema(bad.schema).parquet(f"{path}/rejected"),
+        landed.where(F.col("kind") == KLINE).drop("kind", "line"),
+        landed.where(F.col("kind") == REJECTED).select("line"),
     )
 
 

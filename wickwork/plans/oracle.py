@@ -124,14 +124,14 @@ _PREDICTION = """
 
 LATEST = f"""
 latest AS (
-  SELECT symbol, "timestamp", {_PREDICTION}
+  SELECT symbol, "interval", "timestamp", {_PREDICTION}
   FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC) AS back,
                0.1 * momentum_5 AS predicted_return FROM f3)
   WHERE back = 1 AND {_FIT})"""
 
 OUTCOMES = """
 outcomes AS (
-  SELECT symbol, next_timestamp AS "timestamp", predicted_return,
+  SELECT symbol, "interval", next_timestamp AS "timestamp", predicted_return,
          target_return AS actual_return, predicted_return * target_return > 0 AS direction_correct
   FROM scored WHERE next_close IS NOT NULL)"""
 
@@ -149,16 +149,16 @@ _SCORED = _FEATURED + "," + SCORED
 _OUTCOMES = _SCORED + "," + OUTCOMES
 
 _OUTCOME_COLS = (
-    'symbol, "timestamp", round(predicted_return, 6) AS predicted_return, '
+    'symbol, "interval", "timestamp", round(predicted_return, 6) AS predicted_return, '
     "round(actual_return, 6) AS actual_return, direction_correct"
 )
 
 ASOF = """
 seen AS (
-  SELECT c.symbol, c."timestamp", m.predicted_return,
+  SELECT c.symbol, c."interval", c."timestamp", m.predicted_return,
          CASE WHEN m."close" <> 0 THEN (c."close" - m."close") / m."close" * 100 END AS actual_return
   FROM candles c ASOF JOIN {made} m
-    ON c.symbol = m.symbol AND c."timestamp" > m."timestamp")"""
+    ON c.symbol = m.symbol AND c."interval" = m."interval" AND c."timestamp" > m."timestamp")"""
 
 _TRAINING = _FEATURED + f"""
 , training AS (
@@ -211,6 +211,14 @@ def _without_close(instead: str) -> str:
     return base() + f" SELECT {_cols(names)}, {close} FROM candles"
 
 
+# Candles of one hour and of four, and their features by series.
+_WIDE = CANDLES.replace("candles AS", "wide AS").replace(
+    'date_trunc(\'hour\', "time") AS', 'date_trunc(\'day\', "time") + to_hours(CAST(hour("time") // 4 * 4 AS INTEGER)) AS'
+).replace("'1h'", "'4h'")
+_WIDTHS = base() + "," + _WIDE + """
+, widths AS (SELECT * FROM candles UNION ALL SELECT * FROM wide)"""
+_BY_INTERVAL = features("widths").replace("PARTITION BY symbol ", 'PARTITION BY symbol, "interval" ')
+
 _EMA = """
 walk AS (
   SELECT symbol, "timestamp", "close", row_number() OVER w AS n
@@ -227,6 +235,19 @@ line AS (
                - (w."close" * 2 / 27.0 + l.slow * 25 / 27.0)) * 0.2 + l.signal * 0.8 AS DOUBLE)
   FROM line l JOIN walk w ON w.symbol = l.symbol AND w.n = l.n + 1)"""
 
+_DAY = "WITH " + TRADES.format(symbol="event_type") + """
+, day AS (
+  SELECT symbol, arg_max(price, ("time", id)) AS price, arg_min(price, ("time", id)) AS o,
+         max(price) AS high_24h, min(price) AS low_24h, sum(quantity) AS volume_24h,
+         sum(price * quantity) AS quote_volume_24h, count(*) AS trade_count
+  FROM trades WHERE "time" > (SELECT max("time") FROM trades) - INTERVAL 24 HOUR GROUP BY symbol)
+SELECT symbol, round(price, 6) AS price, round(price - o, 6) AS price_change,
+       round(CASE WHEN o <> 0 THEN (price - o) / o * 100 END, 6) AS price_change_percent,
+       CASE WHEN price > o THEN 'up' WHEN price < o THEN 'down' ELSE 'flat' END AS direction,
+       round(high_24h, 6) AS high_24h, round(low_24h, 6) AS low_24h,
+       round(volume_24h, 6) AS volume_24h, round(quote_volume_24h, 6) AS quote_volume_24h,
+       trade_count FROM day"""
+
 _RETURNS = base() + """
 , d AS (
   SELECT symbol, "timestamp", "close", "close" - lag("close") OVER w AS d,
@@ -338,7 +359,7 @@ SELECT symbol, CASE WHEN price_change > 0 THEN 'up' WHEN price_change < 0 THEN '
 SELECT symbol, min("timestamp") AS first_timestamp, max("timestamp") AS last_timestamp
 FROM dirty GROUP BY symbol""",
     "duplicate_keys": _DIRTY + """
-SELECT symbol, "timestamp", count(*) AS copies FROM dirty GROUP BY 1, 2 HAVING count(*) > 1""",
+SELECT symbol, "interval", "timestamp", count(*) AS copies FROM dirty GROUP BY 1, 2, 3 HAVING count(*) > 1""",
     "invalid_prices": _DIRTY + f"""
 SELECT {_cols(CANDLE_COLUMNS)} FROM dirty
 WHERE "open" <= 0 OR high <= 0 OR low <= 0 OR "close" <= 0""",
@@ -349,7 +370,7 @@ WHERE "open" <= 0 OR high <= 0 OR low <= 0 OR "close" <= 0""",
     "distinct_symbols": _DIRTY + " SELECT DISTINCT symbol FROM dirty",
     # predictions and outcomes
     "predictions_latest": _FEATURED + "," + LATEST + """
-SELECT symbol, "timestamp", round(current_price, 6) AS current_price,
+SELECT symbol, "interval", "timestamp", round(current_price, 6) AS current_price,
        round(predicted_price, 6) AS predicted_price,
        round(predicted_return, 6) AS predicted_return, confidence FROM latest""",
     "prediction_outcomes": _OUTCOMES + f" SELECT {_OUTCOME_COLS} FROM outcomes",
@@ -357,24 +378,64 @@ SELECT symbol, "timestamp", round(current_price, 6) AS current_price,
     + ", made AS (SELECT * FROM scored WHERE momentum_5 > 0),"
     + ASOF.format(made="made")
     + """
-SELECT symbol, "timestamp", round(predicted_return, 6) AS predicted_return,
+SELECT symbol, "interval", "timestamp", round(predicted_return, 6) AS predicted_return,
        round(actual_return, 6) AS actual_return,
        predicted_return * actual_return > 0 AS direction_correct FROM seen""",
     "direction_accuracy": _OUTCOMES + "," + METRICS + """
 SELECT round(mae, 6) AS mae, round(rmse, 6) AS rmse,
        round(accuracy_direction, 6) AS accuracy_direction, total_predictions FROM metrics""",
+    "outcomes_by_interval": _WIDTHS + "," + _BY_INTERVAL + "," + SCORED
+    + ", made AS (SELECT * FROM scored WHERE momentum_5 > 0),"
+    + ASOF.format(made="made").replace("FROM candles c", "FROM widths c")
+    + """
+, done AS (SELECT *, predicted_return * actual_return > 0 AS hit FROM seen)
+SELECT symbol, "interval", "timestamp", round(predicted_return, 6) AS predicted_return,
+       round(actual_return, 6) AS actual_return, hit AS direction_correct,
+       round(avg(CASE WHEN hit IS NULL THEN NULL WHEN hit THEN 1.0 ELSE 0.0 END) OVER w * 100, 6) AS accuracy,
+       count(*) OVER w AS counted FROM done
+WINDOW w AS (PARTITION BY symbol, "interval" ORDER BY "timestamp" ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+    "indicators_by_interval": _WIDTHS + """
+, d AS (
+  SELECT symbol, "interval", "timestamp", "close", "close" - lag("close") OVER w AS d,
+         CASE WHEN lag("close") OVER w > 0 AND "close" > 0
+              THEN ln("close" / lag("close") OVER w) END AS r
+  FROM widths WINDOW w AS (PARTITION BY symbol, "interval" ORDER BY "timestamp"))
+SELECT symbol, "interval", "timestamp", round(CASE WHEN count(d) OVER w14 = 14 THEN
+         CASE WHEN avg(greatest(-d, 0)) OVER w14 = 0 THEN 100.0
+              ELSE 100 - 100 / (1 + avg(greatest(d, 0)) OVER w14 / avg(greatest(-d, 0)) OVER w14) END
+       END, 6) AS rsi,
+       round(CASE WHEN count("close") OVER w20 = 20
+             THEN avg("close") OVER w20 + 2 * stddev_pop("close") OVER w20 END, 6) AS upper_band,
+       round(CASE WHEN count(r) OVER w20 = 20
+             THEN avg(r) OVER w20 / nullif(stddev_samp(r) OVER w20, 0) END, 6) AS sharpe
+FROM d
+WINDOW w14 AS (PARTITION BY symbol, "interval" ORDER BY "timestamp" ROWS BETWEEN 13 PRECEDING AND CURRENT ROW),
+       w20 AS (PARTITION BY symbol, "interval" ORDER BY "timestamp" ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+    "split_by_interval": _WIDTHS + """
+, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol, "interval" ORDER BY "timestamp") - 1 AS pos,
+         count(*) OVER (PARTITION BY symbol, "interval") AS n FROM widths)
+SELECT symbol, "interval", CASE WHEN pos < n - ceil(CAST(0.2 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS part,
+       count(*) AS records, min("timestamp") AS first_timestamp, CAST(0 AS BIGINT) AS copies
+FROM placed GROUP BY 1, 2, 3""",
     "running_accuracy": _OUTCOMES + """
 SELECT symbol, "timestamp",
        round(avg(CASE WHEN direction_correct IS NULL THEN NULL
                       WHEN direction_correct THEN 1.0 ELSE 0.0 END) OVER w * 100, 6) AS accuracy,
        count(*) OVER w AS counted FROM outcomes
 WINDOW w AS (PARTITION BY symbol ORDER BY "timestamp" ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)""",
+    "running_accuracy_overall": _OUTCOMES + """
+SELECT symbol, "timestamp",
+       round(avg(CASE WHEN direction_correct IS NULL THEN NULL
+                      WHEN direction_correct THEN 1.0 ELSE 0.0 END) OVER w * 100, 6) AS accuracy,
+       count(*) OVER w AS counted FROM outcomes
+WINDOW w AS (ORDER BY "timestamp", symbol ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)""",
     "prediction_lookup": _OUTCOMES + "," + METRICS + "," + LATEST + """
 , asked AS (
   SELECT DISTINCT upper(event_type) AS symbol FROM events
   UNION ALL SELECT DISTINCT upper(c_mktsegment) FROM customer)
 SELECT a.symbol, CASE WHEN l.symbol IS NULL THEN 'waiting_for_data' END AS status,
-       l."timestamp", round(l.current_price, 6) AS current_price,
+       l."interval", l."timestamp", round(l.current_price, 6) AS current_price,
        round(l.predicted_price, 6) AS predicted_price,
        round(l.predicted_return, 6) AS predicted_return, l.confidence,
        CASE WHEN l.symbol IS NOT NULL THEN round(m.mae, 6) END AS mae,
@@ -399,18 +460,8 @@ SELECT symbol, count(*) FILTER (NOT is_buyer_maker) AS buys,
        count(*) FILTER (is_buyer_maker) AS sells,
        round(count(*) FILTER (NOT is_buyer_maker) * 100.0 / count(*), 6) AS buy_percent
 FROM trades GROUP BY symbol""",
-    "stats_24h": "WITH " + TRADES.format(symbol="event_type") + """
-, day AS (
-  SELECT symbol, arg_max(price, ("time", id)) AS price, arg_min(price, ("time", id)) AS o,
-         max(price) AS high_24h, min(price) AS low_24h, sum(quantity) AS volume_24h,
-         sum(price * quantity) AS quote_volume_24h, count(*) AS trade_count
-  FROM trades WHERE "time" > (SELECT max("time") FROM trades) - INTERVAL 24 HOUR GROUP BY symbol)
-SELECT symbol, round(price, 6) AS price, round(price - o, 6) AS price_change,
-       round(CASE WHEN o <> 0 THEN (price - o) / o * 100 END, 6) AS price_change_percent,
-       CASE WHEN price > o THEN 'up' WHEN price < o THEN 'down' ELSE 'flat' END AS direction,
-       round(high_24h, 6) AS high_24h, round(low_24h, 6) AS low_24h,
-       round(volume_24h, 6) AS volume_24h, round(quote_volume_24h, 6) AS quote_volume_24h,
-       trade_count FROM day""",
+    "stats_24h": _DAY,
+    "stats_24h_panes": _DAY,
     "recent_trades": "WITH " + TRADES.format(symbol="event_type") + """
 SELECT id, symbol, "time", round(price, 6) AS price, round(quantity, 6) AS quantity,
        is_buyer_maker, CASE WHEN is_buyer_maker THEN 'SELL' ELSE 'BUY' END AS side
@@ -424,7 +475,32 @@ SELECT symbol, CAST(epoch("timestamp") AS BIGINT) AS "time", round("open", 6) AS
        round(high, 6) AS high, round(low, 6) AS low, round("close", 6) AS "close" FROM candles""",
     # sinks and jobs
     "csv_by_symbol": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
+    "csv_of_one_symbol": _FEATURED
+    + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3 WHERE symbol = (SELECT min(symbol) FROM trades)",
+    "collected_once": base() + " SELECT symbol, count(*) AS records FROM candles GROUP BY symbol",
+    "late_candles_merged": base() + """
+, corrected AS (
+  SELECT * REPLACE (CASE WHEN number_of_trades >= 6 THEN "close" + 1 ELSE "close" END AS "close")
+  FROM candles),""" + features("corrected") + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
+    "stream_written": _SCORED + "," + ASOF.format(made="scored") + """
+SELECT 'raw' AS "table", count(*) AS records FROM candles
+UNION ALL SELECT 'clean', count(*) FROM f3
+UNION ALL SELECT 'predictions', count(*) FROM scored
+UNION ALL SELECT 'outcomes', count(*) FROM seen""",
+    "stream_by_the_clock": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
     "parquet_by_time": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
+    "csv_in_time_order": base()
+    + " SELECT symbol, count(*) AS records, CAST(0 AS BIGINT) AS out_of_order FROM candles GROUP BY symbol",
+    "rows_to_candles": base() + f"""
+SELECT {_cols(CANDLE_COLUMNS)} FROM candles WHERE symbol = (SELECT min(symbol) FROM candles)
+QUALIFY row_number() OVER (ORDER BY "timestamp" DESC) <= 50""",
+    "forest_learns": _TRAINING + """
+SELECT true AS beats_the_mean, count(*) AS test_rows
+FROM placed WHERE series_pos >= series_rows - ceil(CAST(0.2 AS DOUBLE) * series_rows)""",
+    "stream_replayed": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
+    "stream_compacted": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
+    "stream_after_history": _FEATURED
+    + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3 WHERE \"timestamp\" >= TIMESTAMP '2024-01-15'",
     "lines_appended": base() + " SELECT symbol, 2 * count(*) AS records FROM candles GROUP BY symbol",
     "batch_job_report": _DIRTY + _REPORT,
     "stream_features": _FEATURED + f" SELECT {_cols(FEATURE_COLUMNS)} FROM f3",
@@ -433,7 +509,7 @@ SELECT symbol, CAST(epoch("timestamp") AS BIGINT) AS "time", round("open", 6) AS
     + ","
     + ASOF.format(made="scored")
     + """
-SELECT symbol, "timestamp", round(predicted_return, 6) AS predicted_return,
+SELECT symbol, "interval", "timestamp", round(predicted_return, 6) AS predicted_return,
        round(actual_return, 6) AS actual_return,
        predicted_return * actual_return > 0 AS direction_correct FROM seen""",
     # indicators

@@ -2,28 +2,39 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickwork.functions.columns import direction, time_parts
 from wickwork.operators import indicators, market, outcomes, quality, series
-from wickwork.operators.candles import dedupe_candles
+from wickwork.operators.candles import build_candles, dedupe_candles
 from wickwork.operators.features import (
     engineer_features,
     recent_candles,
     serving_features,
     training_set,
 )
-from wickwork.operators.training import TEST, apply_model, evaluate, ordered_split, train
+from wickwork.operators.training import (
+    TEST,
+    TRAIN,
+    apply_model,
+    evaluate,
+    load_model,
+    ordered_split,
+    save_model,
+    train,
+)
 from wickwork.plans.batch import run_batch
-from wickwork.schemas import CANDLE_COLUMNS, MODEL_INPUTS
+from wickwork.schemas import CANDLE_COLUMNS, FEATURE_SCHEMA, MODEL_INPUTS, MODEL_LABEL
 from wickwork.session import materialise, pin_utc, scratch_path
-from wickwork.sinks.files import append_lines, write_by_time, write_csv_by_symbol
-from wickwork.sources.files import concat, read_candles, read_feature_csv, read_features
+from wickwork.sinks.files import append_lines, collect_closed, write_by_time, write_csv_by_symbol
+from wickwork.sources.files import concat, read_candles, read_collected, read_feature_csv, read_features
 from wickwork.sources.messages import (
     candle_messages,
+    candles_from_rows,
     closed_only,
     klines,
     message_lines,
@@ -37,8 +48,10 @@ from wickwork.sources.messages import (
     typed_candles,
 )
 from wickwork.sources.tables import as_trades, events, hourly_candles, trades
+from wickwork.streaming.compact import CompactedTable
 from wickwork.streaming.landing import Landing
 from wickwork.streaming.live import LiveJob, kline_candles, trade_candles
+from wickwork.streaming.merge import FeatureStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -432,6 +445,47 @@ def asof_outcomes(spark, folder):
     return tidy(outcomes.asof_outcomes(candles, made, chunk="day"))
 
 
+def two_widths(spark: SparkSession, folder: str) -> DataFrame:
+    """Candles of one hour and of four, as one table."""
+    wide = build_candles(trades(spark, folder), "4 hours", interval="4h", exchange="events")
+    return materialise(concat(hourly_candles(spark, folder), wide), "widths")
+
+
+@query
+def outcomes_by_interval(spark, folder):
+    """As-of outcomes and their running accuracy where a symbol has two series."""
+    candles = two_widths(spark, folder)
+    rows = engineer_features(candles, warm=True, stored=True)
+    fit = rows.where("is_warm").dropna(subset=MODEL_INPUTS).where(F.col("momentum_5") > 0)
+    made = outcomes.predictions(fit, outcomes.linear_score())
+    done = outcomes.asof_outcomes(candles, made, chunk="day")
+    return tidy(outcomes.running_accuracy(done, n=20, chunk="week"))
+
+
+@query
+def indicators_by_interval(spark, folder):
+    candles = two_widths(spark, folder)
+    keys = ["symbol", "interval", "timestamp"]
+    parts = [
+        indicators.rsi(candles, chunk="week").select(*keys, "rsi"),
+        indicators.bollinger(candles).select(*keys, "upper_band"),
+        indicators.sharpe(candles).select(*keys, "sharpe"),
+    ]
+    return tidy(parts[0].join(parts[1], keys).join(parts[2], keys))
+
+
+@query
+def split_by_interval(spark, folder):
+    """Train and test rows of each series, and keys that occur twice: none, as copies of
+    a time are of another width."""
+    candles = two_widths(spark, folder)
+    parts = ordered_split(candles, chunk="week").groupBy("symbol", "interval", "part").agg(
+        F.count(F.lit(1)).alias("records"), F.min("timestamp").alias("first_timestamp")
+    )
+    again = quality.duplicate_keys(candles).select(F.count(F.lit(1)).alias("n")).scalar()
+    return tidy(parts.withColumn("copies", again))
+
+
 @query
 def direction_accuracy(spark, folder):
     return tidy(outcomes.metrics(_outcomes(spark, folder)).drop("last_trained"))
@@ -443,6 +497,12 @@ def running_accuracy(spark, folder):
     return tidy(done.select("symbol", "timestamp", "accuracy", "counted"))
 
 
+@query
+def running_accuracy_overall(spark, folder):
+    done = outcomes.running_accuracy_overall(_outcomes(spark, folder), n=1000)
+    return tidy(done.select("symbol", "timestamp", "accuracy", "counted"))
+
+
 @query
 def prediction_lookup(spark, folder):
     """Symbols of both trades and customers are asked for; the latter have none."""
@@ -491,6 +551,14 @@ def stats_24h(spark, folder):
     return tidy(market.day_stats(trades(spark, folder)))
 
 
+@query
+def stats_24h_panes(spark, folder):
+    """The same from stored hourly panes and the trades of the hour the day begins in."""
+    rows = trades(spark, folder)
+    panes = materialise(market.trade_panes(rows), "panes")
+    return tidy(market.day_stats_from_panes(panes, rows))
+
+
 @query
 def recent_trades(spark, folder):
     return tidy(market.recent_trades(trades(spark, folder)))
@@ -514,6 +582,15 @@ def csv_by_symbol(spark, folder):
     return tidy(read_feature_csv(spark, path))
 
 
+@query
+def csv_of_one_symbol(spark, folder):
+    """One symbol's file out of the folders of all, pruned by a table of names."""
+    path = scratch_path(spark, "csv")
+    write_csv_by_symbol(engineer_features(hourly_candles(spark, folder)), path)
+    first = quality.distinct_symbols(trades(spark, folder)).agg(F.min("symbol").alias("symbol"))
+    return tidy(read_feature_csv(spark, path, symbols=first))
+
+
 @query
 def parquet_by_time(spark, folder):
     path = scratch_path(spark, "parquet")
@@ -522,6 +599,21 @@ def parquet_by_time(spark, folder):
     return tidy(read_features(spark, path))
 
 
+@query
+def csv_in_time_order(spark, folder):
+    """Rows of each symbol's files, and how many stand before an earlier one."""
+    path = scratch_path(spark, "csv")
+    write_csv_by_symbol(engineer_features(hourly_candles(spark, folder)), path)
+    rows = read_feature_csv(spark, path).select(
+        "symbol", "timestamp", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place")
+    )
+    before = F.lag("timestamp").over(Window.partitionBy("symbol", "file").orderBy("place"))
+    placed = rows.withColumn("before", before)
+    return placed.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("before") > F.col("timestamp")).alias("out_of_order")
+    )
+
+
 @query
 def lines_appended(spark, folder):
     """Candle lines appended twice and read back; both copies are there."""
@@ -533,6 +625,25 @@ def lines_appended(spark, folder):
     return quality.records_by_symbol(typed_candles(klines(good)))
 
 
+@query
+def collected_once(spark, folder):
+    """Closed messages collected as a stream; those of the first half of the month came
+    before, and every message of the second half is sent twice."""
+    root = scratch_path(spark, "collect")
+    candles = hourly_candles(spark, folder)
+    half = F.lit("2024-01-15").cast("timestamp_ntz")
+    old = candles.where(F.col("timestamp") < half)
+    append_lines(message_lines(candle_messages(old, closed=F.lit(True))), f"{root}/out/history")
+    every = message_lines(candle_messages(concat(candles, candles), closed=F.lit(True)))
+    append_lines(every, f"{root}/in")
+    known = read_collected(spark, f"{root}/out")
+    collect_closed(
+        stream_lines(spark, f"{root}/in"), f"{root}/out", f"{root}/state", True, within="1 day", history=known
+    ).awaitTermination()
+    good, _ = split_malformed(read_collected(spark, f"{root}/out"))
+    return quality.records_by_symbol(typed_candles(klines(good)))
+
+
 # ----------------------------------------------------------------------- jobs
 @query
 def batch_job_report(spark, folder):
@@ -543,6 +654,30 @@ def batch_job_report(spark, folder):
     return run_batch(spark, raw, scratch_path(spark, "job")).report
 
 
+@query
+def rows_to_candles(spark, folder):
+    """The last 50 candles of one symbol as in-memory records, as an exchange's history
+    answer has them, and back to a table."""
+    candles = recent_candles(hourly_candles(spark, folder), 50)
+    first = candles.agg(F.min("symbol")).scalar()
+    sent = message_lines(candle_messages(candles.where(F.col("symbol") == first)))
+    return tidy(candles_from_rows(spark, [json.loads(r.value) for r in sent.collect()]))
+
+
+@query
+def forest_learns(spark, folder):
+    """A forest fitted, stored, loaded and applied where the label follows one input."""
+    rows = stored_training_rows(spark, folder).withColumn(MODEL_LABEL, F.col("momentum_5") * 3)
+    split = materialise(ordered_split(rows), "split")
+    path = scratch_path(spark, "model")
+    save_model(train(split, trees=20), path)
+    test = split.where(F.col("part") == TEST)
+    scored = apply_model(load_model(path), test)
+    mean = split.where(F.col("part") == TRAIN).agg(F.avg(MODEL_LABEL)).scalar()
+    flat = evaluate(test.withColumn("prediction", mean)).select("rmse").scalar()
+    return evaluate(scored).select((F.col("rmse") < 0.5 * flat).alias("beats_the_mean"), "test_rows")
+
+
 @query
 def forest_predictions(spark, folder):
     split = materialise(ordered_split(stored_training_rows(spark, folder)), "split")
@@ -615,6 +750,24 @@ def left_out_candles(spark, folder):
     return quality.records_by_symbol(job.left_out(read_candles(spark, f"{root}/out/raw")))
 
 
+@query
+def late_candles_merged(spark, folder):
+    """Features kept while candles land in three parts: those of most hours, then the
+    hours left out, then busy ones again with another close and the rest unchanged."""
+    root = scratch_path(spark, "merge")
+    candles = hourly_candles(spark, folder)
+    late = F.hour("timestamp") % 7 == 3
+    busy = F.col("number_of_trades") >= 6
+    again = candles.withColumn("close", F.when(busy, F.col("close") + 1).otherwise(F.col("close")))
+    landing = Landing(spark, f"{root}/out", f"{root}/state", exchange="events", levels=("year",))
+    store = FeatureStore(spark, f"{root}/store")
+    for number, part in enumerate((candles.where(~late), candles.where(late), again.where(busy | late))):
+        sent = candle_messages(part, closed=F.lit(True), received_at=F.lit(float(number)))
+        landing.process(message_lines(sent), number)
+        store.follow(landing)
+    return tidy(store.features().drop("is_warm"))
+
+
 def _stream(spark, folder, score=None) -> LiveJob:
     """Trades as a stream into hourly candles and features, flushed at the end."""
     out = scratch_path(spark, "live")
@@ -657,6 +810,84 @@ def stream_features_restarted(spark, folder):
     return tidy(read_features(spark, f"{job.out}/clean"))
 
 
+def _in_parts(job: LiveJob, candles: DataFrame, step) -> None:
+    """The candles of each fifth of January as a micro-batch, then what ``step`` does."""
+    stored = materialise(candles, "parts")
+    part = F.least(F.floor((F.dayofmonth("timestamp") - 1) / 7), F.lit(4))
+    for number in range(5):
+        step(stored.where(part == number), number)
+
+
+@query
+def stream_replayed(spark, folder):
+    """Every second micro-batch is run twice, as after a failure: nothing changes."""
+    out = scratch_path(spark, "replayed")
+    job = LiveJob(spark, f"{out}/tables", f"{out}/state", levels=("year", "month"))
+
+    def step(rows, number):
+        for _ in range(1 + number % 2):
+            job.process(rows, number)
+
+    _in_parts(job, hourly_candles(spark, folder), step)
+    return tidy(read_features(spark, f"{job.out}/clean"))
+
+
+@query
+def stream_compacted(spark, folder):
+    """Batches compacted while more arrive; a reader sees every row once."""
+    out = scratch_path(spark, "compacted")
+    job = LiveJob(spark, f"{out}/tables", f"{out}/state", levels=("year", "month"))
+    table = CompactedTable(job, "clean", FEATURE_SCHEMA, ("year", "month"))
+
+    def step(rows, number):
+        job.process(rows, number)
+        if number % 2:
+            table.compact()
+
+    _in_parts(job, hourly_candles(spark, folder), step)
+    return tidy(table.read())
+
+
+@query
+def stream_after_history(spark, folder):
+    """The first half of the month is loaded, the second arrives as lines."""
+    out = scratch_path(spark, "bootstrap")
+    half = F.lit("2024-01-15").cast("timestamp_ntz").cast("timestamp")
+    candles = hourly_candles(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    job = LiveJob(spark, f"{out}/tables", f"{out}/state", levels=("year", "month"))
+    job.seed(candles.where(F.col("timestamp") < half))
+    lines = message_lines(candle_messages(candles.where(F.col("timestamp") >= half), closed=F.lit(True)))
+    append_lines(lines, f"{out}/in")
+    job.run(
+        stream_lines(spark, f"{out}/in"),
+        lambda rows: kline_candles(rows, "40 days"),
+        flush_from=read_lines(spark, f"{out}/in"),
+    )
+    return tidy(read_features(spark, f"{job.out}/clean"))
+
+
+@query
+def stream_written(spark, folder):
+    """Rows of each table by the stored counts, after a restart."""
+    job = _stream(spark, folder, score=outcomes.linear_score())
+    _run_stream(job, folder)
+    return job.written().select("table", "records")
+
+
+@query
+def stream_by_the_clock(spark, folder):
+    """No flush and no later trade: the last windows end by the clock."""
+    out = scratch_path(spark, "clock")
+    table = events(spark, folder)
+    later = table.agg((F.max("ts").cast("timestamp") + F.expr("INTERVAL 1 DAY")).alias("timestamp"))
+    later.coalesce(1).write.parquet(f"{out}/beats")
+    beats = spark.readStream.schema("timestamp timestamp").parquet(f"{out}/beats")
+    job = LiveJob(spark, f"{out}/tables", f"{out}/state", levels=("year", "month"), width="1 hour")
+    source = spark.readStream.schema(table.schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    job.run(source, lambda rows: trade_candles(as_trades(rows), "1 hour", "1h", "events", beats=beats))
+    return tidy(read_features(spark, f"{job.out}/clean"))
+
+
 @query
 def stream_outcomes(spark, folder):
     job = _stream(spark, folder, score=outcomes.linear_score())

@@ -173,6 +173,7 @@ TRADE_SCHEMA = T.StructType(
 PREDICTION_SCHEMA = T.StructType(
     [
         T.StructField("symbol", T.StringType()),
+        T.StructField("interval", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("current_price", T.DoubleType()),
         T.StructField("predicted_price", T.DoubleType()),

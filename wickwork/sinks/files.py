@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from wickwork.functions.columns import time_parts
 from wickwork.operators.quality import records_by_symbol
 from wickwork.schemas import FEATURE_COLUMNS, TIME_LEVELS
-from wickwork.sources.messages import closed_messages, message_lines
+from wickwork.sources.messages import closed_messages, klines, message_lines, split_malformed
 
 ALL_LEVELS = tuple(TIME_LEVELS)
 ROWS_PER_FILE = 5_000_000
+# The folder level of the CSV files by symbol.
+SERIES = "series"
 
 
 def write_by_time(
@@ -57,14 +59,14 @@ def write_csv_by_symbol(features: DataFrame, path: str) -> DataFrame:
     files instead of one task. All 26 columns stay inside the files. Returns
     the row count per symbol.
     """
-    rows = features.select(*FEATURE_COLUMNS, F.col("symbol").alias("series"))
+    rows = features.select(*FEATURE_COLUMNS, F.col("symbol").alias(SERIES))
     (
-        rows.repartitionByRange("series", "timestamp")
-        .sortWithinPartitions("series", "timestamp")
+        rows.repartitionByRange(SERIES, "timestamp")
+        .sortWithinPartitions(SERIES, "timestamp")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .option("header", True)
-        .partitionBy("series")
+        .partitionBy(SERIES)
         .csv(path)
     )
     return records_by_symbol(features)
@@ -87,9 +89,20 @@ def append_lines(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("append").text(path)
 
 
-def collect_closed(lines: DataFrame, path: str, checkpoint: str, available_now: bool = False):
-    """Stream closed kline messages into the live folder of a collection, one JSON line each."""
+def collect_closed(
+    lines: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+    within: str | None = None, history: DataFrame | None = None,
+):
+    """Stream closed kline messages into the live folder of a collection, one JSON line each.
+
+    With ``within`` a candle (symbol, interval and start) is stored once: of copies that
+    arrive up to so long apart the first is kept, and what is in ``history``, lines
+    stored before, is left out. The clock is that of the arrival, so no candle is too
+    late to be stored. Messages without a symbol, interval or start are no copies.
+    """
     kept = closed_messages(lines)
+    if within is not None:
+        kept = _stored_once(kept, within, history)
     trigger = {"availableNow": True} if available_now else {"processingTime": "5 seconds"}
     return (
         message_lines(kept)
@@ -100,3 +113,22 @@ def collect_closed(lines: DataFrame, path: str, checkpoint: str, available_now:
         .trigger(**trigger)
         .start()
     )
+
+
+def _stored_once(messages: DataFrame, within: str, history: DataFrame | None) -> DataFrame:
+    start = F.get_json_object("data", "$.k.t").try_cast("bigint")
+    interval = F.get_json_object("data", "$.k.i")
+    symbol = F.coalesce(F.get_json_object("data", "$.k.s"), F.col("symbol"))
+    whole = symbol.isNotNull() & interval.isNotNull() & start.isNotNull()
+    own = {"_symbol": symbol, "_interval": interval, "_start": start, "_arrived": F.current_timestamp()}
+    kept = messages.withColumns(own)
+    kept = kept.withColumn("_single", F.when(~whole, F.uuid()))
+    if history is not None:
+        good, _ = split_malformed(history)
+        known = klines(good).select(
+            F.coalesce("kline_symbol", "root_symbol").alias("_symbol"), F.col("interval").alias("_interval"),
+            F.col("open_ms").alias("_start"),
+        )
+        kept = kept.join(known.distinct(), ["_symbol", "_interval", "_start"], "left_anti")
+    keys = ["_symbol", "_interval", "_start", "_single"]
+    return kept.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(keys)

@@ -4,23 +4,35 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickwork.schemas import CANDLE_SCHEMA, FEATURE_SCHEMA, MESSAGE_SCHEMA
-from wickwork.sinks.files import HISTORY, LIVE
+from wickwork.sinks.files import HISTORY, LIVE, SERIES
 
 
-def read_feature_csv(spark: SparkSession, path) -> DataFrame:
-    """Feature CSV files in nested folders or flat, as one table.
+def read_feature_csv(spark: SparkSession, path, symbols=None) -> DataFrame:
+    """Feature CSV files as one table: in folders by symbol, nested otherwise or flat.
 
-    The schema is given, so there is no inference pass over the files.
+    ``symbols``, names or a table with the column ``symbol``, limits it to some. In
+    folders by symbol (``series=``) only their folders are read: names become a filter
+    on the folders, a table prunes them when the query runs. The schema is given, so
+    there is no inference pass over the files.
     """
-    return (
-        spark.read.schema(FEATURE_SCHEMA)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
+    if SERIES in reader.schema(FEATURE_SCHEMA).csv(path).columns:
+        # Named in the schema, a folder's name stays text.
+        rows = reader.schema(T.StructType([*FEATURE_SCHEMA.fields, T.StructField(SERIES, T.StringType())])).csv(path)
+        own = F.col(SERIES)
+    else:
+        rows = reader.schema(FEATURE_SCHEMA).option("recursiveFileLookup", True).csv(path)
+        own = F.col("symbol")
+    if isinstance(symbols, DataFrame):
+        asked = symbols.select(F.col("symbol").alias("_asked")).distinct()
+        rows = rows.join(asked, own == F.col("_asked"), "left_semi")
+    elif symbols is not None:
+        rows = rows.where(own.isin(list(symbols)))
+    return rows.select(*FEATURE_SCHEMA.names)
 
 
 def read_features(spark: SparkSession, path) -> DataFrame:

@@ -160,10 +160,20 @@ def klines(parsed: DataFrame) -> DataFrame:
     Accepts stored records (``event_type`` + ``data.k``), bare messages
     (``e`` + ``k``) and wrapped ones (``stream`` + ``data.k``).
     """
-    kind = F.coalesce("event_type", F.col("data.e"), "e")
+    return kline_fields(parsed.where(event_kind() == KLINE))
+
+
+def event_kind() -> Column:
+    """The event of a parsed line, wherever its shape has it."""
+    return F.coalesce("event_type", F.col("data.e"), "e")
+
+
+def kline_fields(parsed: DataFrame, keep: tuple[str, ...] = ("is_live", "source")) -> DataFrame:
+    """The typed fields of every parsed line, NULL where it has none, and the columns
+    in ``keep`` that there are."""
     body = F.coalesce(F.col("data.k"), F.col("k"))
-    carried = [c for c in parsed.columns if c in ("is_live", "source")]
-    picked = parsed.where(kind == KLINE).select(
+    carried = [c for c in parsed.columns if c in keep]
+    picked = parsed.select(
         *carried,
         "exchange",
         F.coalesce("symbol", F.col("data.s"), F.col("data.symbol"), "s").alias("root_symbol"),
@@ -179,6 +189,20 @@ def klines(parsed: DataFrame) -> DataFrame:
     return picked.select(*[c for c in picked.columns if c != "k"], *fields)
 
 
+def payload_fields(messages: DataFrame, payload: str) -> DataFrame:
+    """The typed fields of stored kline messages whose text is the variant ``payload``.
+
+    Only the paths named here are taken from it; what is of another type is NULL.
+    """
+    symbol = F.coalesce("symbol", F.try_variant_get(payload, "$.s", "string"))
+    fields = [
+        F.try_variant_get(payload, f"$.k.{key}", kind).alias(name) for key, (name, kind) in KLINE_FIELDS.items()
+    ]
+    return messages.select(
+        "exchange", symbol.alias("root_symbol"), "received_at", "client_timestamp", *fields
+    )
+
+
 def closed_only(fields: DataFrame) -> DataFrame:
     """Live rule: keep finished candles; a missing flag counts as unfinished."""
     return fields.where(F.coalesce("is_closed", F.lit(False)))

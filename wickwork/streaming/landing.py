@@ -5,6 +5,9 @@ input before any rule is applied, one row each, in folders by kind and arrival
 time: closed klines, klines in progress, other events, unreadable lines. So
 the kinds add up to the lines read, and what the live job leaves out (late
 candles, candles without a start time) can be told from the two tables.
+
+A message is also stored as a variant. Later steps take the paths they need from
+that and parse no text.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wickwork.schemas import CANDLE_COLUMNS, DEFAULT_EXCHANGE, LANDED_SCHEMA, MESSAGE_SCHEMA
@@ -22,13 +26,12 @@ from wickwork.sources.messages import (
     CLOSED,
     REJECTED,
     arrived,
-    klines,
-    message_lines,
-    split_malformed,
+    payload_fields,
     typed_candles,
 )
 
 LANDED = "landed"
+PAYLOAD = "payload"
 
 
 @dataclass
@@ -48,8 +51,9 @@ class Landing:
     arrival: Column | None = None
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
+        rows = arrived(lines, self.exchange, self.arrival)
         write_by_time(
-            arrived(lines, self.exchange, self.arrival),
+            rows.withColumn(PAYLOAD, F.try_parse_json(F.col("data"))),
             f"{self.out}/{LANDED}/batch={batch_id}",
             time="arrival",
             levels=self.levels,
@@ -69,19 +73,34 @@ class Landing:
         )
 
     # ------------------------------------------------------------ reading
-    def rows(self) -> DataFrame:
-        """All that has landed, as ``LANDED_SCHEMA``; filters on kind prune folders."""
+    def _stored(self) -> DataFrame:
+        """All that has landed, with its micro-batch."""
+        own = [T.StructField(PAYLOAD, T.VariantType()), T.StructField("batch", T.LongType())]
+        schema = T.StructType([*LANDED_SCHEMA.fields, *own])
         try:
-            landed = self.spark.read.schema(LANDED_SCHEMA).parquet(f"{self.out}/{LANDED}")
+            return self.spark.read.schema(schema).parquet(f"{self.out}/{LANDED}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], LANDED_SCHEMA)
-        return landed.select(*LANDED_SCHEMA.names)
+            return self.spark.createDataFrame([], schema)
+
+    def newest_batch(self) -> int:
+        """The last micro-batch that has rows, or -1."""
+        newest = self._stored().agg(F.max("batch")).first()[0]
+        return -1 if newest is None else newest
+
+    def _after(self, after: int | None) -> DataFrame:
+        stored = self._stored()
+        return stored if after is None else stored.where(F.col("batch") > after)
+
+    def rows(self, after: int | None = None) -> DataFrame:
+        """What has landed, as ``LANDED_SCHEMA``: all, or only micro-batches after one.
+        Filters on batch and kind prune folders."""
+        return self._after(after).select(*LANDED_SCHEMA.names)
 
-    def messages(self) -> DataFrame:
+    def messages(self, after: int | None = None) -> DataFrame:
         """The raw messages of closed klines."""
-        return self.rows().where(F.col("kind") == CLOSED).select(*MESSAGE_SCHEMA.names)
+        return self.rows(after).where(F.col("kind") == CLOSED).select(*MESSAGE_SCHEMA.names)
 
     def rejected(self) -> DataFrame:
         """Lines that are not one JSON object, with their arrival."""
@@ -91,10 +110,10 @@ class Landing:
         """Rows of each kind; they add up to the lines read."""
         return self.rows().groupBy("kind").agg(F.count(F.lit(1)).alias("records"))
 
-    def candles(self) -> DataFrame:
-        """Typed candles of all closed klines, copies included."""
-        good, _ = split_malformed(message_lines(self.messages()))
-        return typed_candles(klines(good))
+    def candles(self, after: int | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+        """Typed candles of the closed klines, copies included."""
+        closed = self._after(after).where(F.col("kind") == CLOSED)
+        return typed_candles(payload_fields(closed, PAYLOAD), extra=extra)
 
     def left_out(self, written: DataFrame) -> DataFrame:
         """Closed candles whose key is in no row of ``written``, the candles that the
