@@ -79,7 +79,7 @@ def bag(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("bounds", [{}, {"small": 1, "block": 256}, {"small": 6, "block": 16}])
+@pytest.mark.parametrize("bounds", [{}, {"block": 16}])
 def test_near_duplicates_equal_all_pairs(docs, rows, bounds):
     found = minhash.near_duplicates(docs, **bounds)
     assert found.columns == ["doc_id", "n_shingles", "component_id", "kept"]

@@ -24,8 +24,10 @@ def spread_join(rows: DataFrame, small: DataFrame, key: str, by: str, counts: Da
     to each piece. The table of frequent keys is broadcast: it has fewer than SHARE
     rows, of a key and a number.
     """
-    total = counts.agg(F.sum("often")).first()[0] or 0
-    most = max(total / SHARE, LEAST)
+    sizes = counts.agg(F.sum("often").alias("total"), F.max("often").alias("largest")).first()
+    most = max((sizes.total or 0) / SHARE, LEAST)
+    if (sizes.largest or 0) <= most:
+        return rows.join(small.select(key, *[c for c in small.columns if c not in rows.columns]), key)
     frequent = counts.where(F.col("often") > most).select(
         key, F.ceil(F.col("often") / F.lit(most)).cast("int").alias("_pieces")
     )
@@ -81,21 +83,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return rest.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node points to one other, and that to none."""
+    tops = edges.select(F.col("b").alias("a")).distinct().withColumn("top", F.lit(True))
+    nodes = edges.groupBy("a").agg(F.count("*").alias("n"))
+    return nodes.join(tops, "a", "left").where((F.col("n") > 1) | F.col("top")).isEmpty()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) of every node with a link; root is the component's smallest node.
 
     ``edges`` holds two long columns. The number of rounds grows with the
     logarithm of the number of nodes; each round is written to the shared
-    folder, so a lost executor costs that round only.
+    folder, so a lost executor costs that round only. Links always point to the
+    smaller node and no round parts what is linked, so stars are the components.
     """
     edges = edges.toDF("a", "b").mapInArrow(_forest, "a long, b long")
     edges = materialise(edges, f"{name}-links")
-    state = None
-    while True:
-        row = edges.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
-        ).first()
-        if (row.n, row.h) == state or not row.n:
-            return edges.toDF("node", "root")
-        state = (row.n, row.h)
+    while not _are_stars(edges):
         edges = materialise(_small_star(_large_star(edges)), f"{name}-links")
+    return edges.toDF("node", "root")

@@ -14,11 +14,10 @@ halves are, so halves that no other text has are dropped before keys are formed.
 Work is on distinct sets (nodes), so exact copies are one. In the bucket of a key
 every node is compared with one of them, the smallest, and the links found join
 nodes into components. Most buckets then lie inside one component and are done.
-The members of other small buckets are compared across components. Those of
-large ones get longer keys, which texts that share little do not share, and go
-through the same again. What is large then, say a thousand edits of one text, is
-compared in blocks: all nodes outside a group's largest component with all nodes
-of the group, so no task holds a group and no pairs are listed.
+The nodes of the others get longer keys, which texts that share little do not
+share, and go through the same again. What is left then, say some edits of one
+text, is compared in blocks: the nodes outside a group's largest component with all
+nodes of the group. So no pairs are listed and no task holds a group.
 """
 
 from __future__ import annotations
@@ -43,10 +42,10 @@ SIMILARITY = Fraction(4, 5)
 SHAPES = ((12, 2), (24, 4))
 # Shingles that are multiplied by all factors at a time.
 TILE = 512
-# Members of a bucket whose pairs across components are compared one by one.
-SMALL = 64
-# Nodes of a larger group that a task holds of either side.
+# Nodes of a group that a task holds of either side.
 BLOCK = 256
+# The nodes whose texts are cut again are broadcast up to so many bytes.
+BROADCAST_BYTES = 64 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,6 +121,10 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 def full_sets(docs: DataFrame, chosen: DataFrame, size: int) -> DataFrame:
     """(node, n, shingles) of the nodes in ``chosen``, cut again from the text of the
     row that ``digest`` and ``least`` name."""
+    chosen = materialise(chosen, "minhash-chosen")
+    row_bytes = F.lit(24) + F.coalesce(F.octet_length(F.col("least").cast("string")), F.lit(0))
+    if (chosen.agg(F.sum(row_bytes)).first()[0] or 0) <= BROADCAST_BYTES:
+        chosen = F.broadcast(chosen)
     same = (docs.digest == chosen.digest) & docs.id.eqNullSafe(chosen.least)
     own = docs.join(chosen, same).select("node", "text")
 
@@ -176,6 +179,8 @@ def halves_of(wanted: DataFrame, sets: DataFrame, level: int) -> DataFrame:
 # ------------------------------------------------------------------ comparing
 def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose sets are similar. b may be frequent."""
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = sets.join(asked, "node", "left_semi")
     own = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     often = pairs.groupBy("b").agg(F.count("*").alias("often"))
@@ -283,39 +288,26 @@ def compared_in_blocks(members: DataFrame, edges: DataFrame, sets: DataFrame, si
 
 
 def open_members(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """(key, node, n, first, root, size): the members of buckets that hold more than one
-    component. Buckets with the same members are one."""
-    rooted = members.join(edges, "node", "left").select(
-        "key", "node", "n", "first", F.coalesce("root", "node").alias("root")
-    )
+    """(node, first) of the members of buckets that hold more than one component."""
+    roots = edges.select("node", "root")
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     left = rooted.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
-        F.max("node").alias("last"), F.min("first").alias("least"), F.bit_xor(F.xxhash64("node")).alias("all"),
-    ).where("low != high")
-    left = left.groupBy("size", "least", "last", "all").agg(F.min("key").alias("key")).select("key", "size")
-    left = materialise(left, "minhash-open")
-    return spread_join(rooted, left, "key", "node", left.withColumnRenamed("size", "often"))
+        F.count("*").alias("often"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    left = materialise(left.where("low != high").select("key", "often"), "minhash-open")
+    return spread_join(members.select("key", "node", "first"), left, "key", "node", left).select("node", "first")
 
 
-def linked(nodes: DataFrame, sets_of, similarity: Fraction, small: int, block: int) -> DataFrame:
+def linked(nodes: DataFrame, sets_of, similarity: Fraction, block: int) -> DataFrame:
     """(node, root) of all nodes with a link.
 
     ``nodes`` holds (node, n, halves); ``sets_of`` gives the full sets of a table of nodes.
     """
-    edges = sets = rest = None
+    edges = sets = None
     over, under = similarity.numerator, similarity.denominator
-
-    def fit(a, b):
-        # Sets whose sizes differ too much cannot be similar.
-        return F.least(a, b) * under >= F.greatest(a, b) * over
-
-    def joined(pairs):
-        found = verified(materialise(pairs, "minhash-pairs"), sets, similarity)
-        return components(found if edges is None else edges.toDF("a", "b").union(found), "minhash")
-
+    # Sets whose sizes differ too much cannot be similar.
+    fit = F.least("n", "first_n") * under >= F.greatest("n", "first_n") * over
     for level in range(len(SHAPES)):
-        if level:
-            nodes = materialise(halves_of(rest.select("node").distinct(), sets, level), "minhash-longer")
         keys = materialise(keys_of(nodes, level), "minhash-keys")
         buckets = keys.groupBy("key").agg(
             F.min("node").alias("first"), F.min_by("n", "node").alias("first_n"), F.count("*").alias("often")
@@ -324,17 +316,22 @@ def linked(nodes: DataFrame, sets_of, similarity: Fraction, small: int, block: i
         members = materialise(spread_join(keys, buckets, "key", "node", buckets), "minhash-members")
         if sets is None:
             sets = materialise(sets_of(members.select("node").distinct()), "minhash-sets")
-        star = members.where((F.col("node") != F.col("first")) & fit("n", "first_n"))
-        edges = joined(star.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct())
-        rest = materialise(open_members(members, edges), "minhash-rest")
-        few = rest.where(F.col("size") <= small).select("key", "node", "n", "root")
-        one, other = few.toDF("key", "a", "a_n", "a_root"), few.toDF("key", "b", "b_n", "b_root")
-        # At most ``small`` rows of a key meet each other.
-        pairs = one.join(other, "key").where((F.col("a_root") < F.col("b_root")) & fit("a_n", "b_n"))
-        edges = joined(pairs.select("a", "b").distinct())
-        rest = rest.where(F.col("size") > small)
+        pairs = members.where((F.col("node") != F.col("first")) & fit)
+        pairs = pairs.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+        if edges is not None:
+            # Links inside a component tell nothing new.
+            for end in ("a", "b"):
+                pairs = pairs.join(edges.toDF(end, f"{end}_root"), end, "left")
+            apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
+            pairs = pairs.where(apart).select("a", "b")
+        found = verified(materialise(pairs, "minhash-pairs"), sets, similarity)
+        edges = components(found if edges is None else edges.toDF("a", "b").union(found), "minhash")
+        rest = materialise(open_members(members, edges).distinct(), "minhash-rest")
         if rest.isEmpty():
             return edges
+        if level + 1 < len(SHAPES):
+            nodes = halves_of(rest.select("node").distinct(), sets, level + 1)
+            nodes = materialise(nodes, "minhash-longer")
     found = compared_in_blocks(rest, edges, sets, similarity, block)
     return components(edges.toDF("a", "b").union(found), "minhash")
 
@@ -345,7 +342,6 @@ def near_duplicates(
     text_col: str = "text",
     size: int = SHINGLE,
     similarity: Fraction = SIMILARITY,
-    small: int = SMALL,
     block: int = BLOCK,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept), one row for every row of ``docs``,
@@ -372,7 +368,7 @@ def near_duplicates(
         chosen = nodes.join(wanted, "node", "left_semi").select("node", "least", "digest")
         return full_sets(own, chosen, size)
 
-    found = linked(nodes.select("node", "n", "halves"), sets_of, similarity, small, block)
+    found = linked(nodes.select("node", "n", "halves"), sets_of, similarity, block)
     rooted = nodes.join(found, "node", "left").select("node", "least", "often", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialise(rooted.join(smallest, "root").select("node", "often", "component_id"), "minhash-named")
