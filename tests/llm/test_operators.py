@@ -234,14 +234,30 @@ def test_nearest_answers_each_vector_of_a_repeated_query(spark, block):
 def test_codes_bound_inner_products():
     rnd = np.random.default_rng(6)
     x = rnd.normal(size=(2000, 64))
-    bits, norm, align = nearest.encode(x, np.zeros(64))
+    words, norm, align = nearest.encode(x, np.zeros(64))
+    bits = np.unpackbits(words.view(np.uint8), axis=1, count=64)
     q = x[0] / np.linalg.norm(x[0]) @ nearest.rotation(64)
-    estimate = (np.unpackbits(bits, axis=1, count=64) * 2.0 - 1) @ q / 8 / align
+    estimate = (bits * 2.0 - 1) @ q / 8 / align
     true = x @ x[0] / norm / np.linalg.norm(x[0])
     slack = nearest.EPSILON * np.sqrt((1 - align**2) / align**2 / 63)
     assert (np.abs(estimate - true) <= slack + 1e-9).mean() > 0.999
 
 
+@pytest.mark.parametrize("d", [1, 7, 64, 100])
+def test_bit_counts_are_products_with_the_rounded_query(d):
+    rnd = np.random.default_rng(8)
+    x, q = rnd.normal(size=(500, d)), rnd.normal(size=(40, d))
+    q /= np.linalg.norm(q, axis=1)[:, None]
+    words, _, align = nearest.encode(x, np.zeros(d))
+    signs = np.unpackbits(words.view(np.uint8), axis=1, count=d) * 2.0 - 1
+    planes = nearest.Planes(q)
+    got = np.hstack([planes.products(words, slice(i, i + 16)) for i in range(0, 40, 16)])
+    error = np.abs(got - signs @ q.T / np.sqrt(d))
+    assert (error <= nearest.EPSILON * planes.left / np.sqrt(d) + 1e-9).mean() > 0.999
+    # What is left of a query is what rounding to so many bits leaves.
+    assert (planes.left <= planes.step * np.sqrt(d) / 2 + 1e-12).all()
+
+
 # ---------------------------------------------------- decontamination
 def plain_words(text):
     low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
@@ -380,6 +396,13 @@ def test_links_equal_all_pairs(spark, radius):
     ordered = sorted(signed)
     want = {(a, b) for x, a in enumerate(ordered) for b in ordered[x + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= radius}
     assert found == want
+    # The components of all links, from about one link for each node.
+    up = {v: v for v in signed}
+    for a, b in want:
+        old, new = max(up[a], up[b]), min(up[a], up[b])
+        up = {v: new if u == old else u for v, u in up.items()}
+    linked = {r.node: r.root for r in simhash.linked(nodes, radius).collect()}
+    assert linked == {v: u for v, u in up.items() if u != v}
 
 
 # ---------------------------------------------------------- near copies
@@ -426,10 +449,6 @@ def test_near_copies_equal_all_pairs(spark):
     want = partition([k for k, _ in items], plain_groups(sets))
     assert partition([r.key for r in found], [r.group for r in found]) == want
     assert len(found) == len(items) and 5 < len(want) < len(items)
-    hashed = [near_copies.shingle_set(t) for _, t in items if t]
-    assert partition(range(len(hashed)), near_copies.similar_groups(hashed)) == partition(
-        range(len(hashed)), plain_groups([s for s in sets if s])
-    )
 
 
 def test_near_duplicates_stage_equals_all_pairs(spark, folder):
@@ -551,10 +570,7 @@ def test_pipeline_equals_its_stages_by_hand(spark, folder):
     rows = {r.doc_id: r.text for r in docs.collect()}
     named = language_id.identify(docs).where("lang_pred != 'und' and score >= 0.5").select("row.doc_id")
     kept = sorted(r.doc_id for r in named.collect())
-    fps = {i: plain_fingerprint(rows[i]) for i in kept}
-    root, first = plain_components(set(fps.values()), 3), {}
-    for i in kept:
-        first.setdefault(root[fps[i]], i)
+    first = map(min, partition(kept, plain_groups([word_shingles(rows[i]) for i in kept])))
     windows = {tuple(w[s : s + 10]) for w in map(plain_words, items) for s in range(max(len(w) - 10, 0) + 1) if w}
 
     def clean(text):
@@ -562,12 +578,21 @@ def test_pipeline_equals_its_stages_by_hand(spark, folder):
         return not any(tuple(w[s : s + 10]) in windows for s in range(len(w)))
 
     own = library()
-    want = [(i, own.encode_ordinary(rows[i])) for i in sorted(first.values()) if clean(rows[i])]
+    want = [(i, own.encode_ordinary(rows[i])) for i in sorted(first) if clean(rows[i])]
     found = corpus_pipeline.run(spark, folder)
     assert sorted((r.doc_id, r.ids) for r in found.collect()) == want
     assert 0 < len(want) < len(rows)
 
 
+def test_signs_that_are_no_letters_have_no_language(spark, docs):
+    signs = ["½ ² ³", "Ⅷ Ⅻ", "① ② 3", "1234 -- !!", "_ _"]
+    more = spark.createDataFrame([(9000 + i, t, None, "s", 0) for i, t in enumerate([*signs, "é"])], DOCS)
+    found = language_id.identify(docs.select(*more.columns).union(more), keep=["doc_id"])
+    got = {r.row.doc_id: (r.lang_pred, r.score) for r in found.where("row.doc_id >= 9000").collect()}
+    assert [got[9000 + i] for i in range(len(signs))] == [("und", 0.0)] * len(signs)
+    assert got[9000 + len(signs)][0] in SENTENCES
+
+
 def test_pipeline_stages_take_empty_tables(spark, folder, empty):
     docs = empty
     for _, stage in corpus_pipeline.STAGES:
@@ -592,3 +617,27 @@ def test_pipeline_stages_take_repeated_rows_missing_ids_and_clashing_names(spark
     clean = corpus_pipeline.drop_contaminated(spark, mixed, folder)
     assert clean.columns == docs.columns
     assert sorted(map(str, clean.collect())) == sorted(map(str, docs.collect()))
+
+
+# ------------------------------------------------------------- row keys
+def test_results_do_not_depend_on_how_files_are_cut(spark, folder, tmp_path):
+    """Two reads of one table, cut in different places, number its rows alike."""
+    from wickwork.llm.common import with_rows
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").union(spark.read.parquet(f"{folder}/documents.parquet"))
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def keys(bytes_):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+        try:
+            rows = with_rows(spark.read.parquet(str(tmp_path / "docs")).select("doc_id", "text"), "_at")
+            return rows.rdd.getNumPartitions(), bag(rows, "doc_id", "_at")
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+    (one, few), (many, small) = keys("128m"), keys("16k")
+    assert one < many and few == small and len({at for _, at in few}) == len(few)
+    # any other table is stored first
+    made = with_rows(docs.groupBy("doc_id").agg(F.min("text").alias("text")), "_at")
+    assert made.select("_at").distinct().count() == made.count()

@@ -7,11 +7,14 @@ import string
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickwork.session import materialise
+
 # Row numbers are made as Spark makes them: the task's number, then the row's in it.
 TASK_SHIFT = 33
 
@@ -39,6 +42,20 @@ def first_row_number() -> int:
     return TaskContext.get().partitionId() << TASK_SHIFT
 
 
+def with_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with column ``name``, which tells its rows apart and is the same whenever
+    they are read: by the file and the place in it.
+
+    Numbers made while reading are not, as Spark cuts files by the cores it has. A
+    table that is not read from Parquet files as it stands is stored first.
+    """
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return df.select("*", place.alias(name))
+    except AnalysisException:
+        return materialise(df, "rows").select("*", place.alias(name))
+
+
 def small_batches(batches, rows: int = 256):
     """Arrow batches cut to few rows, so that few texts at a time are Python objects."""
     for batch in batches:

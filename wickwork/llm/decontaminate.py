@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import ascii_lower
+from wickwork.llm.common import ascii_lower, with_rows
 from wickwork.session import materialise
 
 SIZE = 10
@@ -169,10 +169,8 @@ def decontaminate(
     Missing and empty texts have no words. Items with a missing id count as hits
     but not as items. Other columns are not read. Without items nothing is hit.
     """
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-        word_list(F.col(text_col)).alias("words"),
-    )
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    numbered = with_rows(own, "row").select("row", "id", word_list(F.col("text")).alias("words"))
     windows = materialise(item_windows(items, item_col, item_text_col, size), "decontaminate-windows")
     rows = materialise(_matches(numbered, windows, shingle, broadcast_bytes), "decontaminate-matches")
     places = rows.where(F.col("window").isNotNull())

@@ -31,7 +31,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from wickwork.llm.common import first_row_number, fold
+from wickwork.llm.common import first_row_number, fold, small_batches
 from wickwork.llm.frequent import LIMIT, frequent
 from wickwork.session import materialise
 
@@ -44,6 +44,8 @@ PROBES = 4
 PRIOR = 8.0
 HELD_BYTES = 256 << 20
 CACHE = 1_000_000
+# Texts that are scored at a time.
+TEXTS = 2048
 # No word is empty and none holds a space.
 END, START = b"", b" "
 
@@ -180,7 +182,7 @@ class Filter:
         return out
 
 
-def _blocks(texts: list, hashes: WordHashes, order: int, most: int):
+def _blocks(texts, hashes: WordHashes, order: int, most: int):
     """Lists of documents' n-grams, each list of about ``most`` n-grams or one document.
 
     A document's n-grams are those of length 1, then 2, ..., then the contexts
@@ -204,15 +206,15 @@ def ngram_counts(texts: DataFrame, order: int, segments: int) -> DataFrame:
     """(h, segment, c): how often each n-gram of each length stands in a block of texts."""
 
     def counted(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            for block in _blocks(batch.column(0).to_pylist(), hashes, order, 1 << 22):
-                h, c = np.unique(np.concatenate(block), return_counts=True)
-                seg = segment_of(h, segments).astype(np.int32)
-                yield pa.record_batch(
-                    [pa.array(h.view(np.int64)), pa.array(seg), pa.array(c, pa.int64())],
-                    names=["h", "segment", "c"],
-                )
+        # One text at a time is a Python object; blocks go on from batch to batch.
+        texts = (text.as_py() for batch in batches for text in batch.column(0))
+        for block in _blocks(texts, WordHashes(), order, 1 << 22):
+            h, c = np.unique(np.concatenate(block), return_counts=True)
+            seg = segment_of(h, segments).astype(np.int32)
+            yield pa.record_batch(
+                [pa.array(h.view(np.int64)), pa.array(seg), pa.array(c, pa.int64())],
+                names=["h", "segment", "c"],
+            )
 
     return texts.mapInArrow(counted, "h long, segment int, c long")
 
@@ -223,8 +225,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def counted(batches):
         for batch in batches:
             found = Counter()
-            for text in batch.column(0).to_pylist():
-                found.update(words_of(text))
+            for text in batch.column(0):
+                found.update(words_of(text.as_py()))
             yield pa.record_batch(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())],
                 names=["word", "often"],
@@ -395,7 +397,7 @@ def _scoring_pass(docs: DataFrame, model, gains: dict | None, last: bool) -> Dat
     def looked_up(batches):
         own, gains = shared.value
         hashes, row = WordHashes(), first_row_number()
-        for batch in batches:
+        for batch in small_batches(batches, TEXTS):
             frame = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             texts = frame["text"].to_pylist()
             if first:

@@ -6,9 +6,12 @@ the query, <o, q> is estimated by <x, q> / <x, o>; the error is at most
 
     EPSILON * sqrt((1 - <x, o>^2) / <x, o>^2 / (d - 1))
 
-but for a chance that falls as exp(-c EPSILON^2). The estimate less its error
-bounds the distance from below; a vector is compared exactly with the query only
-if that bound does not exceed the distance of the k-th nearest so far.
+but for a chance that falls as exp(-c EPSILON^2). A query's components are rounded
+to PLANES bits, one packed plane for each, so <x, q> is a sum of bit counts of the
+code and a plane; what rounding leaves out, of length e, adds EPSILON e / sqrt(d) to
+the error. The estimate less its error bounds the distance from below; a vector is
+compared exactly with the query only if that bound does not exceed the distance of
+the k-th nearest so far.
 
 A stated set of queries is compared with all rows: a block of queries goes to
 every task, which keeps k rows for each. Rows of one value, however many, are
@@ -30,6 +33,8 @@ SEED = 7
 # Queries in a block: with a row of dimension d they take 16 d bytes each in a task.
 BLOCK = 4096
 ROWS, COLUMNS = 2048, 256
+# Bits of a query's components.
+PLANES = 4
 
 
 def usable(vector) -> F.Column:
@@ -47,18 +52,51 @@ def rotation(d: int) -> np.ndarray:
 
 
 def matrix(column) -> np.ndarray:
-    """An Arrow list column of equal lengths as rows of doubles."""
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    """An Arrow list column of equal lengths as rows of doubles, without a copy."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
+
+
+def packed(bits: np.ndarray) -> np.ndarray:
+    """Rows of bits as rows of 64-bit words, filled up with zeros."""
+    octets = np.packbits(bits, axis=1)
+    wide = np.zeros((len(octets), -(-octets.shape[1] // 8) * 8), dtype=np.uint8)
+    wide[:, : octets.shape[1]] = octets
+    return wide.view(np.uint64)
+
+
+class Planes:
+    """Queries with rounded components: low + step * (a number of PLANES bits)."""
+
+    def __init__(self, turned: np.ndarray):
+        top = (1 << PLANES) - 1
+        self.d = turned.shape[1]
+        self.low = turned.min(axis=1)
+        self.step = np.maximum((turned.max(axis=1) - self.low) / top, 1e-300)
+        level = np.rint((turned - self.low[:, None]) / self.step[:, None]).astype(np.uint8)
+        rounded = self.low[:, None] + self.step[:, None] * level
+        self.sum = rounded.sum(axis=1)
+        self.left = np.sqrt(((turned - rounded) ** 2).sum(axis=1))
+        self.planes = [packed((level >> j) & 1) for j in range(PLANES)]
+
+    def products(self, words: np.ndarray, part: slice) -> np.ndarray:
+        """<x, rounded query> of every code, given as words, with some of the queries."""
+        counts = np.zeros((len(words), len(self.low[part])), dtype=np.uint32)
+        for plane in reversed(self.planes):
+            counts <<= 1
+            for w in range(words.shape[1]):
+                counts += np.bitwise_count(words[:, w, None] & plane[None, part, w])
+        ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+        inside = self.low[part] * ones[:, None] + self.step[part] * counts
+        return (2 * inside - self.sum[part]) / np.sqrt(self.d)
 
 
 def encode(vectors: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed sign bits, distance to the centre, and <x, o> of each vector."""
+    """Sign bits as words, distance to the centre, and <x, o> of each vector."""
     d = vectors.shape[1]
     rest = vectors - centre
     norm = np.sqrt((rest * rest).sum(axis=1))
     turned = (rest / np.maximum(norm, 1e-300)[:, None]) @ rotation(d)
-    bits = np.packbits(turned > 0, axis=1)
-    return bits, norm, np.abs(turned).sum(axis=1) / np.sqrt(d)
+    return packed(turned > 0), norm, np.abs(turned).sum(axis=1) / np.sqrt(d)
 
 
 def build_codes(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
@@ -118,19 +156,19 @@ class _Best:
             self.far[query] = rows[-1][0]
 
 
-def _search(best: _Best, turned: np.ndarray, norms: np.ndarray, ids, vectors, codes, norm, align) -> None:
+def _search(best: _Best, planes: Planes, norms: np.ndarray, ids, vectors, words, norm, align) -> None:
     """Offers the rows of a tile to the queries whose bounds they pass."""
     d = vectors.shape[1]
-    signs = np.unpackbits(codes, axis=1, count=d).astype(np.float32) * 2 - 1
     align = np.maximum(align, 1e-9)
     slack = EPSILON * np.sqrt(np.maximum(1 - align * align, 0) / (align * align) / max(d - 1, 1))
     for start in range(0, len(norms), COLUMNS):
         part = slice(start, start + COLUMNS)
-        estimate = (signs @ turned[part].T.astype(np.float32)) / np.sqrt(d) / align[:, None]
+        estimate = planes.products(words, part) / align[:, None]
+        error = slack[:, None] + EPSILON * planes.left[part] / np.sqrt(d) / align[:, None]
         product = 2 * norm[:, None] * norms[part][None, :]
         middle = norm[:, None] ** 2 + norms[part][None, :] ** 2
-        low = middle - product * np.minimum(estimate + slack[:, None], 1.0)
-        high = middle - product * np.maximum(estimate - slack[:, None], -1.0)
+        low = middle - product * np.minimum(estimate + error, 1.0)
+        high = middle - product * np.maximum(estimate - error, -1.0)
         for column in range(low.shape[1]):
             query = start + column
             if best.far[query] == np.inf and len(ids) > best.k:
@@ -159,7 +197,7 @@ def _block_search(codes: DataFrame, queries: list, centres: dict, k: int) -> Dat
             rest = vectors - centres[d]
             norms = np.sqrt((rest * rest).sum(axis=1))
             turned = (rest / np.maximum(norms, 1e-300)[:, None]) @ rotation(d)
-            state[d] = _Best(ids, numbers, vectors, k), turned, norms
+            state[d] = _Best(ids, numbers, vectors, k), Planes(turned), norms
         for batch in batches:
             dims = batch.column(1).to_numpy(zero_copy_only=False)
             for d in np.unique(dims):
@@ -168,11 +206,11 @@ def _block_search(codes: DataFrame, queries: list, centres: dict, k: int) -> Dat
                 own = batch.filter(pa.array(dims == d))
                 ids = own.column(0).to_numpy(zero_copy_only=False)
                 vectors = matrix(own.column(2))
-                bits = np.frombuffer(b"".join(own.column(3).to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+                words = np.frombuffer(b"".join(own.column(3).to_pylist()), dtype=np.uint64).reshape(len(ids), -1)
                 norm, align = (own.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
                 for start in range(0, len(ids), ROWS):
                     t = slice(start, start + ROWS)
-                    _search(*state[int(d)], ids[t], vectors[t], bits[t], norm[t], align[t])
+                    _search(*state[int(d)], ids[t], vectors[t], words[t], norm[t], align[t])
         for best, _, _ in state.values():
             asked = zip(best.ids.tolist(), best.numbers.tolist(), best.found, strict=True)
             rows = [(q, n, i, s) for q, n, found in asked for s, i in found]

@@ -9,7 +9,10 @@ partition, because otherwise it would differ in radius + 1 bits. Thresholds and
 the number of partitions are those with the least estimated work.
 
 Work is on distinct fingerprints, so a group of exact copies is one node. The
-join condition verifies a pair as it is probed; only links leave the join.
+join condition verifies a pair as it is probed; only links leave the join. For
+components not all links are needed: every node is first compared with the
+smallest of each value it probes, and only where a value still joins two
+components are its nodes compared with each other, across these.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from wickwork.llm.common import vector_sum
-from wickwork.llm.components import components
+from wickwork.llm.common import small_batches, vector_sum
+from wickwork.llm.components import components, spread_join
 from wickwork.session import materialise
 
 SEED = 42
@@ -63,8 +66,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = StructType([rows.schema[0], StructField("fp", LongType())])
 
     def hashed(batches):
-        for batch in batches:
-            fps = pa.array([fingerprint(t) for t in batch.column(1).to_pylist()], pa.int64())
+        for batch in small_batches(batches):
+            fps = pa.array([fingerprint(t.as_py()) for t in batch.column(1)], pa.int64())
             yield pa.record_batch([batch.column(0), fps], names=[id_col, "fp"])
 
     return rows.mapInArrow(hashed, out)
@@ -171,9 +174,13 @@ def _masks(width: int, threshold: int) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in sets]
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b), a < b: each pair of distinct fingerprints in ``nodes`` (column fp)
-    that differ in at most ``radius`` bits, once."""
+def _close(radius: int):
+    return F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+
+
+def sides(nodes: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(part, key, a) with every value that a fingerprint probes, and (part, key, b)
+    with its own value, of each partition."""
     order = bit_order(nodes)
     plan = plan_partitions(nodes, order, radius)
 
@@ -197,15 +204,45 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         return made
 
     probes = nodes.mapInArrow(rows(True), "part int, key long, a long")
-    index = nodes.mapInArrow(rows(False), "part int, key long, b long")
-    close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-    met = probes.join(
-        index,
-        (probes.part == index.part) & (probes.key == index.key) & close,
-    )
+    return probes, nodes.mapInArrow(rows(False), "part int, key long, b long")
+
+
+def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b), a < b: each pair of distinct fingerprints in ``nodes`` (column fp)
+    that differ in at most ``radius`` bits, once."""
+    probes, index = sides(nodes, radius)
+    met = probes.join(index, ["part", "key"]).where((F.col("a") < F.col("b")) & _close(radius))
     return met.select("a", "b").distinct()
 
 
+def linked(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node, root) of every fingerprint in ``nodes`` (column fp) that has a link.
+
+    The same components as those of all ``links``, which are not listed: k near
+    copies of one another give about k of them instead of k^2 / 2.
+    """
+    probes, index = sides(nodes, radius)
+    # A value that one fingerprint probes is its own.
+    values = index.groupBy("part", "key").agg(F.min("b").alias("b"), F.count("*").alias("own"))
+    first = probes.join(values, ["part", "key"]).where((F.col("a") != F.col("b")) & _close(radius))
+    found = components(first.select("a", "b").distinct(), "simhash")
+    roots = found.toDF("fp", "root")
+
+    def rooted(side: DataFrame, name: str) -> DataFrame:
+        own = side.join(roots.withColumnRenamed("fp", name), name, "left")
+        return own.withColumn("root", F.coalesce("root", name))
+
+    probes, index = rooted(probes, "a"), rooted(index, "b")
+    left = probes.groupBy("part", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    left = left.where("low != high").select("part", "key")
+    left = materialise(left.join(index.select("part", "key").distinct(), ["part", "key"], "left_semi"), "simhash-open")
+    one = probes.join(left, ["part", "key"], "left_semi").withColumnRenamed("root", "a_root")
+    other = index.join(left, ["part", "key"], "left_semi").withColumnRenamed("root", "b_root")
+    across = (F.col("a_root") != F.col("b_root")) & _close(radius)
+    rest = one.join(other, ["part", "key"]).where(across).select("a", "b").distinct()
+    return components(found.toDF("a", "b").union(rest), "simhash")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
 ) -> DataFrame:
@@ -219,15 +256,17 @@ def near_duplicates(
     """
     rows = materialise(fingerprints(docs, id_col, text_col), "simhash-fp")
     nodes = materialise(
-        rows.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-nodes"
+        rows.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("often")), "simhash-nodes"
     )
-    found = components(links(nodes.select("fp"), radius), "simhash")
+    found = linked(nodes.select("fp"), radius)
     rooted = nodes.join(found, nodes.fp == found.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+        "fp", "least", "often", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(id_col, "fp", "component_id")
+    named = materialise(rooted.join(smallest, "root").select("fp", "often", "component_id"), "simhash-named")
+    own = rows.select(F.col(id_col).alias("_id"), "fp")
+    whole = spread_join(own, named, "fp", "_id", named)
+    return whole.select(F.col("_id").alias(id_col), "fp", "component_id")
 
 
 def hex_fingerprint(fp):

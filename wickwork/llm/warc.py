@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickwork.llm.common import with_rows
 from wickwork.session import materialise, scratch_path
 
 CRLF = "\r\n"
@@ -61,11 +62,12 @@ def captures(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Data
     those with an equal payload of at least REVISIT_BYTES. A group of equal
     payloads is one row where it is counted.
     """
-    html = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(
-        F.monotonically_increasing_id().cast("string").alias("key"),
-        F.col(id_col).alias("page"),
-        _line(F.col(url_col)).alias("url"),
+    own = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    html = F.coalesce(F.col("html"), F.lit(""))
+    rows = with_rows(own, "row").select(
+        F.concat_ws("-", F.hex("row.file"), "row.at").alias("key"),
+        "page",
+        _line(F.col("url")).alias("url"),
         html.alias("html"),
         F.sha1(html.cast("binary")).alias("digest"),
         F.octet_length(html).cast("long").alias("n"),
