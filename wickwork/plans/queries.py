@@ -666,8 +666,10 @@ def rows_to_candles(spark, folder):
 
 @query
 def forest_learns(spark, folder):
-    """A forest fitted, stored, loaded and applied where the label follows one input."""
-    rows = stored_training_rows(spark, folder).withColumn(MODEL_LABEL, F.col("momentum_5") * 3)
+    """A forest fitted, stored, loaded and applied where the label is the side of one input."""
+    rows = stored_training_rows(spark, folder).withColumn(
+        MODEL_LABEL, F.when(F.col("momentum_5") > 0, F.lit(1.0)).otherwise(F.lit(-1.0))
+    )
     split = materialise(ordered_split(rows), "split")
     path = scratch_path(spark, "model")
     save_model(train(split, trees=20), path)
