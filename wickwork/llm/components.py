@@ -13,6 +13,8 @@ from wickwork.session import materialise
 SHARE = 1024
 # Below so many rows a key is not worth dealing out.
 LEAST = 200
+# Links that a task joins in the second pass.
+PART = 1 << 18
 
 
 def spread_join(rows: DataFrame, small: DataFrame, key: str, by: str, counts: DataFrame) -> DataFrame:
@@ -97,9 +99,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     logarithm of the number of nodes; each round is written to the shared
     folder, so a lost executor costs that round only. Links always point to the
     smaller node and no round parts what is linked, so stars are the components.
+
+    Before the rounds each task joins its own links, and then, as few are left, each
+    task of a second pass those of several: at most about PART, whatever their number.
     """
-    edges = edges.toDF("a", "b").mapInArrow(_forest, "a long, b long")
-    edges = materialise(edges, f"{name}-links")
+    edges = materialise(edges.toDF("a", "b").mapInArrow(_forest, "a long, b long"), f"{name}-links")
+    parts = max(1, -(-edges.count() // PART))
+    edges = materialise(edges.coalesce(parts).mapInArrow(_forest, "a long, b long"), f"{name}-links")
     while not _are_stars(edges):
         edges = materialise(_small_star(_large_star(edges)), f"{name}-links")
     return edges.toDF("node", "root")
