@@ -93,9 +93,7 @@ class FeatureStore:
         names = CANDLE_SCHEMA.names
         moved = materialise(merged.select(*names).subtract(stored.select(*names)).select(*KEYS), "moved")
         if not moved.isEmpty():
-            others = [f for f in state.folders.get(CANDLES, {}) if f not in set(folders)]
-            rest = self.tables.read(CANDLES, state, others)
-            features, dirty = self._recomputed(rest.unionByName(candles), moved)
+            features, dirty = self._recomputed(state, folders, candles, moved)
             places = self.tables.folders_of(dirty)
             kept = series.attach(self.tables.read(FEATURES, state, places), dirty, KEYS, "left_anti")
             content[FEATURES] = kept.unionByName(features), places
@@ -106,14 +104,27 @@ class FeatureStore:
         place = F.concat_ws("/", *time_parts(F.col("timestamp"), self.tables.levels))
         return place.isin(["/".join(f) for f in folders])
 
-    def _recomputed(self, candles: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Features of the rows that a change at the keys ``marks`` reaches, and their keys."""
-        own = series.attach(candles, marks.select(*BY).distinct(), BY, "left_semi")
+    def _recomputed(
+        self, state: State, folders: list[tuple], candles: DataFrame, marks: DataFrame
+    ) -> tuple[DataFrame, DataFrame]:
+        """Features of the rows that a change at the keys ``marks`` reaches, and their keys.
+
+        ``candles`` is the new content of ``folders``. Of the others the keys are read, and
+        whole rows only of the folders that hold a row needed.
+        """
+
+        def now(places) -> DataFrame:
+            rest = self.tables.read(CANDLES, state, [f for f in places if f not in set(folders)])
+            return rest.unionByName(candles)
+
+        keys = now(state.folders.get(CANDLES, {})).select(*KEYS)
+        own = series.attach(keys, marks.select(*BY).distinct(), BY, "left_semi")
         dirty = marks.union(rows_after(own, marks, LOOKBACK, self.chunk)).distinct()
         dirty = materialise(dirty, "dirty")
         before = rows_after(own, marks, LOOKBACK, self.chunk, backward=True)
         before = series.attach(before, dirty, KEYS, "left_anti")
         needed = dirty.withColumn("is_dirty", F.lit(True)).union(before.distinct().withColumn("is_dirty", F.lit(False)))
-        region = materialise(series.attach(own, needed, KEYS), "region")
+        needed = materialise(needed, "needed")
+        region = materialise(series.attach(now(self.tables.folders_of(needed)), needed, KEYS), "region")
         done = engineer_features(region, self.chunk, warm=True, stored=True, keep=("is_dirty",))
         return materialise(done.where("is_dirty").drop("is_dirty"), "recomputed"), dirty
