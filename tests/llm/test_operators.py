@@ -183,6 +183,30 @@ def test_language_model(docs, rows, options):
     assert sum(r.score for r in known) > sum(r.base_score for r in known)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_language_model_takes_texts_in_blocks(monkeypatch, order):
+    """A block's n-grams are those of its texts, and each of its distinct words is hashed once."""
+    texts = [None, "", "a b a", "B a", "c " * 50, "a"]
+    (block,) = language_model._blocks(texts, order, 1 << 20)
+    hashed, plain = [], language_model.xxhash.xxh64_intdigest
+    digest = lambda word: hashed.append(word) or plain(word)
+    monkeypatch.setattr(language_model.xxhash, "xxh64_intdigest", digest)
+    words, *longer = block.ngram_hashes(order)
+    monkeypatch.undo()
+    assert sorted(w for w in hashed if w != b" ") == [b"", b"a", b"b", b"c"]
+    found = [words[block.codes], *longer]
+    by_gram = [{} for _ in range(order)]
+    for text, start, n in zip(texts, block.starts, block.lengths, strict=True):
+        own = [b" "] * (order - 1) + language_model.words_of(text)
+        assert n == len(own) - order + 1
+        for k in range(n):
+            for length in range(order):
+                gram = tuple(own[k + order - 1 - length : k + order])
+                by_gram[length].setdefault(gram, set()).add(int(found[length][start + k]))
+    hashes = [h for grams in by_gram for h in grams.values()]
+    assert all(len(h) == 1 for h in hashes) and len(set.union(*hashes)) == len(hashes)
+
+
 def test_language_model_filter_in_several_passes(docs):
     one = bag(language_model.score_documents(docs, segments=16), "doc_id", "n_tokens", "score")
     many = bag(language_model.score_documents(docs, segments=16, held_bytes=600), "doc_id", "n_tokens", "score")

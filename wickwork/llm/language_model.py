@@ -13,7 +13,7 @@ what it finds to the counts that the documents carry.
 
 from __future__ import annotations
 
-from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +43,10 @@ BITS_PER_LEVEL = 6
 PROBES = 4
 PRIOR = 8.0
 HELD_BYTES = 256 << 20
-CACHE = 1_000_000
 # Texts that are scored at a time.
 TEXTS = 2048
+# Words that are cut from texts at a time.
+WORDS = 1 << 16
 # No word is empty and none holds a space.
 END, START = b"", b" "
 
@@ -65,35 +66,47 @@ def scramble(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, kept for the words seen last."""
-
-    def __missing__(self, word):
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def ngram_hashes(words: list[bytes], hashes: WordHashes, order: int) -> list[np.ndarray]:
-    """For each length 1..order, the hash of the n-gram that ends at each word.
-
-    Words before the first are START.
-    """
-    unit = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-    out = [scramble(unit)]
-    for n in range(1, order):
-        back = np.concatenate([np.full(min(n, len(unit)), hashes[START], dtype=np.uint64), unit[:-n]])
-        out.append(scramble(out[-1] * MIX + back[: len(unit)] + np.uint64(n)))
-    return out
+class Block:
+    """Some texts as numbers: ``words`` has their distinct words, ``codes`` the word at
+    each place of the texts laid end to end, ``starts`` each text's first place."""
+
+    def __init__(self, parts: list[pa.Array], lengths: list[int]):
+        coded = pa.concat_arrays(parts).dictionary_encode()
+        self.words, self.codes = coded.dictionary, coded.indices.to_numpy()
+        self.lengths = np.array(lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def plain_words(self) -> list[bytes]:
+        return self.words.to_numpy(zero_copy_only=False).tolist()
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Of each text; none is empty, as each has its end."""
+        return np.add.reduceat(values, self.starts)
+
+    def ngram_hashes(self, order: int) -> list[np.ndarray]:
+        """The hash of each distinct word, then for each length 2..order that of the
+        n-gram that ends at each place. Words before a text's first are START."""
+        each = map(xxhash.xxh64_intdigest, self.plain_words())
+        each = np.fromiter(each, dtype=np.uint64, count=len(self.words))
+        out, unit = [scramble(each)], each[self.codes]
+        last = out[0][self.codes]
+        place = np.arange(len(unit)) - np.repeat(self.starts, self.lengths)
+        for n in range(1, order):
+            back = np.full(len(unit), xxhash.xxh64_intdigest(START), dtype=np.uint64)
+            back[n:] = unit[:-n]
+            back[place < n] = xxhash.xxh64_intdigest(START)
+            last = scramble(last * MIX + back + np.uint64(n))
+            out.append(last)
+        return out
 
 
-def start_hashes(hashes: WordHashes, order: int) -> list[int]:
+def start_hashes(order: int) -> np.ndarray:
     """Hashes of START, START START, ...: the contexts before the first word."""
-    out = [scramble(np.array([hashes[START]], dtype=np.uint64))]
+    start = np.uint64(xxhash.xxh64_intdigest(START))
+    out = [scramble(np.array([start]))]
     for n in range(1, order - 1):
-        out.append(scramble(out[-1] * MIX + np.uint64(hashes[START]) + np.uint64(n)))
-    return [int(h[0]) for h in out]
+        out.append(scramble(out[-1] * MIX + start + np.uint64(n)))
+    return np.concatenate(out)[: order - 1]
 
 
 def levels(counts: np.ndarray, base: float = BASE) -> np.ndarray:
@@ -109,12 +122,12 @@ def level_values(base: float = BASE, most: int = 128) -> np.ndarray:
     return np.array(values)
 
 
-def _bits(h: np.ndarray, level: int, size: np.ndarray) -> list[np.ndarray]:
+def _bits(h: np.ndarray, level: int, size: np.ndarray, probes=range(PROBES)) -> list[np.ndarray]:
     """The places of an n-gram at a level in a segment of ``size`` bits."""
     with np.errstate(over="ignore"):
         a = scramble(h + np.uint64(level) * MIX)
         b = scramble(a + MIX) | np.uint64(1)
-        return [(a + np.uint64(i) * b) % size for i in range(PROBES)]
+        return [(a + np.uint64(i) * b) % size for i in probes]
 
 
 def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
@@ -170,36 +183,37 @@ class Filter:
         alive = np.flatnonzero(self.start[seg] >= 0)
         level = 1
         while len(alive):
-            for_now, own = h[alive], seg[alive]
-            start, size = self.start[own], self.size[own]
-            here = np.ones(len(alive), dtype=bool)
-            for place in _bits(for_now, level, size):
-                place = place.astype(np.int64)
-                here &= (self.data[start + (place >> 3)] >> (place & 7).astype(np.uint8) & 1).astype(bool)
-            alive = alive[here]
+            # About half of all bits are set: few n-grams that are missing pass two probes.
+            for probes in (range(PROBES // 2), range(PROBES // 2, PROBES)):
+                for_now, own = h[alive], seg[alive]
+                start, size = self.start[own], self.size[own]
+                here = np.ones(len(alive), dtype=bool)
+                for place in _bits(for_now, level, size, probes):
+                    place = place.astype(np.int64)
+                    here &= (self.data[start + (place >> 3)] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+                alive = alive[here]
             out[alive] = level
             level += 1
         return out
 
 
-def _blocks(texts, hashes: WordHashes, order: int, most: int):
-    """Lists of documents' n-grams, each list of about ``most`` n-grams or one document.
-
-    A document's n-grams are those of length 1, then 2, ..., then the contexts
-    before its first word.
-    """
-    block, size = [], 0
+def _blocks(texts, order: int, most: int):
+    """Blocks of texts, each of about ``most`` n-grams or one text."""
+    parts, words, lengths, size = [], [], [], 0
     for text in texts:
-        grams = ngram_hashes(words_of(text), hashes, order)
-        if order > 1:
-            grams.append(np.array(start_hashes(hashes, order), dtype=np.uint64))
-        block.append(np.concatenate(grams))
-        size += len(block[-1])
+        own = words_of(text)
+        words += own
+        lengths.append(len(own))
+        size += order * len(own) + order - 1
+        # Few words at a time are Python objects.
+        if len(words) >= WORDS or size >= most:
+            parts.append(pa.array(words, pa.binary()))
+            words = []
         if size >= most:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+            yield Block(parts, lengths)
+            parts, lengths, size = [], [], 0
+    if lengths:
+        yield Block([*parts, pa.array(words, pa.binary())], lengths)
 
 
 def ngram_counts(texts: DataFrame, order: int, segments: int) -> DataFrame:
@@ -208,8 +222,13 @@ def ngram_counts(texts: DataFrame, order: int, segments: int) -> DataFrame:
     def counted(batches):
         # One text at a time is a Python object; blocks go on from batch to batch.
         texts = (text.as_py() for batch in batches for text in batch.column(0))
-        for block in _blocks(texts, WordHashes(), order, 1 << 22):
-            h, c = np.unique(np.concatenate(block), return_counts=True)
+        for block in _blocks(texts, order, 1 << 22):
+            words, *longer = block.ngram_hashes(order)
+            starts = start_hashes(order)
+            h, c = np.unique(np.concatenate([starts, *longer]), return_counts=True)
+            c[np.searchsorted(h, starts)] += len(block.starts) - 1
+            h = np.concatenate([words, h])
+            c = np.concatenate([np.bincount(block.codes, minlength=len(words)), c])
             seg = segment_of(h, segments).astype(np.int32)
             yield pa.record_batch(
                 [pa.array(h.view(np.int64)), pa.array(seg), pa.array(c, pa.int64())],
@@ -223,13 +242,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, often): the exact count of every word and of the end, as bytes."""
 
     def counted(batches):
-        for batch in batches:
-            found = Counter()
-            for text in batch.column(0):
-                found.update(words_of(text.as_py()))
+        texts = (text.as_py() for batch in batches for text in batch.column(0))
+        for block in _blocks(texts, 1, 1 << 21):
             yield pa.record_batch(
-                [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())],
-                names=["word", "often"],
+                [block.words, pa.array(np.bincount(block.codes, minlength=len(block.words)))], names=["word", "often"]
             )
 
     rows = texts.mapInArrow(counted, "word binary, often long")
@@ -253,8 +269,9 @@ def _held(filters: DataFrame, numbers: list[int]) -> list[tuple[int, bytes]]:
     return [(r.segment, bytes(r.bits)) for r in own.toLocalIterator()]
 
 
-def _log_probability(found: list[np.ndarray], start: list[float], order: int, n: int, v: int) -> float:
-    """Sum of log10 P(word | words before), each length smoothed by the next shorter.
+def _log_probabilities(block: Block, found: np.ndarray, start: np.ndarray, order: int, n: int, v: int) -> np.ndarray:
+    """Of each text the sum of log10 P(word | words before), each length smoothed by
+    the next shorter.
 
     P(w | h) = (c(h w) + PRIOR * P(w | shorter h)) / (c(h) + PRIOR), from
     (c(w) + 0.5) / (n + 0.5 (v + 1)) for single words. c(h w) is at most c(h).
@@ -262,9 +279,10 @@ def _log_probability(found: list[np.ndarray], start: list[float], order: int, n:
     p = (np.minimum(found[0], n) + 0.5) / (n + 0.5 * (v + 1))
     for length in range(1, order):
         # The context of a word is the n-gram that ends one word before.
-        context = np.concatenate([[start[length - 1]], found[length - 1][:-1]])
+        context = np.roll(found[length - 1], 1)
+        context[block.starts] = start[length - 1]
         p = (np.minimum(found[length], context) + PRIOR * p) / (context + PRIOR)
-    return float(np.log10(np.minimum(p, 1.0)).sum())
+    return block.sums(np.log10(np.minimum(p, 1.0)))
 
 
 def score_documents(
@@ -345,32 +363,41 @@ def _unseen(n: int, v: int) -> float:
     return float(np.log10(0.5 / (n + 0.5 * (v + 1))))
 
 
-def _exact_part(texts: list, held, unseen: float) -> dict[str, pa.Array]:
+def _exact_part(block: Block, gain_of, unseen: float) -> dict[str, pa.Array]:
     """The part of the base score that comes from words the worker holds.
 
     Other words are scored as unseen and listed; the join with all counts then
     adds what they gain if they are known.
     """
-    tokens, known, scores, words, times = [], [], [], [], []
-    for text in texts:
-        own = words_of(text)
-        values = list(map(held, own))
-        other = Counter([w for w, g in zip(own, values, strict=True) if g is None])
-        missing = other.total()
-        tokens.append(len(own))
-        known.append(len(own) - missing)
-        scores.append(sum([g for g in values if g is not None]) + missing * unseen)
-        words.append(list(other))
-        times.append(list(other.values()))
+    gains = np.fromiter(map(gain_of, block.plain_words(), repeat(np.nan)), dtype=np.float64, count=len(block.words))
+    held = ~np.isnan(gains)
+    gain = np.where(held, gains, unseen)
+    there = held[block.codes]
+    # Each text's other words, with how often it has them.
+    text = np.repeat(np.arange(len(block.starts)), block.lengths)[~there]
+    other, times = np.unique(text * len(gains) + block.codes[~there], return_counts=True)
+    offsets = pa.array(np.searchsorted(other, np.arange(len(block.starts) + 1) * len(gains)), pa.int32())
+    words = block.words.take(pa.array(other % len(gains)))
     return {
-        "n_tokens": pa.array(tokens, pa.int64()),
-        "n_known": pa.array(known, pa.int64()),
-        "base_score": pa.array(scores, pa.float64()),
-        "words": pa.array(words, pa.list_(pa.binary())),
-        "times": pa.array(times, pa.list_(pa.int32())),
+        "n_tokens": pa.array(block.lengths, pa.int64()),
+        "n_known": pa.array(block.sums(there.astype(np.int64))),
+        "base_score": pa.array(block.sums(gain[block.codes])),
+        "words": pa.ListArray.from_arrays(offsets, words),
+        "times": pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
     }
 
 
+def _levels(block: Block, own: Filter, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The levels of the n-grams of each length at each place, and of the contexts
+    before a first word."""
+    words, *longer = block.ngram_hashes(order)
+    found = [own.levels_of(words)[block.codes]]
+    if longer:
+        unique, where = np.unique(np.concatenate(longer), return_inverse=True)
+        found += np.split(own.levels_of(unique)[where], order - 1)
+    return np.stack(found), own.levels_of(start_hashes(order))
+
+
 def _scoring_pass(docs: DataFrame, model, gains: dict | None, last: bool) -> DataFrame:
     """Looks up the documents' n-grams in the segments held.
 
@@ -396,32 +423,30 @@ def _scoring_pass(docs: DataFrame, model, gains: dict | None, last: bool) -> Dat
 
     def looked_up(batches):
         own, gains = shared.value
-        hashes, row = WordHashes(), first_row_number()
+        row = first_row_number()
         for batch in small_batches(batches, TEXTS):
-            frame = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            texts = frame["text"].to_pylist()
-            if first:
-                frame |= _exact_part(texts, gains.get, unseen)
-                frame["row"] = pa.array(range(row, row + len(texts)), pa.int64())
-                row += len(texts)
-            found = []
-            for block in _blocks(texts, hashes, order, 1 << 19):
-                unique, where = np.unique(np.concatenate(block), return_inverse=True)
-                level = own.levels_of(unique)[where]
-                found += np.split(level, np.cumsum([len(b) for b in block])[:-1])
-            if not first:
-                before = [np.frombuffer(b, dtype=np.uint8) for b in frame["levels"].to_pylist()]
-                found = list(map(np.maximum, found, before))
-            if last:
-                scores = []
-                for row_levels in found:
-                    counts, extra = values[row_levels], order - 1
-                    split = counts[: len(counts) - extra].reshape(order, -1)
-                    start = counts[len(counts) - extra :]
-                    scores.append(_log_probability(split, start, order, n, v))
-                frame["score"] = pa.array(scores, pa.float64())
-            else:
-                frame["levels"] = pa.array([f.tobytes() for f in found], pa.binary())
-            yield pa.record_batch([frame[f.name] for f in out], names=out.names)
+            at = 0
+            for block in _blocks((t.as_py() for t in batch.column("text")), order, 1 << 20):
+                size = len(block.starts)
+                part, at = batch.slice(at, size), at + size
+                frame = {name: part.column(i) for i, name in enumerate(part.schema.names)}
+                if first:
+                    frame |= _exact_part(block, gains.get, unseen)
+                    frame["row"] = pa.array(range(row, row + size), pa.int64())
+                    row += size
+                found, start = _levels(block, own, order)
+                if not first:
+                    before = [np.frombuffer(b, dtype=np.uint8) for b in frame["levels"].to_pylist()]
+                    places = [b[: order * m].reshape(order, m) for b, m in zip(before, block.lengths, strict=True)]
+                    found = np.maximum(found, np.concatenate(places, axis=1))
+                    start = np.maximum(start, before[0][order * block.lengths[0] :])
+                if last:
+                    scores = _log_probabilities(block, values[found], values[start], order, n, v)
+                    frame["score"] = pa.array(scores)
+                else:
+                    ends = zip(block.starts, block.starts + block.lengths, strict=True)
+                    both = [found[:, s:e].tobytes() + start.tobytes() for s, e in ends]
+                    frame["levels"] = pa.array(both, pa.binary())
+                yield pa.record_batch([frame[f.name] for f in out], names=out.names)
 
     return docs.mapInArrow(looked_up, out)
