@@ -608,6 +608,15 @@ def test_pipeline_equals_its_stages_by_hand(spark, folder):
     assert 0 < len(want) < len(rows)
 
 
+def test_language_id_sends_a_kept_text_once(docs):
+    whole = language_id.identify(docs, keep=["doc_id", "text"])
+    sent = whole._jdf.queryExecution().analyzed().children().apply(0).schema().fieldNames()
+    assert list(sent) == ["row", "held_out"]
+    only = language_id.identify(docs, keep=["doc_id"])
+    both = [sorted((str(r.row.doc_id), r.held_out, r.lang_pred, r.score) for r in x.collect()) for x in (whole, only)]
+    assert both[0] == both[1]
+
+
 def test_signs_that_are_no_letters_have_no_language(spark, docs):
     signs = ["½ ² ³", "Ⅷ Ⅻ", "① ② 3", "1234 -- !!", "_ _"]
     more = spark.createDataFrame([(9000 + i, t, None, "s", 0) for i, t in enumerate([*signs, "é"])], DOCS)

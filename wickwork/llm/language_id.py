@@ -11,6 +11,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -172,7 +173,10 @@ def identify(
     model = fit(docs.where(~held_out), text_col, lang_col, train_rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = docs.columns if keep is None else keep
-    rows = docs.select(F.col(text_col).alias("text"), F.struct(*keep).alias("row"), held_out.alias("held_out"))
+    # A text that is kept is sent to the workers once, inside its row.
+    place = keep.index(text_col) if text_col in keep else None
+    apart = [] if place is not None else [F.col(text_col).alias("text")]
+    rows = docs.select(F.struct(*keep).alias("row"), held_out.alias("held_out"), *apart)
     out = StructType(
         [
             rows.schema["row"],
@@ -186,15 +190,15 @@ def identify(
     def predicted(batches):
         own = shared.value
         for batch in small_batches(batches):
+            texts = batch.column(2) if place is None else pc.struct_field(batch.column(0), [place])
             found = [
-                own.infer(t) if own and t and LETTER.search(t) else {UNDETERMINED: 0.0}
-                for t in batch.column(0).to_pylist()
+                own.infer(t) if own and t and LETTER.search(t) else {UNDETERMINED: 0.0} for t in texts.to_pylist()
             ]
             first = [next(iter(f.items())) for f in found]
             yield pa.record_batch(
                 [
+                    batch.column(0),
                     batch.column(1),
-                    batch.column(2),
                     pa.array([k for k, _ in first], pa.string()),
                     pa.array([min(max(s, 0.0), 1.0) for _, s in first], pa.float64()),
                     pa.array([list(f.items()) for f in found], pa.map_(pa.string(), pa.float64())),
