@@ -86,6 +86,22 @@ def test_near_duplicates_equal_all_pairs(docs, rows, bounds):
     assert bag(found) == plain_duplicates(rows)
 
 
+def test_groups_of_one_block_get_no_longer_keys(docs, rows, monkeypatch):
+    """They are compared at once, whose sets take less room than their longer keys."""
+    compared, blocks = [], minhash.compared_in_blocks
+    monkeypatch.setattr(minhash, "compared_in_blocks", lambda *a: compared.append(a[0].count()) or blocks(*a))
+    monkeypatch.setattr(minhash, "halves_of", None)
+    assert bag(minhash.near_duplicates(docs, block=1 << 20)) == plain_duplicates(rows)
+    assert len(compared) == 1 and compared[0] > 0
+
+
+def test_sets_are_not_shuffled_to_choose_among_them(spark):
+    sets = spark.range(100).select(F.col("id").alias("node"), F.lit(b"x").alias("shingles"))
+    found = minhash.only(sets, spark.createDataFrame([(3,), (3,), (500,)], "node long"))
+    assert [r.node for r in found.collect()] == [3]
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().toString()
+
+
 def test_other_sizes_and_similarities(docs, rows):
     found = minhash.near_duplicates(docs, size=5, similarity=Fraction(9, 10))
     assert bag(found) == plain_duplicates(rows, 5, Fraction(9, 10))

@@ -14,10 +14,11 @@ halves are, so halves that no other text has are dropped before keys are formed.
 Work is on distinct sets (nodes), so exact copies are one. In the bucket of a key
 every node is compared with one of them, the smallest, and the links found join
 nodes into components. Most buckets then lie inside one component and are done.
-The nodes of the others get longer keys, which texts that share little do not
-share, and go through the same again. What is left then, say some edits of one
-text, is compared in blocks: the nodes outside a group's largest component with all
-nodes of the group. So no pairs are listed and no task holds a group.
+The others that share nodes are one group, which is compared in blocks: the nodes
+outside the group's largest component with all nodes of the group. The nodes of a
+group of several blocks first get longer keys, which texts that share little do not
+share, and go through the same again; what is left then, say some edits of one text,
+is compared in blocks. So no pairs are listed and no task holds a large group.
 """
 
 from __future__ import annotations
@@ -162,6 +163,15 @@ def keys_of(nodes: DataFrame, level: int) -> DataFrame:
     return two.select(F.xxhash64("a", "b").alias("key"), "node", "n")
 
 
+def only(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The sets of the nodes in ``wanted``. Sets are not shuffled for it if the nodes'
+    numbers can be broadcast."""
+    wanted = materialise(wanted.select("node").distinct(), "minhash-wanted")
+    if 16 * wanted.count() <= BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    return sets.join(wanted, "node", "left_semi")
+
+
 def halves_of(wanted: DataFrame, sets: DataFrame, level: int) -> DataFrame:
     """(node, n, halves) of the nodes in ``wanted``, from their full sets."""
 
@@ -173,16 +183,16 @@ def halves_of(wanted: DataFrame, sets: DataFrame, level: int) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["node", "n", "halves"]
             )
 
-    return sets.join(wanted, "node", "left_semi").mapInArrow(cut, "node long, n long, halves array<long>")
+    return only(sets, wanted).mapInArrow(cut, "node long, n long, halves array<long>")
 
 
 # ------------------------------------------------------------------ comparing
 def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose sets are similar. b may be frequent."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = sets.join(asked, "node", "left_semi")
-    own = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
+    own = only(sets, pairs.select(F.col("a").alias("node")))
+    own = own.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    other = only(sets, pairs.select(F.col("b").alias("node")))
+    other = other.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     often = pairs.groupBy("b").agg(F.count("*").alias("often"))
     both = spread_join(pairs, other, "b", "a", often).join(own, "a").select("a", "b", "set_a", "set_b")
 
@@ -238,17 +248,30 @@ def cross_links(one, other, similarity: Fraction) -> list[tuple[int, int]]:
     return out
 
 
-def compared_in_blocks(members: DataFrame, edges: DataFrame, sets: DataFrame, similarity: Fraction, block: int):
-    """(a, b): links across components among the nodes of overlapping buckets.
-
-    ``members`` holds (node, first) for each member of a bucket. Buckets that share
-    a node are one group. A task compares a block of the nodes that are not in the
-    group's largest component with a block of all its nodes.
-    """
+def grouped(members: DataFrame) -> DataFrame:
+    """(node, group) of the members (node, first) of buckets; those that share a node
+    are one group."""
     pairs = members.select("node", "first").where("node != first").distinct()
     groups = components(pairs, "minhash-groups").withColumnRenamed("root", "group")
-    nodes = members.select("node").distinct().join(groups, "node", "left").join(edges, "node", "left")
-    nodes = nodes.select("node", F.coalesce("group", "node").alias("group"), F.coalesce("root", "node").alias("root"))
+    nodes = members.select("node").distinct().join(groups, "node", "left")
+    return materialise(nodes.select("node", F.coalesce("group", "node").alias("group")), "minhash-groups")
+
+
+def in_large_groups(members: DataFrame, groups: DataFrame, most: int) -> DataFrame:
+    """The members of buckets in groups of more than ``most`` nodes."""
+    large = groups.groupBy("group").agg(F.count("*").alias("often")).where(F.col("often") > most)
+    large = materialise(large, "minhash-large")
+    nodes = spread_join(groups, large, "group", "node", large).select("node")
+    return members.join(nodes, "node", "left_semi")
+
+
+def compared_in_blocks(groups: DataFrame, edges: DataFrame, sets: DataFrame, similarity: Fraction, block: int):
+    """(a, b): links across components among the nodes (node, group) of a group.
+
+    A task compares a block of the nodes that are not in the group's largest component
+    with a block of all its nodes.
+    """
+    nodes = groups.join(edges, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
     nodes = materialise(nodes, "minhash-group-nodes")
     sizes = nodes.groupBy("group", "root").agg(F.count("*").alias("m"))
     whole = sizes.groupBy("group").agg(
@@ -329,11 +352,18 @@ def linked(nodes: DataFrame, sets_of, similarity: Fraction, block: int) -> DataF
         rest = materialise(open_members(members, edges).distinct(), "minhash-rest")
         if rest.isEmpty():
             return edges
+        groups = grouped(rest)
+        if level + 1 < len(SHAPES):
+            # Keys of a node take more room than its set, so groups of one block go without.
+            rest = materialise(in_large_groups(rest, groups, block), "minhash-rest")
+            groups = groups.join(rest.select("node").distinct(), "node", "left_anti")
+        found = compared_in_blocks(groups, edges, sets, similarity, block)
+        edges = components(edges.toDF("a", "b").union(found), "minhash")
         if level + 1 < len(SHAPES):
-            nodes = halves_of(rest.select("node").distinct(), sets, level + 1)
-            nodes = materialise(nodes, "minhash-longer")
-    found = compared_in_blocks(rest, edges, sets, similarity, block)
-    return components(edges.toDF("a", "b").union(found), "minhash")
+            if rest.isEmpty():
+                return edges
+            nodes = materialise(halves_of(rest, sets, level + 1), "minhash-longer")
+    return edges
 
 
 def near_duplicates(
