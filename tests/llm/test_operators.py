@@ -30,6 +30,7 @@ from wickwork.llm import (
     token_counts,
     warc,
 )
+from wickwork.session import BATCH_BYTES, MAX_BYTES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SENTENCES = {
@@ -164,6 +165,22 @@ def test_encoder_keeps_a_bounded_number_of_encodings(monkeypatch):
         assert len(own.follows) <= 8
 
 
+def test_idle_workers_keep_no_encodings(spark, docs):
+    """Workers are used again by later stages, which would run beside what is kept."""
+    for _ in range(2):
+        byte_bpe.encode_documents(docs.repartition(8)).collect()
+    path = public_tokenizers.path(byte_bpe.VOCABULARY)
+
+    def held(batches):
+        own = byte_bpe.encoder(path)
+        kept = (own.chunk_cache, own.piece_cache)
+        n = len(own.follows) + sum(len(x.new) + len(x.old) for x in kept)
+        yield from (language_model.pa.record_batch([[n]], names=["n"]) for _ in batches)
+
+    found = spark.range(0, 64, 1, 8).mapInArrow(held, "n long").collect()
+    assert found and all(r.n == 0 for r in found)
+
+
 @pytest.mark.parametrize("options", [{}, {"limit": 3}, {"order": 3, "segments": 16}])
 def test_language_model(docs, rows, options):
     train = Counter(w for i, t, *_ in rows if not held_out(i, 5, 1) for w in lm_words(t))
@@ -608,6 +625,25 @@ def test_pipeline_equals_its_stages_by_hand(spark, folder):
     assert 0 < len(want) < len(rows)
 
 
+@pytest.mark.parametrize("number", [0, 1, 3])
+def test_pipeline_sends_texts_in_bounded_batches(spark, folder, number):
+    """A batch is not as many MB as 10000 texts have, unless the session says so."""
+    own = spark.newSession()
+    docs = own.read.parquet(f"{folder}/documents.parquet")
+    corpus_pipeline.STAGES[number][1](own, docs, folder)
+
+    def size(batches):
+        yield from (language_model.pa.record_batch([[b.nbytes]], names=["n"]) for b in batches)
+
+    wide = own.range(0, 6000, 1, 1).select(F.repeat(F.lit("word "), 1000).alias("text"))
+    sizes = [r.n for r in wide.mapInArrow(size, "n long").collect()]
+    assert sum(sizes) > 6000 * 5000 and max(sizes) < 1.1 * BATCH_BYTES
+    other = spark.newSession()
+    other.conf.set(MAX_BYTES, "1m")
+    corpus_pipeline.STAGES[number][1](other, other.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert other.conf.get(MAX_BYTES) == "1m"
+
+
 def test_language_id_sends_a_kept_text_once(docs):
     whole = language_id.identify(docs, keep=["doc_id", "text"])
     sent = whole._jdf.queryExecution().analyzed().children().apply(0).schema().fieldNames()

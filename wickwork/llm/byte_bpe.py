@@ -28,7 +28,7 @@ from wickwork.llm.pieces import PIECE, chunks, pieces
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # A worker's memory is bounded by these, as a corpus has any number of different
-# chunks: it keeps the encodings of these to twice as many chunks and pieces ...
+# chunks: while a task runs it keeps the encodings of these to twice as many chunks and pieces ...
 CHUNK_CACHE, PIECE_CACHE = 1 << 18, 1 << 16
 # ... and so many comparisons of two tokens, which it forgets when full.
 PAIR_CACHE = 1 << 19
@@ -54,6 +54,9 @@ class Kept:
             self.new, self.old = {}, self.new
         self.new[key] = value
 
+    def clear(self) -> None:
+        self.new, self.old = {}, {}
+
 
 class PrefixEncoder:
     """Encodes byte strings with the ranks of a byte-level BPE vocabulary."""
@@ -175,6 +178,11 @@ class PrefixEncoder:
         done = len(table) - start
         return after, table + last[len(table) - shift :], done
 
+    def forget(self) -> None:
+        """Gives the memory of all that was kept back."""
+        for kept in (self.chunk_cache, self.piece_cache, self.follows):
+            kept.clear()
+
     def chunk(self, text: str) -> tuple[int, ...]:
         """The ids of a chunk; chunks and pieces up to 64 characters are kept."""
         found = self.chunk_cache.get(text)
@@ -300,23 +308,28 @@ def encode_documents(
     def encoded(batches):
         bpe = encoder(public_tokenizers.path(vocabulary))
         chunk, decimal = bpe.chunk, {i: str(i) for i in bpe.bytes}.__getitem__
-        for batch in small_batches(batches):
-            counts, ids_hash, text_hash, kept = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = list(chain.from_iterable(map(chunk, chunks(text or ""))))
-                counts.append(len(ids))
-                ids_hash.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
-                text_hash.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+        try:
+            for batch in small_batches(batches):
+                counts, ids_hash, text_hash, kept = [], [], [], []
+                for text in batch.column(1).to_pylist():
+                    ids = list(chain.from_iterable(map(chunk, chunks(text or ""))))
+                    counts.append(len(ids))
+                    ids_hash.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
+                    text_hash.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                    if with_ids:
+                        kept.append(np.array(ids, dtype=np.int32))
+                columns = [
+                    batch.column(0),
+                    pa.array(counts, pa.int64()),
+                    pa.array(ids_hash, pa.string()),
+                    pa.array(text_hash, pa.string()),
+                ]
                 if with_ids:
-                    kept.append(np.array(ids, dtype=np.int32))
-            columns = [
-                batch.column(0),
-                pa.array(counts, pa.int64()),
-                pa.array(ids_hash, pa.string()),
-                pa.array(text_hash, pa.string()),
-            ]
-            if with_ids:
-                columns.append(pa.array(kept, pa.list_(pa.int32())))
-            yield pa.record_batch(columns, names=[f.name for f in out])
+                    columns.append(pa.array(kept, pa.list_(pa.int32())))
+                yield pa.record_batch(columns, names=[f.name for f in out])
+        finally:
+            # Spark keeps idle workers, several for each core if a stage has two steps
+            # in Python; they would hold this beside the work of later stages.
+            bpe.forget()
 
     return rows.mapInArrow(encoded, StructType(out))

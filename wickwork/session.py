@@ -8,6 +8,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+MAX_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Of texts that are sent to a Python worker at a time.
+BATCH_BYTES = 4 << 20
+
 
 def build_session(app: str = "wickwork", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the jobs are written for.
@@ -34,6 +38,17 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows then go to Python workers in batches of about BATCH_BYTES, unless the session
+    names a size itself.
+
+    By default a batch is up to 64 MB of texts. Executors and workers hold several at a
+    time, outside the Java heap.
+    """
+    if MAX_BYTES not in spark.conf.getAll:
+        spark.conf.set(MAX_BYTES, str(BATCH_BYTES))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names.
 
