@@ -224,6 +224,45 @@ def test_language_model_takes_texts_in_blocks(monkeypatch, order):
     assert all(len(h) == 1 for h in hashes) and len(set.union(*hashes)) == len(hashes)
 
 
+def test_language_model_cuts_words_as_bytes(monkeypatch):
+    """Words of many texts at once are those of each, whatever parts they are cut in."""
+    odd = [None, "", " ", "a", " A  b\x1cc\x0bd ", "É Ä\u3000ß\x85x\r\n", "\x0b\x0c", "x " * 9, *texts()]
+    monkeypatch.setattr(language_model, "CUT_BYTES", 40)
+    array = language_model.pa.array(["before", *odd]).slice(1)
+    parts = list(language_model.cut_texts(array))
+    assert [t for part in parts for t in part.to_pylist()] == odd and len(parts) > 20
+    found = [language_model.cut_words(part) for part in parts]
+    plain = [[*(t or "").encode().lower().split(), b""] for t in odd]
+    assert [w for words, _ in found for w in words.to_pylist()] == [w for own in plain for w in own]
+    assert [n for _, lengths in found for n in lengths] == [len(own) for own in plain]
+
+
+def test_language_model_counts_go_as_a_row_for_each_slot(docs, rows):
+    """A block's n-gram counts are not shuffled as a row for each n-gram."""
+    found = language_model.ngram_counts(docs.coalesce(1).select("text"), 2, 16).collect()
+    assert len(found) == len({r.slot for r in found}) <= 16
+    counts = {}
+    for r in found:
+        h, c = np.frombuffer(r.h, dtype=np.uint64), np.frombuffer(r.c, dtype=np.uint32)
+        assert len(h) == len(c) and (language_model.segment_of(h, 16) == r.slot).all()
+        for x, n in zip(h.tolist(), c.tolist(), strict=True):
+            counts[x] = counts.get(x, 0) + n
+    grams = Counter()
+    for _, t, *_ in rows:
+        own = [b" ", *language_model.words_of(t)]
+        grams.update([(b" ",), *((w,) for w in own[1:]), *zip(own, own[1:], strict=False)])
+    assert sorted(counts.values()) == sorted(grams.values())
+
+
+def test_packed_rows_are_cut_at_a_number_of_ngrams(monkeypatch):
+    monkeypatch.setattr(language_model, "PACKED", 3)
+    slot = np.array([0, 0, 0, 0, 2, 2, 5], dtype=np.uint16)
+    h, c = np.arange(7, dtype=np.uint64), np.arange(7, dtype=np.uint32) + 1
+    found = [r for batch in language_model._packed(slot, h, c) for r in batch.to_pylist()]
+    assert [r["slot"] for r in found] == [0, 0, 2, 5]
+    assert b"".join(r["h"] for r in found) == h.tobytes() and b"".join(r["c"] for r in found) == c.tobytes()
+
+
 def test_language_model_filter_in_several_passes(docs):
     one = bag(language_model.score_documents(docs, segments=16), "doc_id", "n_tokens", "score")
     many = bag(language_model.score_documents(docs, segments=16, held_bytes=600), "doc_id", "n_tokens", "score")

@@ -4,9 +4,10 @@ An n-gram with count c is put into the filter with each level 1 to
 1 + log_base(c); its count is read back by asking for level 1, 2, ... until one
 is missing. The filter errs to higher levels only, and seldom by more than one.
 
-The filter is cut into segments by the n-gram's hash. A segment is built by one
-task from all of its n-grams and sized by their number, so building needs no
-merging and no size guessed before. Workers hold as many segments at a time as
+The filter is cut into segments by the n-gram's hash, and segments are dealt over
+SLOTS. Counts of a block of texts are shuffled as one row for each slot. A slot's
+segments are built together from all of its n-grams and sized by their number, so
+building needs no merging and no size guessed before. Workers hold as many segments at a time as
 fit ``HELD_BYTES``; a larger filter takes several passes, each of which adds
 what it finds to the counts that the documents carry.
 """
@@ -17,6 +18,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,26 +41,50 @@ FOLDS, HELD_OUT = 5, 1
 ORDER = 2
 BASE = 1.5
 SEGMENTS = 1 << 12
+# Segments are dealt over so many rows of a block's counts.
+SLOTS = 1 << 10
+# N-grams that are packed into rows at a time.
+PACKED = 1 << 24
 BITS_PER_LEVEL = 6
 PROBES = 4
 PRIOR = 8.0
 HELD_BYTES = 256 << 20
 # Texts that are scored at a time.
 TEXTS = 2048
-# Words that are cut from texts at a time.
-WORDS = 1 << 16
-# No word is empty and none holds a space.
-END, START = b"", b" "
+# Bytes of texts that are cut into words at a time, or one text.
+CUT_BYTES = 1 << 20
+# No word is empty, so the empty word is the end; none holds a space.
+START = b" "
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 
 
+def cut_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of all texts, each text's followed by the end, and how many
+    each text has."""
+    texts = pc.ascii_trim_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+    # A split after a last space leaves an empty word, as one of an empty text does: the end.
+    last = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", " ")
+    words = pc.ascii_split_whitespace(pc.binary_join_element_wise(pc.ascii_lower(texts), last, ""))
+    return words.flatten().cast(pa.binary()), pc.list_value_length(words).to_numpy(zero_copy_only=False)
+
+
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words and the end."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    words.append(END)
-    return words
+    """Lower-cased words and the end of one text."""
+    return cut_words(pa.array([text], pa.string()))[0].to_pylist()
+
+
+def cut_texts(texts: pa.Array):
+    """Parts of at most CUT_BYTES, or one text."""
+    sizes = pc.fill_null(pc.binary_length(texts.cast(pa.string())), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + CUT_BYTES, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 def scramble(h: np.ndarray) -> np.ndarray:
@@ -70,10 +96,10 @@ class Block:
     """Some texts as numbers: ``words`` has their distinct words, ``codes`` the word at
     each place of the texts laid end to end, ``starts`` each text's first place."""
 
-    def __init__(self, parts: list[pa.Array], lengths: list[int]):
+    def __init__(self, parts: list[pa.Array], lengths: list[np.ndarray]):
         coded = pa.concat_arrays(parts).dictionary_encode()
         self.words, self.codes = coded.dictionary, coded.indices.to_numpy()
-        self.lengths = np.array(lengths)
+        self.lengths = np.concatenate(lengths).astype(np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
 
     def plain_words(self) -> list[bytes]:
@@ -135,32 +161,31 @@ def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
 
 
 def build_segments(counts: DataFrame, segments: int, base: float) -> DataFrame:
-    """(segment, bits): filters from (h, segment, c) rows that are grouped by segment."""
-
-    def built(batches):
-        held: dict[int, list] = {}
-        for batch in batches:
-            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            seg = batch.column(1).to_numpy(zero_copy_only=False)
-            q = levels(batch.column(2).to_numpy(zero_copy_only=False), base).astype(np.uint8)
-            order = np.argsort(seg, kind="stable")
-            cuts = np.flatnonzero(np.diff(seg[order])) + 1
-            for part in np.split(order, cuts):
-                if len(part):
-                    held.setdefault(int(seg[part[0]]), []).append((h[part], q[part]))
-        for number, parts in held.items():
-            h, q = (np.concatenate(x) for x in zip(*parts, strict=True))
-            size = max(64, -(-int(q.sum()) * BITS_PER_LEVEL // 64) * 64)
+    """(segment, bits): filters from the rows (slot, h, c) of ``ngram_counts``."""
+
+    def built(table):
+        h, c = (
+            np.concatenate([np.frombuffer(b.as_py(), dtype=kind) for b in table.column(name)])
+            for name, kind in (("h", np.uint64), ("c", np.uint32))
+        )
+        order = np.argsort(h)
+        h, first = np.unique(h[order], return_index=True)
+        q = levels(np.add.reduceat(c[order].astype(np.int64), first), base).astype(np.uint8)
+        seg = segment_of(h, segments).astype(np.int64)
+        order = np.argsort(seg, kind="stable")
+        numbers, bits = [], []
+        for part in np.split(order, np.flatnonzero(np.diff(seg[order])) + 1):
+            own, own_q = h[part], q[part]
+            size = max(64, -(-int(own_q.sum()) * BITS_PER_LEVEL // 64) * 64)
             flags = np.zeros(size, dtype=bool)
-            for level in range(1, int(q.max()) + 1):
-                for place in _bits(h[q >= level], level, np.uint64(size)):
+            for level in range(1, int(own_q.max()) + 1):
+                for place in _bits(own[own_q >= level], level, np.uint64(size)):
                     flags[place] = True
-            packed = np.packbits(flags, bitorder="little").tobytes()
-            yield pa.record_batch(
-                [pa.array([number], pa.int32()), pa.array([packed], pa.binary())], names=["segment", "bits"]
-            )
+            numbers.append(int(seg[part[0]]))
+            bits.append(np.packbits(flags, bitorder="little").tobytes())
+        return pa.table({"segment": pa.array(numbers, pa.int32()), "bits": pa.array(bits, pa.binary())})
 
-    return counts.mapInArrow(built, "segment int, bits binary")
+    return counts.groupBy("slot").applyInArrow(built, "segment int, bits binary")
 
 
 class Filter:
@@ -180,7 +205,9 @@ class Filter:
         """The level of each n-gram; 0 also for those in a segment that is not here."""
         seg = segment_of(h, self.segments).astype(np.int64)
         out = np.zeros(len(h), dtype=np.uint8)
-        alive = np.flatnonzero(self.start[seg] >= 0)
+        # Those of one segment follow each other, so that its bits are in the cache.
+        alive = np.argsort(seg.astype(np.uint16) if self.segments <= 1 << 16 else seg, kind="stable")
+        alive = alive[self.start[seg[alive]] >= 0]
         level = 1
         while len(alive):
             # About half of all bits are set: few n-grams that are missing pass two probes.
@@ -199,51 +226,67 @@ class Filter:
 
 def _blocks(texts, order: int, most: int):
     """Blocks of texts, each of about ``most`` n-grams or one text."""
-    parts, words, lengths, size = [], [], [], 0
-    for text in texts:
-        own = words_of(text)
-        words += own
-        lengths.append(len(own))
-        size += order * len(own) + order - 1
-        # Few words at a time are Python objects.
-        if len(words) >= WORDS or size >= most:
-            parts.append(pa.array(words, pa.binary()))
-            words = []
-        if size >= most:
-            yield Block(parts, lengths)
-            parts, lengths, size = [], [], 0
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    return _blocks_across([texts], order, most)
+
+
+def _blocks_across(columns, order: int, most: int):
+    """The same for the texts of several arrays; a block may go on from one to the next."""
+    parts, lengths, size = [], [], 0
+    for column in columns:
+        for texts in cut_texts(column):
+            words, own = cut_words(texts)
+            parts.append(words)
+            lengths.append(own)
+            size += order * len(words) + (order - 1) * len(own)
+            if size >= most:
+                yield Block(parts, lengths)
+                parts, lengths, size = [], [], 0
     if lengths:
-        yield Block([*parts, pa.array(words, pa.binary())], lengths)
+        yield Block(parts, lengths)
+
+
+def _packed(slot: np.ndarray, h: np.ndarray, c: np.ndarray):
+    """Rows (slot, h, c) of n-grams in the order of their slots, the last two as bytes
+    of all the slot's n-grams."""
+    for start in range(0, len(slot), PACKED):
+        own, *values = (x[start : start + PACKED] for x in (slot, h, c))
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(own)]])
+        packed = [
+            pa.Array.from_buffers(
+                pa.binary(), len(cuts) - 1,
+                [None, pa.py_buffer((cuts * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))],
+            )
+            for x in values
+        ]
+        yield pa.record_batch([pa.array(own[cuts[:-1]], pa.int32()), *packed], names=["slot", "h", "c"])
 
 
 def ngram_counts(texts: DataFrame, order: int, segments: int) -> DataFrame:
-    """(h, segment, c): how often each n-gram of each length stands in a block of texts."""
+    """(slot, h, c): how often each n-gram of each length stands in a block of texts,
+    one row for each slot of the block; h and c are the bytes of its n-grams' hashes
+    (unsigned, 64 bits) and counts (unsigned, 32 bits)."""
 
     def counted(batches):
-        # One text at a time is a Python object; blocks go on from batch to batch.
-        texts = (text.as_py() for batch in batches for text in batch.column(0))
-        for block in _blocks(texts, order, 1 << 22):
+        for block in _blocks_across((batch.column(0) for batch in batches), order, 1 << 22):
             words, *longer = block.ngram_hashes(order)
             starts = start_hashes(order)
             h, c = np.unique(np.concatenate([starts, *longer]), return_counts=True)
             c[np.searchsorted(h, starts)] += len(block.starts) - 1
             h = np.concatenate([words, h])
             c = np.concatenate([np.bincount(block.codes, minlength=len(words)), c])
-            seg = segment_of(h, segments).astype(np.int32)
-            yield pa.record_batch(
-                [pa.array(h.view(np.int64)), pa.array(seg), pa.array(c, pa.int64())],
-                names=["h", "segment", "c"],
-            )
+            slot = (segment_of(h, segments) % np.uint64(SLOTS)).astype(np.uint16)
+            by_slot = np.argsort(slot, kind="stable")
+            yield from _packed(slot[by_slot], h[by_slot], c[by_slot].astype(np.uint32))
 
-    return texts.mapInArrow(counted, "h long, segment int, c long")
+    return texts.mapInArrow(counted, "slot int, h binary, c binary")
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, often): the exact count of every word and of the end, as bytes."""
 
     def counted(batches):
-        texts = (text.as_py() for batch in batches for text in batch.column(0))
-        for block in _blocks(texts, 1, 1 << 21):
+        for block in _blocks_across((batch.column(0) for batch in batches), 1, 1 << 21):
             yield pa.record_batch(
                 [block.words, pa.array(np.bincount(block.codes, minlength=len(block.words)))], names=["word", "often"]
             )
@@ -311,15 +354,7 @@ def score_documents(
     words = materialise(word_counts(learned), "lm-words")
     total = words.agg(F.sum("often").alias("n"), F.count("*").alias("v")).first()
     n, v = total.n or 0, total.v
-    counts = ngram_counts(learned, order, segments)
-    parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    counts = (
-        counts.repartition(int(parts), "segment")
-        .groupBy("segment", "h")
-        .agg(F.sum("c").alias("c"))
-        .select("h", "segment", "c")
-    )
-    filters = materialise(build_segments(counts, segments, base), "lm-filter")
+    filters = materialise(build_segments(ngram_counts(learned, order, segments), segments, base), "lm-filter")
     sizes = filters.select("segment", F.octet_length("bits").alias("b")).orderBy("segment").collect()
     groups = _groups([(r.segment, r.b) for r in sizes], held_bytes)
 
@@ -426,7 +461,7 @@ def _scoring_pass(docs: DataFrame, model, gains: dict | None, last: bool) -> Dat
         row = first_row_number()
         for batch in small_batches(batches, TEXTS):
             at = 0
-            for block in _blocks((t.as_py() for t in batch.column("text")), order, 1 << 20):
+            for block in _blocks(batch.column("text"), order, 1 << 20):
                 size = len(block.starts)
                 part, at = batch.slice(at, size), at + size
                 frame = {name: part.column(i) for i, name in enumerate(part.schema.names)}
